@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 SHORT = 48
 NONE = np.int32(2**31 - 1)
 #: Parts of texts that a Python worker remembers; beyond, it starts afresh.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split of the byte-level vocabulary into words, as its file's pre-tokenizer defines it.
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -243,7 +243,7 @@ def loaded(make: Callable[[str], object], text: str) -> object:
     return _LOADED[key][1]
 
 
-def in_chunks(texts: pa.Array, most: int = 16_000_000):
+def in_chunks(texts: pa.Array, most: int = 8_000_000):
     """Slices of texts of about `most` bytes, to bound what one step holds."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, idfile
+from . import bpe, embeddings, idfile, lines, mixing, simhash
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1,
+    "op2_embedding_near_dedup": embeddings.op2,
+    "op3_source_mix": mixing.op3,
     "op4_token_id_files": idfile.op4,
+    "op5_simhash_near_dedup": simhash.op5,
+    "op8_line_dedup": lines.op8,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_embedding_near_dedup": embeddings.OP2_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
+}
