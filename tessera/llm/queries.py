@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embeddings, idfile, lines, mixing, simhash
+from . import bpe, embeddings, idfile, lines, mixing, quality, rules, simhash
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_token_id_files": idfile.op4,
     "op5_simhash_near_dedup": simhash.op5,
     "op8_line_dedup": lines.op8,
+    "op9_quality_classifier": quality.op9,
+    "op10_quality_rules": rules.op10,
 }
 
 ORACLES: dict[str, str] = {
