@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embeddings, idfile, lines, mixing, quality, rules, simhash
+from . import bpe, embeddings, idfile, lines, mixing, quality, rules, secrets, simhash, warc
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_source_mix": mixing.op3,
     "op4_token_id_files": idfile.op4,
     "op5_simhash_near_dedup": simhash.op5,
+    "op6_warc_fixity_audit": warc.op6,
+    "op7_secret_scan": secrets.op7,
     "op8_line_dedup": lines.op8,
     "op9_quality_classifier": quality.op9,
     "op10_quality_rules": rules.op10,
@@ -17,5 +19,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_embedding_near_dedup": embeddings.OP2_SQL,
+    "op6_warc_fixity_audit": warc.OP6_SQL,
     "op8_line_dedup": lines.OP8_SQL,
 }
