@@ -1,18 +1,71 @@
-"""A corpus pipeline over documents: each stage's result is written as Parquet and read by the next."""
+"""A corpus pipeline over documents: each stage's result is written as Parquet and read by the next.
+
+Rejected documents, repeated lines and near-duplicate documents go; the rest is mixed to weights by
+source and encoded. Stages take (spark, docs, sf_dir) and work on all rows of docs.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.cluster import ship
+from tessera.llm import bpe, lines, mixing, quality, simhash
+from tessera.llm.common import documents, save
+
+#: Weights of the sources by code point, repeating.
+WEIGHTS = [1, 2, 3]
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; labelled or not, all are scored."""
+    scored = quality.classify(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document with the lines that no document before it holds; n_chars follows."""
+    ship(spark)
+    kept = lines.dedup_lines(docs)
+    return kept.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    ship(spark)
+    return simhash.dedup(docs).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    ship(spark)
+    return mixing.mixed(docs, WEIGHTS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether they decode to its text."""
+    ship(spark)
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    done = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary), vocabulary)
+    return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+STAGES = [
+    ("quality_classifier", good),
+    ("line_dedup", without_repeated_lines),
+    ("simhash_near_dedup", one_of_each),
+    ("source_mix", mix),
+    ("bpe", encode),
+]
 
-STAGES: list = []
 #: SQL can't express the classifier, SimHash and BPE stages; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.common import save
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's result over the documents of sf_dir."""
+    docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
