@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 SHORT = 48
 NONE = np.int32(2**31 - 1)
-#: Parts of texts that a Python worker remembers; beyond, it starts afresh.
-REMEMBERED = 400_000
+#: Parts of texts that a Python worker remembers, in Arrow arrays (about 60 bytes each); beyond, it starts afresh.
+REMEMBERED = 1_200_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split of the byte-level vocabulary into words, as its file's pre-tokenizer defines it.
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -55,24 +55,29 @@ class Parts:
         self.forget()
 
     def forget(self) -> None:
-        self.index = {"": 0} | {part: 1 + k for k, part in enumerate(self.special)}
+        self.known = pa.array(["", *self.special], pa.string())
         self.flat = np.array(list(self.special.values()), np.int32)
         self.lengths = np.array([0] + [1] * len(self.special), np.int64)
 
     def encode_new(self, parts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def numbers(self, parts: list[str]) -> np.ndarray:
-        """The place of each part in the memory; new ones are encoded."""
-        index = self.index
-        new = [p for p in parts if p not in index]
-        if new:
-            new = list(dict.fromkeys(new))
-            ids = self.encode_new(new)
-            index.update(zip(new, range(len(index), len(index) + len(new))))
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
-            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, ids), np.int64, len(ids))])
-        return np.fromiter(map(index.__getitem__, parts), np.int64, len(parts))
+    def numbers(self, parts: pa.Array) -> np.ndarray:
+        """The place of each of some distinct parts in the memory; new ones are encoded."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(pc.is_null(at))
+        if len(new):
+            places = at.fill_null(-1).to_numpy().astype(np.int64)
+            places[places < 0] = np.arange(len(self.known), len(self.known) + len(new))
+            for k in range(0, len(new), 16_384):
+                ids = self.encode_new(new.slice(k, 16_384).to_pylist())
+                self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
+                self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, ids), np.int64, len(ids))])
+            self.known = pa.concat_arrays([self.known, new])
+            return places
+        return at.to_numpy().astype(np.int64)
 
     def gather(self, numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
         """list<int32> of the ids of rows whose parts end at `ends` in `numbers`."""
@@ -85,7 +90,7 @@ class Parts:
     def plain(self, texts: pa.Array) -> pa.Array:
         cut = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0"), "\0")
         known = cut.values.slice(cut.offsets[0].as_py(), cut.offsets[-1].as_py() - cut.offsets[0].as_py()).dictionary_encode()
-        numbers = self.numbers(known.dictionary.to_pylist())
+        numbers = self.numbers(known.dictionary)
         offsets = cut.offsets.to_numpy()
         return self.gather(numbers[known.indices.to_numpy()] if len(known) else np.zeros(0, np.int64), offsets - offsets[0])
 
@@ -94,12 +99,12 @@ class Parts:
         for text in texts.to_pylist():
             parts = self.cut.split(text) if self.cut is not None else [text]
             rows.append([w for k, part in enumerate(parts) for w in ([part] if k % 2 else _WORDS.findall(part))])
-        return self.gather(self.numbers(list(chain.from_iterable(rows))), np.cumsum([0, *map(len, rows)]))
+        words = pa.array(list(chain.from_iterable(rows)), pa.string()).dictionary_encode()
+        numbers = self.numbers(words.dictionary)
+        return self.gather(numbers[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), np.cumsum([0, *map(len, rows)]))
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """list<int32> of string texts. Special tokens written out in a text become their ids; null gives none."""
-        if len(self.index) > REMEMBERED:
-            self.forget()
         texts = texts.fill_null("")
         odd = pc.match_substring_regex(texts, _RUN)
         for token in self.special:
@@ -243,7 +248,7 @@ def loaded(make: Callable[[str], object], text: str) -> object:
     return _LOADED[key][1]
 
 
-def in_chunks(texts: pa.Array, most: int = 8_000_000):
+def in_chunks(texts: pa.Array, most: int = 6_000_000):
     """Slices of texts of about `most` bytes, to bound what one step holds."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0

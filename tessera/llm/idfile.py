@@ -71,7 +71,10 @@ class Library(bpe.Parts):
         super().__init__()
 
     def encode_new(self, parts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        out: list[list[int]] = []
+        for at in range(0, len(parts), 8192):  # the library's own results take much memory
+            out += [x.ids for x in self.tokenizer.encode_batch_fast(parts[at : at + 8192], add_special_tokens=False)]
+        return out
 
 
 def tokenise(spark: SparkSession, vocabulary: str, end: int | None):
