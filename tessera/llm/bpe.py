@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import documents, trim
+
 SHORT = 48
 NONE = np.int32(2**31 - 1)
 #: Parts of texts that a Python worker remembers, in Arrow arrays (about 60 bytes each); beyond, it starts afresh.
@@ -271,7 +273,9 @@ def encoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         own = loaded(Vocabulary, shared.value)
-        return pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(own.encode, in_chunks(texts))])
+        ids = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(own.encode, in_chunks(texts))])
+        trim()
+        return ids
 
     return encode
 
@@ -289,6 +293,31 @@ def decoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
     return decode
 
 
+def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """df with token ids and the text that these ids decode to, in one pass of Python.
+
+    The same as `decode(encode(df))`, in which Spark would evaluate `encode` once for each column.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        own = loaded(Vocabulary, shared.value)
+        parts = [pa.StructArray.from_arrays([pa.array([], pa.list_(pa.int32())), pa.array([], pa.string())], names=["ids", "decoded"])]
+        for part in in_chunks(texts):
+            rows = own.encode(part)
+            flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
+            back = pa.array([own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string())
+            parts.append(pa.StructArray.from_arrays([rows, back], names=["ids", "decoded"]))
+        done = pa.concat_arrays(parts)
+        del parts, texts
+        trim()
+        return done
+
+    done = df.withColumn("__both", both(F.col(text)))
+    return done.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+
+
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """df with the token ids of column `text` in column `ids` (a column of that name is replaced).
 
@@ -307,10 +336,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: token count and digests of both."""
     import public_tokenizers
 
-    from .common import documents
-
     vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    done = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary), vocabulary)
+    done = round_trip(documents(spark, sf_dir).select("doc_id", "text"), vocabulary)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

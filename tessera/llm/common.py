@@ -45,6 +45,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def trim() -> None:
+    """Give memory that a batch took back to the system: workers share an executor's memory with its JVM."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, root) pairs that link the same nodes as the edges a-b; each root is its smallest node."""
     nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)

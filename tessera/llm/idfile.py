@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import documents, drop_path, new_path, save
+from .common import documents, drop_path, new_path, save, trim
 
 #: Bytes of each of the four ids of a control byte.
 LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
@@ -90,7 +90,10 @@ def tokenise(spark: SparkSession, vocabulary: str, end: int | None):
             rows = own.encode(part)
             flat, ends = rows.values.to_numpy().astype("<u4"), rows.offsets.to_numpy()
             out += [flat[a:b].tobytes() + tail for a, b in zip(ends[:-1], ends[1:])]
-        return pa.array(out, pa.binary())
+        done = pa.array(out, pa.binary())
+        del out, texts
+        trim()
+        return done
 
     return ids
 

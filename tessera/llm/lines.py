@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, save
+from .common import documents, save, trim
 
 #: Keys of fewer code points never are dropped.
 SHORTEST = 10
@@ -156,7 +156,10 @@ def apply_bitmaps():
             kept.append("\n".join(stay))
             lines.append(len(parts))
             dropped.append(len(parts) - len(stay))
-        return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=["kept", "n_lines", "n_dropped"])
+        done = pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=["kept", "n_lines", "n_dropped"])
+        del kept, texts, maps
+        trim()
+        return done
 
     return own
 

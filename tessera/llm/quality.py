@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import in_chunks
-from .common import documents
+from .common import documents, trim
 
 WIDTH = 1 << 16
 KINDS = 4
@@ -123,6 +123,8 @@ def scorer(spark: SparkSession, weights: np.ndarray):
             if some.any():
                 sums[some] = np.add.reduceat(w[place] * share, ends[:-1][some])
             out.append(1 / (1 + np.exp(-(sums + w[WIDTH]))))
+        del texts
+        trim()
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return own

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, save, spanning_forest
+from .common import components, documents, save, spanning_forest, trim
 
 SHINGLE = 3
 RADIUS = 3
@@ -60,6 +60,8 @@ def fingerprints(shingle: int = SHINGLE):
     @F.arrow_udf("long")
     def own(texts: pa.Array) -> pa.Array:
         found = [fingerprint(shingle_hashes(t.as_buffer().to_pybytes(), shingle)) if t.is_valid else 0 for t in texts]
+        del texts
+        trim()
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
     return own
