@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     ship(spark)
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    done = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary), vocabulary)
+    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary)
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
