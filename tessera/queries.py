@@ -20,3 +20,10 @@ def query(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from . import catalog  # noqa: E402, F401  (registers the queries)
