@@ -23,6 +23,11 @@ def text(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(x: Column, f) -> Column:
+    """f(x) with x evaluated once, however often f names it: keeps plans and generated code small."""
+    return F.get(F.transform(F.array(x), f), 0)
+
+
 def without_marks(x: Column | str) -> Column:
     """Letters without their marks, one for one."""
     return F.translate(text(x), MARKED, PLAIN)

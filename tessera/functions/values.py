@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import fold, text
+from .text import fold, once, text
 
 #: Units of amounts, in folded spelling.
 UNITS = {1e3: ["tis", "tisic"], 1e6: ["mil", "milion", "milionu", "million"], 1e9: ["mld", "miliarda", "miliard", "billion"]}
@@ -14,12 +14,17 @@ DECLARED = [("v tis", 1e3), ("tis. kc", 1e3), ("tisic", 1e3), ("v mil", 1e6), ("
 #: Fixed value: names of months, Czech genitive and English.
 MONTHS = {"ledna": 1, "unora": 2, "brezna": 3, "dubna": 4, "kvetna": 5, "cervna": 6, "cervence": 7, "srpna": 8, "zari": 9, "rijna": 10, "listopadu": 11, "prosince": 12, "january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7, "august": 8, "september": 9, "october": 10, "november": 11, "december": 12}
 
+#: A day in figures.
+DAY = r"(?<!\d)\d{1,2}\.\s?\d{1,2}\.\s?(?:19|20)\d{2}(?!\d)"
 MONEY = r"(\d[\d  .,]*\d|\d)\s*(tisic|tis|milionu|milion|million|mil|miliarda|miliard|mld|billion)?\.?\s*(kc|czk|eur|usd)(?![a-z])"
 
 
 def number(x: Column | str) -> Column:
     """A number in Czech or English spelling: the last of two separators, and one not before three digits, is the decimal one."""
-    v = F.regexp_replace(text(x), r"[\s ]", "")
+    return once(F.regexp_replace(text(x), r"[\s\u00a0]", ""), _number)
+
+
+def _number(v: Column) -> Column:
     comma, dot = F.contains(v, F.lit(",")), F.contains(v, F.lit("."))
     last = lambda c: F.length(v) - F.instr(F.reverse(v), c)
 
@@ -60,9 +65,17 @@ def amount(raw: Column, unit: Column) -> Column:
 
 def money(folded: Column | str) -> Column:
     """struct(amount, currency) of the first amount of money in folded text."""
-    part = lambda k: F.regexp_extract(text(folded), MONEY, k)
-    found = F.struct(amount(part(1), part(2)).alias("amount"), currency(part(3)).alias("currency"))
-    return F.when(part(1) != "", found)
+    bare = F.regexp_replace(text(folded), DAY, ";")
+    parts = F.struct(*[F.regexp_extract(bare, MONEY, k).alias(n) for k, n in ((1, "raw"), (2, "unit"), (3, "cur"))])
+    return once(parts, lambda p: F.when(p["raw"] != "", F.struct(amount(p["raw"], p["unit"]).alias("amount"), currency(p["cur"]).alias("currency"))))
+
+
+def dated_amounts(folded: Column | str) -> Column:
+    """array of struct(as_of, amount, currency): each amount of a line with the last day before it."""
+    parts = F.regexp_extract_all(text(folded), F.lit(rf"{DAY}(?:(?!{DAY}).)*"), 0)
+    each = F.transform(parts, lambda t: F.struct(first_date(t).alias("as_of"), money(t).alias("m")))
+    good = F.filter(each, lambda e: e["as_of"].isNotNull() & e["m"].isNotNull())
+    return F.transform(good, lambda e: F.struct(e["as_of"].alias("as_of"), e["m"]["amount"].alias("amount"), e["m"]["currency"].alias("currency")))
 
 
 def money_after(folded: Column | str, labels: list[str], reach: int = 60, negated: list[str] = ("neinvesticni", "neinvesticniho")) -> Column:
@@ -138,7 +151,10 @@ def safe_date(y: Column, m: Column, d: Column) -> Column:
 
 def first_date(folded: Column | str) -> Column:
     """The first ISO date, else day.month.year, else day and month's name. One that is no real day gives null, not the next form."""
-    x = text(folded)
+    return once(text(folded), _first_date)
+
+
+def _first_date(x: Column) -> Column:
     num = lambda p, k: F.regexp_extract(x, p, k).try_cast("int")
     iso, dmy, named = r"(20\d{2})-(\d{1,2})-(\d{1,2})", r"(\d{1,2})\.\s?(\d{1,2})\.\s?(20\d{2})", rf"(\d{{1,2}})\.?\s+({'|'.join(MONTHS)})\s+(20\d{{2}})"
     month = F.try_element_at(F.create_map(*[F.lit(v) for kv in MONTHS.items() for v in kv]), F.regexp_extract(x, named, 2))

@@ -1 +1 @@
-"""See README.md for what lives here."""
+"""Readers and writers: strict and lenient JSON, CSV, whole files, and tables by key."""

@@ -1 +1 @@
-"""See README.md for what lives here."""
+"""Structured Streaming over event logs."""
