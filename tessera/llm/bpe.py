@@ -61,7 +61,8 @@ class Parts:
         self.flat = np.array(list(self.special.values()), np.int32)
         self.lengths = np.array([0] + [1] * len(self.special), np.int64)
 
-    def encode_new(self, parts: list[str]) -> list[list[int]]:
+    def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts one after the other, and how many each has."""
         raise NotImplementedError
 
     def numbers(self, parts: pa.Array) -> np.ndarray:
@@ -74,9 +75,8 @@ class Parts:
             places = at.fill_null(-1).to_numpy().astype(np.int64)
             places[places < 0] = np.arange(len(self.known), len(self.known) + len(new))
             for k in range(0, len(new), 16_384):
-                ids = self.encode_new(new.slice(k, 16_384).to_pylist())
-                self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
-                self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, ids), np.int64, len(ids))])
+                flat, lengths = self.encode_new(new.slice(k, 16_384).to_pylist())
+                self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
             self.known = pa.concat_arrays([self.known, new])
             return places
         return at.to_numpy().astype(np.int64)
@@ -225,13 +225,14 @@ class Vocabulary(Parts):
                     out[k] = ids
         return out
 
-    def encode_new(self, parts: list[str]) -> list[list[int]]:
+    def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [[p] if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) else _WORDS.findall(p) for p in parts]
         ids = self.encode_words([w.encode() for w in chain.from_iterable(split)])
-        if len(ids) == len(parts):
-            return ids
-        own = iter(ids)
-        return [next(own) if len(ws) == 1 else list(chain.from_iterable(next(own) for _ in ws)) for ws in split]
+        words = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(words.sum()))
+        if len(words) == len(parts):
+            return flat, words
+        return flat, np.bincount(np.repeat(np.arange(len(parts)), [len(ws) for ws in split]), words, len(parts)).astype(np.int64)
 
     def decode(self, ids: np.ndarray) -> str:
         if len(ids) and (ids.min() < 0 or ids.max() >= self.size):

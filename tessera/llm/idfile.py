@@ -18,7 +18,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,45 +69,68 @@ class Library(bpe.Parts):
         self.special = {x.content: k for k, x in self.tokenizer.get_added_tokens_decoder().items()}
         super().__init__()
 
-    def encode_new(self, parts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for at in range(0, len(parts), 8192):  # the library's own results take much memory
-            out += [x.ids for x in self.tokenizer.encode_batch_fast(parts[at : at + 8192], add_special_tokens=False)]
-        return out
+    def encode_new(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One text of all parts with a special token between them: the library makes results per text, not per part."""
+        if not self.special:
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+            return np.array([k for x in ids for k in x], np.int32), np.array([len(x) for x in ids], np.int64)
+        between, mark = next(iter(self.special.items()))
+        flat, lengths = [], []
+        for at in range(0, len(parts), 2048):
+            ids = np.array(self.tokenizer.encode_batch_fast([between.join(parts[at : at + 2048])], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.append(np.flatnonzero(ids == mark), len(ids))
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+            flat.append(ids[ids != mark])
+        return np.concatenate(flat), np.concatenate(lengths)
 
 
-def tokenise(spark: SparkSession, vocabulary: str, end: int | None):
-    """Column function text -> binary: the library's ids as little-endian 32-bit integers, `end` after them."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+def width(size: int) -> str:
+    """The type in which ids of a vocabulary of `size` are held between steps."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        own = bpe.loaded(Library, shared.value)
-        tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        out = []
-        for part in bpe.in_chunks(texts):
-            rows = own.encode(part)
-            flat, ends = rows.values.to_numpy().astype("<u4"), rows.offsets.to_numpy()
-            out += [flat[a:b].tobytes() + tail for a, b in zip(ends[:-1], ends[1:])]
-        done = pa.array(out, pa.binary())
-        del out, texts
-        trim()
-        return done
 
-    return ids
+ENCODED = "doc_id long, ids binary, counts binary"
 
 
-def _frequencies(batches):
-    """token, n of a task's ids: one row for each distinct token."""
+def _tokenise(vocabulary, end: int | None, kind: str):
+    """doc_id and ids of each text (`end` after them), and at the end of a task one row with the counts of all its ids."""
+
+    def run(batches):
+        own = bpe.loaded(Library, vocabulary.value)
+        tail = b"" if end is None else np.array([end], kind).tobytes()
+        total = np.zeros(own.tokenizer.get_vocab_size() + 1, np.int64)
+        for batch in batches:
+            ids, at = [], 0
+            for part in bpe.in_chunks(batch.column(1)):
+                rows = own.encode(part)
+                flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
+                seen = np.bincount(flat, minlength=len(total))
+                if len(seen) > len(total):
+                    total = np.concatenate([total, np.zeros(len(seen) - len(total), np.int64)])
+                total += seen
+                narrow = flat.astype(kind)
+                ids += [narrow[a:b].tobytes() + tail for a, b in zip(ends[:-1], ends[1:])]
+                at += len(part)
+            if end is not None:
+                if end >= len(total):
+                    total = np.concatenate([total, np.zeros(end + 1 - len(total), np.int64)])
+                total[end] += len(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=["doc_id", "ids", "counts"])
+            del ids, batch
+            trim()
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["doc_id", "ids", "counts"])
+
+    return run
+
+
+def _add_counts(batches):
+    """token, n of count rows."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        ids = np.frombuffer(b"".join(x for x in batch.column(0).to_pylist() if x), "<u4")
-        own = np.bincount(ids)
-        if len(own) > len(total):
-            own[: len(total)] += total
-            total = own
-        else:
-            total[: len(own)] += own
+        for row in batch.column(0).to_pylist():
+            own = np.frombuffer(row, "<i8")
+            size = max(len(own), len(total))
+            total = np.pad(total, (0, size - len(total))) + np.pad(own, (0, size - len(own)))
     tokens = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(total[tokens])], names=["token", "n"])
 
@@ -116,20 +138,20 @@ def _frequencies(batches):
 BLOCKS = "part int, block long, start long, doc_ids array<long>, counts array<long>, control binary, data binary"
 
 
-def _blocks(ranks: np.ndarray):
+def _blocks(ranks: np.ndarray, kind: str):
     def write(batches):
         from pyspark import TaskContext
 
         part, block, start = TaskContext.get().partitionId(), 0, 0
         docs: list = []
         rows: list[bytes] = []
-        held = 0
+        held, size = 0, np.dtype(kind).itemsize
 
         def cut():
             nonlocal block, start, docs, rows, held
-            ids = np.frombuffer(b"".join(rows), "<u4")
+            ids = np.frombuffer(b"".join(rows), kind)
             control, data = pack(ranks[ids])
-            counts = [len(x) // 4 for x in rows]
+            counts = [len(x) // size for x in rows]
             made = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([start], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
                 names=["part", "block", "start", "doc_ids", "counts", "control", "data"],
@@ -141,7 +163,7 @@ def _blocks(ranks: np.ndarray):
             for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 docs.append(doc)
                 rows.append(ids)
-                held += len(ids) // 4
+                held += len(ids) // size
                 if held >= BLOCK:
                     yield cut()
         if docs:
@@ -158,15 +180,16 @@ def write_ids(df: DataFrame, path: str, vocabulary: str, end: int | None = None,
     empty table gives empty files. Other columns are not written.
     """
     spark = df.sparkSession
-    ids, held = save(df.select(F.col(doc_id).cast("long").alias("doc_id"), tokenise(spark, vocabulary, end)(F.col(text)).alias("ids")), "ids")
-    counts = ids.select("ids").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    shared, kind = spark.sparkContext.broadcast(vocabulary), width(max(Library(vocabulary).tokenizer.get_vocab_size(), (end or 0) + 1))
+    ids, held = save(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_tokenise(shared, end, kind), ENCODED), "ids")
+    counts = ids.where("counts is not null").select("counts").mapInArrow(_add_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     found = sorted(((r.n, -r.token) for r in counts.collect()), reverse=True)  # one row for each token of the vocabulary at most
     tokens = [-k for _, k in found]
     spark.createDataFrame([(t, k) for k, t in enumerate(tokens)], "token long, rank long").coalesce(1).write.parquet(f"{path}/ranks")
     ranks = np.zeros(max(tokens, default=0) + 1, np.uint32)
     ranks[tokens] = np.arange(len(tokens))
-    ordered = ids.repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_blocks(ranks), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ordered = ids.where("ids is not null").select("doc_id", "ids").repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions("doc_id", "ids")
+    ordered.mapInArrow(_blocks(ranks, kind), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     drop_path(spark, held)
     blocks = spark.read.parquet(f"{path}/blocks")
     sums = blocks.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
@@ -177,35 +200,42 @@ def write_ids(df: DataFrame, path: str, vocabulary: str, end: int | None = None,
     spark.createDataFrame(rows, "part int, base long").coalesce(1).write.parquet(f"{path}/parts")
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids (array<int>) from the files at `path`."""
+def scan(spark: SparkSession, path: str, make, kind: str) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens and `value` from the files at `path`.
+
+    value, of SQL type kind, is made from a block's ids where they are decoded: make(ids, ends) gives an Arrow
+    array with an entry for each document, whose ids end at `ends`.
+    """
     tokens = np.array([r.token for r in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()], np.uint32)
     bases = {r.part: r.base for r in spark.read.parquet(f"{path}/parts").collect()}
-    blocks = spark.read.parquet(f"{path}/blocks")
+    blocks = spark.read.parquet(f"{path}/blocks").select("part", "start", "doc_ids", "counts", "control", "data")
 
     def rows(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                counts = np.array(r["counts"], np.int64)
-                ids = tokens[unpack(r["control"], r["data"], int(counts.sum()))] if len(tokens) else np.zeros(0, np.uint32)
+            for k in range(batch.num_rows):
+                part, start, docs, counts, control, data = (batch.column(c)[k] for c in range(6))
+                counts = counts.values.to_numpy()
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(ends[:-1] + bases[r["part"]] + r["start"]), pa.array(counts), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))],
-                    names=["doc_id", "start", "n_tokens", "ids"],
-                )
+                ids = tokens[unpack(control.as_buffer(), data.as_buffer(), int(ends[-1]))] if ends[-1] else np.zeros(0, np.uint32)
+                yield pa.RecordBatch.from_arrays([docs.values, pa.array(ends[:-1] + (bases[part.as_py()] + start.as_py())), pa.array(counts), make(ids, ends)], names=["doc_id", "start", "n_tokens", "value"])
+
+    return blocks.mapInArrow(rows, f"doc_id long, start long, n_tokens long, value {kind}")
 
-    return blocks.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids array<int>")
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids (array<int>) from the files at `path`."""
+    make = lambda ids, ends: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+    return scan(spark, path, make, "array<int>").withColumnRenamed("value", "ids")
 
 
-def checksum():
-    """Column function array<int> -> crc32 of the ids as little-endian unsigned 32-bit integers."""
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, crc32 of the ids as little-endian unsigned 32-bit integers."""
 
-    @F.arrow_udf("long")
-    def crc(rows: pa.Array) -> pa.Array:
-        flat, ends = rows.values.to_numpy().astype("<u4"), rows.offsets.to_numpy()
+    def make(ids, ends):
+        flat = ids.astype("<u4")
         return pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.int64())
 
-    return crc
+    return scan(spark, path, make, "long").withColumnRenamed("value", "crc32")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,4 +245,4 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     path = new_path(spark, "idfile")
     write_ids(documents(spark, sf_dir), path, vocabulary, end=2)
-    return read_ids(spark, path).select("doc_id", "start", "n_tokens", checksum()(F.col("ids")).alias("ids_crc32"))
+    return read_checksums(spark, path).withColumnRenamed("crc32", "ids_crc32")

@@ -97,8 +97,9 @@ def test_files(spark, odd_documents, no_documents, library, monkeypatch):
     monkeypatch.setattr(idfile, "BLOCK", 64)
     path = new_path(spark, "test-ids")
     idfile.write_ids(odd_documents.repartition(3), path, bpe.read_vocabulary(PATH), end=2)
-    got = sorted((r.start, r.doc_id, tuple(r.ids), r.crc) for r in idfile.read_ids(spark, path).withColumn("crc", idfile.checksum()(F.col("ids"))).collect())
-    rows = sorted(((r.doc_id is not None, r.doc_id or 0, library.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in odd_documents.collect()), key=lambda r: (r[0], r[1], np.array(r[2], "<u4").tobytes()))
+    sums = {r.start: r.crc32 for r in idfile.read_checksums(spark, path).collect()}
+    got = sorted((r.start, r.doc_id, tuple(r.ids), sums[r.start]) for r in idfile.read_ids(spark, path).collect())
+    rows = sorted(((r.doc_id is not None, r.doc_id or 0, library.encode(r.text or "", add_special_tokens=False).ids + [2]) for r in odd_documents.collect()), key=lambda r: (r[0], r[1], np.array(r[2], "<u2").tobytes()))
     start = 0
     for (at, doc, ids, crc), (there, want_doc, want) in zip(got, rows, strict=True):
         assert (at, doc, list(ids)) == (start, want_doc if there else None, want)
