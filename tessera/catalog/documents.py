@@ -121,7 +121,7 @@ def token_retention(spark, d):
     return table(spark, d, "documents").select("doc_id", F.round(text.retention(w(F.col("text")), w(F.substring("text", 1, 400))), 9).alias("retention"))
 
 
-@query("broken_sentences", r"SELECT doc_id, CASE WHEN b + w = 0 THEN 0.0::DOUBLE ELSE round(b / (b + w), 9) END AS ratio FROM (SELECT doc_id, len(regexp_extract_all(text, '[\p{L},]\n\p{Ll}')) b, len(regexp_extract_all(text, '[.!?]\s+\p{Lu}')) w FROM documents)")
+@query("broken_sentences", r"SELECT doc_id, CASE WHEN b + w = 0 THEN 0.0::DOUBLE ELSE round(b / (b + w), 9) END AS ratio FROM (SELECT doc_id, len(regexp_extract_all(text, '[.!?]\s+\p{Ll}')) b, len(regexp_extract_all(text, '[.!?]\s+[\p{Lu}0-9]')) w FROM documents)")
 def broken_sentences(spark, d):
     return table(spark, d, "documents").select("doc_id", F.round(text.broken_ratio("text"), 9).alias("ratio"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import has_any, text
+from .text import has_any, once, text
 
 # The words that name each kind, in the order in which kinds are tried.
 
@@ -65,12 +65,17 @@ def first_match(folded: Column | str, labels: dict[str, list[str]]) -> Column:
 
 def nearest_label(folded: Column | str, labels: dict[str, list[str]]) -> Column:
     """The kind whose word stands last in text; of words that end together the longest, of equal ones the kind listed first."""
-    x = text(folded)
     rows = [(kind, word, k) for k, (kind, words) in enumerate(labels.items()) for word in words]
-    table = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(word).alias("word"), F.lit(-k).alias("order")) for kind, word, k in rows])
-    last = lambda w: F.when(F.contains(x, w), F.length(x) - F.position(F.reverse(w), F.reverse(x)) - F.length(w) + 1)
-    placed = F.transform(table, lambda r: F.struct(last(r["word"]).alias("at"), F.length(r["word"]).alias("size"), r["order"].alias("order"), r["kind"].alias("kind")))
-    return F.array_max(F.filter(placed, lambda r: r["at"].isNotNull()))["kind"]
+    table = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(word).alias("word"), F.lit(word[::-1]).alias("back"), F.lit(len(word)).alias("size"), F.lit(-k).alias("order")) for kind, word, k in rows])
+    x = text(folded)
+    some = F.struct(x.alias("x"), F.reverse(x).alias("back"), F.length(x).alias("n"))
+
+    def nearest(s: Column) -> Column:
+        there = F.filter(table, lambda r: F.contains(s["x"], r["word"]))
+        placed = F.transform(there, lambda r: F.struct((s["n"] - F.position(r["back"], s["back"]) - r["size"] + 1).alias("at"), r["size"].alias("size"), r["order"].alias("order"), r["kind"].alias("kind")))
+        return F.array_max(placed)["kind"]
+
+    return once(some, nearest)
 
 
 def capital_metric(folded: Column | str) -> Column:

@@ -243,16 +243,16 @@ def names_another(own: Column, named: Column) -> Column:
 
 
 def broken_ratio(x: Column | str) -> Column:
-    """Lines that begin in small letters after one without an end, against all that could; 0 without any."""
-    broken = F.regexp_count(text(x), F.lit(r"[\p{L},]\n\p{Ll}"))
-    whole = F.regexp_count(text(x), F.lit(r"[.!?]\s+\p{Lu}"))
+    """Ends of sentences that go on in small letters, against all that go on; 0 without any."""
+    broken = F.regexp_count(text(x), F.lit(r"[.!?]\s+\p{Ll}"))
+    whole = F.regexp_count(text(x), F.lit(r"[.!?]\s+[\p{Lu}0-9]"))
     return F.coalesce(F.try_divide(broken, broken + whole), F.lit(0.0))
 
 
 def evidence(x: Column | str) -> Column:
-    """Distinct years, percentages and ISINs of a text."""
+    """Distinct years, days, percentages and ISINs of a text."""
     every = lambda p: F.array_distinct(F.regexp_extract_all(text(x), F.lit(p), 0))
-    return F.concat(every(r"\b(?:19|20)\d{2}\b"), every(r"\d{1,3}(?:[.,]\d+)?\s?%"), every(r"\b[A-Z]{2}[A-Z0-9]{9}\d\b"))
+    return F.concat(every(r"\b(?:19[89]\d|20[0-4]\d)\b"), every(r"\b\d{1,2}\s*\.\s*\d{1,2}\s*\.\s*(?:19|20)\d{2}\b"), every(r"-?\d{1,3}(?:[\u00a0 ]?\d{3})*(?:[.,]\d+)?\s*%"), every(r"\b[A-Z]{2}[A-Z0-9]{9}\d\b"))
 
 
 def retention(a: Column, b: Column) -> Column:

@@ -170,3 +170,30 @@ def claims(candidates: DataFrame, value: Column, scope: Column | int = 1, author
     """Candidates as claims for `operators.resolve`."""
     as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
     return candidates.select("fund", "field", value.alias("value"), as_column(rebuilt).alias("rebuilt"), as_column(authority).alias("authority"), as_column(scope).alias("scope"), "priority", F.lit(2).alias("evidence"), "score", "source_id", F.lit("unknown").alias("date_kind"), F.lit(None).cast("date").alias("date_value"))
+
+
+def news_date(url: Column, title: Column) -> Column:
+    """The day of a news item: from its address (the first of a month without a day), else from its title."""
+    p = r"(?<!\d)(20\d{2})[/-](\d{1,2})(?:[/-](\d{1,2}))?(?!\d)"
+    part = lambda k: F.regexp_extract(url, p, k)
+    named = F.try_to_date(F.format_string("%s-%02d-%02d", part(1), F.coalesce(part(2).try_cast("int"), F.lit(0)), F.coalesce(part(3).try_cast("int"), F.lit(1))), "yyyy-MM-dd")
+    return F.coalesce(F.when(part(1) != "", named), first_date(fold(title)))
+
+
+def news(items: DataFrame, noise: list[str] = ("kontakt", "cookies", "gdpr", "login"), most: int = 25) -> DataFrame:
+    """(fund, url, title, published_at) of links (fund, seq, url, title): the first of each address, newest first, at most `most`.
+
+    Undated items come last; the cap is the feature's.
+    """
+    rows = items.where(~has_any(fold(F.concat_ws(" ", "url", "title")), list(noise)) & (F.trim("title") != ""))
+    once = rows.groupBy("fund", "url").agg(F.min_by("title", "seq").alias("title")).withColumn("published_at", news_date(F.col("url"), F.col("title")))
+    return cap(once, ["fund"], [F.desc(F.coalesce("published_at", F.lit("0001-01-01").cast("date"))), F.desc("title"), "url"], most)
+
+
+def fields_in_long_form(candidates: list[DataFrame], display: dict[str, Column]) -> DataFrame:
+    """(fund, field, value text, score, ...) of candidates of different fields, as claims whose value is its display form."""
+    parts = [c.withColumn("value", display[f]) for c, f in zip(candidates, display)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
