@@ -116,3 +116,28 @@ def mixed(df: DataFrame, weights: list[int], most: int = MOST, seed: str = SEED,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's part in the mix."""
     return mix(documents(spark, sf_dir), [1, 2, 3]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || '/mix-1'), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656 AS u FROM documents),
+lv AS (SELECT *, CASE WHEN size < 2 THEN 0 ELSE length(bin(size)) - 1 END AS l FROM d),
+c AS (SELECT source, l, sum(size)::BIGINT AS words, floor(16 * pow(2.0::DOUBLE, l / 4.0::DOUBLE))::BIGINT AS m FROM lv GROUP BY source, l),
+s AS (SELECT source, sum(words)::BIGINT AS ss FROM c GROUP BY source),
+sn AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w, ss * 3 AS cap FROM s),
+sl AS (SELECT *, (sum(ss) OVER () - coalesce(sum(cap) OVER o, 0))::DOUBLE / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS lev FROM sn
+  WINDOW o AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+st AS (SELECT source, ss, least(cap::DOUBLE, coalesce(max(CASE WHEN NOT cap <= lev * w THEN lev END) OVER () * w, cap::DOUBLE)) AS target FROM sl),
+cl AS (SELECT c.*, target FROM c JOIN st ON c.source IS NOT DISTINCT FROM st.source WHERE words > 0),
+r AS (SELECT *, (target - coalesce(sum(words) OVER b, 0) * 3) / sum(m * words) OVER a AS rate FROM cl
+  WINDOW b AS (PARTITION BY source ORDER BY l DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY source ORDER BY l DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+f AS (SELECT *, max(CASE WHEN NOT rate * m >= 3 THEN rate END) OVER (PARTITION BY source) AS share FROM r),
+g AS (SELECT *, least(3::DOUBLE, coalesce(share * m, 3::DOUBLE)) AS wanted FROM f),
+h AS (SELECT *, floor(wanted)::BIGINT AS sure, wanted - floor(wanted) AS p, target - sum(floor(wanted)::BIGINT * words) OVER (PARTITION BY source) AS rest FROM g),
+x AS (SELECT lv.doc_id, lv.source, lv.size, coalesce(h.sure, 0) AS sure, h.rest, CASE WHEN h.p > 0 THEN (u / (1 - u)) * ((1 - p) / p) END AS q
+  FROM lv LEFT JOIN h ON lv.source IS NOT DISTINCT FROM h.source AND lv.l = h.l AND lv.size > 0),
+z AS (SELECT *, q IS NOT NULL AND sum(size) OVER (PARTITION BY source, q IS NULL ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) <= rest AS drawn FROM x),
+gap AS (SELECT source, max(rest) - sum(CASE WHEN drawn THEN size ELSE 0 END) AS g FROM z GROUP BY source),
+b AS (SELECT z.source, arg_min(doc_id, (abs(size - g), q, doc_id)) AS fill FROM z JOIN gap ON z.source IS NOT DISTINCT FROM gap.source WHERE q IS NOT NULL AND NOT drawn AND size < 2 * g GROUP BY z.source)
+SELECT z.doc_id, z.size, st.ss AS source_size, st.target, ((sure + (drawn OR coalesce(z.doc_id = b.fill, false))::INT) * z.size)::BIGINT AS taken
+FROM z JOIN st ON z.source IS NOT DISTINCT FROM st.source LEFT JOIN b ON z.source IS NOT DISTINCT FROM b.source"""

@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_embedding_near_dedup": embeddings.OP2_SQL,
+    "op3_source_mix": mixing.OP3_SQL,
     "op6_warc_fixity_audit": warc.OP6_SQL,
     "op8_line_dedup": lines.OP8_SQL,
 }
