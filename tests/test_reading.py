@@ -75,7 +75,7 @@ def test_canonical_url(spark, url, want):
 
 
 @given(st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=40))
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=15, deadline=None)
 def test_aligned_folding_keeps_places(t):
     from pyspark.sql import SparkSession
 
