@@ -7,7 +7,6 @@ import re
 
 from hypothesis import assume, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import evidence, text
@@ -85,10 +84,9 @@ def test_triggers(spark):
     assert t("aum_history", "not_found", False, False, False) is None and t("news", "not_found", False, False, True) is None and t("fees", "found", False, False, True) is None
 
 
-@given(st.from_regex(r"https?://[A-Za-z]{1,8}\.(cz|com)(:\d{2,4})?(/[A-Za-z0-9._-]{0,6}){0,3}(\?[a-z]=[0-9])?(#[a-z]{0,3})?", fullmatch=True))
+@given(url=st.from_regex(r"https?://[A-Za-z]{1,8}\.(cz|com)(:\d{2,4})?(/[A-Za-z0-9._-]{0,6}){0,3}(\?[a-z]=[0-9])?(#[a-z]{0,3})?", fullmatch=True))
 @settings(max_examples=15, deadline=None)
-def test_canonical_addresses_stay(url):
-    spark = SparkSession.getActiveSession()
+def test_canonical_addresses_stay(spark, url):
     assume(not re.search(r"\w/{2,}(\?|#|$)", url))  # a path of slashes alone becomes empty, and then one slash
     once = one(spark, text.canonical_url("u"), u=url)
     assert one(spark, text.canonical_url("u"), u=once) == once and "#" not in once

@@ -74,12 +74,9 @@ def test_canonical_url(spark, url, want):
     assert one(spark, text.canonical_domain("u"), u=url) == want.split("/")[2].split(":")[0].removeprefix("www.") if "://" in want else True
 
 
-@given(st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=40))
+@given(t=st.text(alphabet=st.characters(max_codepoint=0x24F), max_size=40))
 @settings(max_examples=15, deadline=None)
-def test_aligned_folding_keeps_places(t):
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
+def test_aligned_folding_keeps_places(spark, t):
     got = spark.createDataFrame([(t,)], "t string").select(F.length(text.without_marks("t")).alias("n"), F.length("t").alias("m")).first()
     assert got.n == got.m
 
