@@ -13,14 +13,14 @@ from pyspark.sql import types as T
 from .text import canonical_domain, fold, has_any, text
 
 # Hosts of managers (parts of names), status codes of absence, words of managers, and bounds.
-MANAGER_HOSTS = ["avant", "amista", "conseq", "generali", "raiffeisen", "wood"]
-ABSENT = [404, 410]
-MANAGER_WORDS = ["vyrocni zprava spolecnosti", "investicni spolecnost spravuje", "seznam fondu", "nase fondy", "our funds"]
+MANAGER_HOSTS = ["avantfunds", "amista", "codyainvest", "monecois", "jtis", "deltais", "encoram", "tillerfunds", "creditas", "redsidefunds", "bhs", "natland", "conseq", "generali", "raiffeisen", "wood"]
+ABSENT = [403, 404, 410]
+MANAGER_WORDS = ["vyrocni zprava investicni spolecnosti", "vyrocni zprava spolecnosti", "obhospodarovatel spravuje", "investicni spolecnost spravuje", "aktiva ve sprave skupiny", "seznam obhospodarovanych fondu", "prehled fondu ve sprave", "annual report of the management company"]
 BROKEN_ORDER, BARE_TEXT, COLUMNS_SHARE, SERIES_ROWS = 0.33, 2_000, 0.25, 5
 BLOCKED_TYPES = ["priips_kid", "financial_statements"]
 WORDS_KEPT, EVIDENCE_KEPT, ISINS_KEPT, ORDER_GAIN = 0.97, 0.95, 1.0, 0.05
-RANGE_WORDS = ["od 0", "az do", "do vyse", "max", "nejvyse", "up to", " - "]
-ZERO_WORDS = ["0 %", "0%", "zdarma", "bez poplatku", "neuctuje", "zadny", "free of charge", "nulov"]
+RANGE_WORDS = ["od ", " do ", " az ", "maximaln", "nejvyse", "up to", "minimaln"]
+ZERO_WORDS = ["0 %", "0%", "0,00 %", "0.00 %", "0 czk", "0 eur", "0 usd", "0 kc", "bez poplatku", "neplati zadny", "neni aplikovan zadny", "neuctuje zadny", "nehradi zadny", "zdarma"]
 ISIN = r"\b[A-Z]{2}[A-Z0-9]{9}\d\b"
 ICO = r"(?<!\d)\d{8}(?!\d)"
 

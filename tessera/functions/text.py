@@ -151,7 +151,7 @@ def resolved_url(bases: pa.Array, hrefs: pa.Array) -> pa.Array:
 # --- names
 
 #: Words that don't tell one fund from another.
-GENERIC_WORDS = ["fond", "fund", "sicav", "investicni", "kvalifikovanych", "investoru", "podfond", "subfund", "otevreny", "uzavreny", "akciova", "spolecnost", "kapitalova", "zakladnim", "kapitalem", "promennym"]
+GENERIC_WORDS = ["as", "sicav", "fond", "fondy", "fund", "funds", "investicni", "investment", "investments", "invest", "spolecnost", "company", "podfond", "subfund", "otevreny", "uzavreny", "promennym", "zakladnim", "kapitalem", "cesky", "czech"]
 #: Fixed value: legal forms.
 LEGAL_FORM = r"(?i)[,\s]*\b(?:sicav|a\.?\s?s\.?|s\.?\s?r\.?\s?o\.?|k\.?\s?s\.?|se|plc|ltd\.?|gmbh|ag)(?=$|[\s,.)])"
 

@@ -10,7 +10,7 @@ from .text import fold, once, text
 #: Units of amounts, in folded spelling.
 UNITS = {1e3: ["tis", "tisic"], 1e6: ["mil", "milion", "milionu", "million"], 1e9: ["mld", "miliarda", "miliard", "billion"]}
 #: Units that a table's head declares; the first found holds.
-DECLARED = [("v tis", 1e3), ("tis. kc", 1e3), ("tisic", 1e3), ("v mil", 1e6), ("mil. kc", 1e6), ("v mld", 1e9)]
+DECLARED = [("v celych tis", 1e3), ("v tisicich", 1e3), ("v tis", 1e3), ("tis. kc", 1e3), ("v milionech", 1e6), ("v mil", 1e6), ("v miliardach", 1e9), ("v mld", 1e9)]
 #: Fixed value: names of months, Czech genitive and English.
 MONTHS = {"ledna": 1, "unora": 2, "brezna": 3, "dubna": 4, "kvetna": 5, "cervna": 6, "cervence": 7, "srpna": 8, "zari": 9, "rijna": 10, "listopadu": 11, "prosince": 12, "january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7, "august": 8, "september": 9, "october": 10, "november": 11, "december": 12}
 
