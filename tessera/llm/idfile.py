@@ -189,7 +189,7 @@ def write_ids(df: DataFrame, path: str, vocabulary: str, end: int | None = None,
     ranks = np.zeros(max(tokens, default=0) + 1, np.uint32)
     ranks[tokens] = np.arange(len(tokens))
     ordered = ids.where("ids is not null").select("doc_id", "ids").repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_blocks(ranks, kind), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ordered.mapInArrow(_blocks(ranks, kind), BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     drop_path(spark, held)
     blocks = spark.read.parquet(f"{path}/blocks")
     sums = blocks.groupBy("part").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
