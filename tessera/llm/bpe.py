@@ -26,8 +26,10 @@ from .common import documents, trim
 
 SHORT = 48
 NONE = np.int32(2**31 - 1)
-#: Parts of texts that a Python worker remembers, in Arrow arrays (about 60 bytes each); beyond, it starts afresh.
-REMEMBERED = 1_200_000
+#: Parts of texts that a Python worker remembers, in Arrow arrays (about 40 bytes each); beyond, it starts afresh.
+REMEMBERED = 2_500_000
+#: Bytes of text that one step encodes; each step looks its parts up in the memory at once.
+ENCODED = 12_000_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split of the byte-level vocabulary into words, as its file's pre-tokenizer defines it.
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -274,7 +276,7 @@ def encoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         own = loaded(Vocabulary, shared.value)
-        ids = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(own.encode, in_chunks(texts))])
+        ids = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(own.encode, in_chunks(texts, ENCODED))])
         trim()
         return ids
 
@@ -305,7 +307,7 @@ def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "i
     def both(texts: pa.Array) -> pa.Array:
         own = loaded(Vocabulary, shared.value)
         parts = [pa.StructArray.from_arrays([pa.array([], pa.list_(pa.int32())), pa.array([], pa.string())], names=["ids", "decoded"])]
-        for part in in_chunks(texts):
+        for part in in_chunks(texts, ENCODED):
             rows = own.encode(part)
             flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
             back = pa.array([own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string())

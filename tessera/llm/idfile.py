@@ -101,7 +101,7 @@ def _tokenise(vocabulary, end: int | None, kind: str):
         total = np.zeros(own.tokenizer.get_vocab_size() + 1, np.int64)
         for batch in batches:
             ids, at = [], 0
-            for part in bpe.in_chunks(batch.column(1)):
+            for part in bpe.in_chunks(batch.column(1), bpe.ENCODED):
                 rows = own.encode(part)
                 flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
                 seen = np.bincount(flat, minlength=len(total))
