@@ -111,8 +111,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     root is the smallest node that links reach. Each round hooks every node on the smallest root of its
     neighbours and halves the paths, so rounds grow with the logarithm of the longest chain. A
-    neighbourhood is only ever reduced by min (map-side first), never gathered, so a node with very
-    many links costs no task more than others; each task first shrinks its own edges to a forest. State is written to the
+    neighbourhood is only ever reduced by min (map-side first), never gathered, and what is joined to
+    it is a written table, so that Spark may broadcast a small one and split a node with very many
+    links over tasks; each task first shrinks its own edges to a forest. State is written to the
     shared folder every round. Self links give their node the root itself; null ends are ignored; an
     empty table gives an empty table.
     """
@@ -124,13 +125,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         # large star: every larger neighbour of a node moves to the smallest node around it
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low, low_path = save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
+        large, large_path = save(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), name)
         # small star: each node and its smaller neighbours move to the smallest of them
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low2, "a").select("a", "b", "m")
+        low2, low2_path = save(large.groupBy("a").agg(F.min("b").alias("m")), name)
+        small = large.join(low2, "a")
         moved = small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         nxt, path = save(moved.where("a <> b").distinct(), name)
+        for done in (low_path, large_path, low2_path):
+            drop_path(spark, done)
         shape = [x.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for x in (links, nxt)]
         if old != links_path:
             drop_path(spark, old)
