@@ -231,31 +231,55 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     component_id. Rows that share a doc_id count as one document: what either links with is linked. An
     empty table gives an empty one; other columns are left out.
     """
-    rows, _ = save(df.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprints(shingle)(F.col(text).cast("binary")).alias("fp")), "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    roots = components(links(classes, radius).union(_shared_ids(rows)), "simhash")
-    found = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return rows.join(found, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    rows, roots = _linked(df, shingle, radius, doc_id, text)
+    classes = rows.groupBy("node").agg(F.min("doc_id").alias("id"))
+    named, _ = save(classes.join(roots, "node", "left"), "named")
+    ids, _ = save(named.where("root is not null").groupBy("root").agg(F.min("id").alias("least")), "ids")
+    found = named.join(ids, "root", "left").select("node", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    return rows.join(found, "node").select("doc_id", F.col("node").alias("fingerprint"), "component_id")
 
 
-def _shared_ids(rows: DataFrame) -> DataFrame:
-    """Edges between the fingerprint classes of a doc_id that several rows share."""
-    many = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where("n > 1 and low <> high").select("doc_id")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    return rows.join(many, "doc_id").join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+def _linked(df: DataFrame, shingle: int, radius: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, t, node), node the fingerprint and t the text's hash, and (node, root) of linked fingerprints.
+
+    Fingerprints are the nodes, as every row has one, with a doc_id or without.
+    """
+    made = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("t"), fingerprints(shingle)(F.col(text).cast("binary")).alias("node"))
+    rows, _ = save(made, "fingerprints")
+    classes = rows.select("node").distinct().select(F.col("node").alias("fp"), "node")
+    roots, _ = save(components(links(classes, radius).union(shared_ids(rows)), "simhash"), "roots")
+    return rows, roots
+
+
+def shared_ids(rows: DataFrame) -> DataFrame:
+    """Edges between the nodes of a doc_id that several rows (doc_id, node) share."""
+    many = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("doc_id", "low")
+    return rows.join(many, "doc_id").select(F.col("node").alias("a"), F.col("low").alias("b")).where("a <> b")
+
+
+def first_rows(df: DataFrame, rows: DataFrame, roots: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row of df for each group: that of the smallest (doc_id, hash of text), null ids last.
+
+    rows (doc_id, t, node) stand for those of df; nodes without a root are groups of their own.
+    """
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("t").alias("__t"))).alias("least")
+    groups = rows.groupBy("node").agg(least).join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group"))
+    keep = groups.agg(F.min("least").alias("least")).select("least.*")
+    own = F.col(doc_id).cast("long")
+    marked = df.withColumns({"__none": own.isNull(), "__id": F.coalesce(own, F.lit(0)), "__t": F.xxhash64(F.col(text))})
+    stays = marked.join(keep, ["__none", "__id", "__t"], "left_semi")
+    order = Window.partitionBy("__none", "__id", "__t").orderBy(F.col(text))
+    return stays.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row", "__none", "__id", "__t")
 
 
 def dedup(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df of which one stays for each group: the smallest doc_id's; all columns as they are.
 
-    Of rows with that same doc_id the one with the smallest text stays. Rows without doc_id stay only
-    where their whole group has none, and then one of them.
+    Of rows with that same doc_id the one with the smallest hash of its text stays. Rows without doc_id
+    stay only where their whole group has none, and then one of them for each such group.
     """
-    groups = near_duplicates(df, shingle, radius, doc_id, text).select("doc_id", "component_id").distinct()
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep"))
-    stays = df.join(keep, df[doc_id].cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(F.col(text)), F.col(text))
-    return stays.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+    rows, roots = _linked(df, shingle, radius, doc_id, text)
+    return first_rows(df, rows, roots, doc_id, text)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

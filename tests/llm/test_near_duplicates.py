@@ -70,6 +70,19 @@ def test_simhash_without_ids(spark):
     assert got == [(-1, -1), (-1, 7), (-1, 7), (7, 7)]
 
 
+def test_simhash_dedup_without_ids(spark):
+    words = " ".join(made_up(8, 1, 400)[0].split() * 3)
+    near = [(None, words), (None, words + " extra"), (None, words.replace("a", "A", 1))]
+    df = spark.createDataFrame([*near, (None, "quite another text"), (None, "quite another text"), (None, "and a third of its own"), (7, "one two three"), (None, "one two three"), (8, None)], "doc_id long, text string")
+    a, b = brute_fingerprint(words), brute_fingerprint(words + " extra")
+    assert a != b and bin(a ^ b).count("1") <= 3
+    got = simhash.dedup(df.repartition(3)).collect()
+    assert sorted(r.doc_id or -1 for r in got) == [-1, -1, -1, 7, 8]
+    texts = {r.text for r in got}
+    assert texts - {t for _, t in near} == {"quite another text", "and a third of its own", "one two three", None}
+    assert [r.component_id for r in simhash.near_duplicates(df).collect() if r.doc_id is None].count(7) == 1
+
+
 def test_bit_slices():
     r = np.random.default_rng(1)
     base = r.integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2) + r.integers(0, 2, 500).astype(np.uint64)
