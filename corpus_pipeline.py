@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.cluster import ship
-from tessera.llm import bpe, lines, mixing, quality, simhash
+from tessera.llm import bpe, jaccard, lines, mixing, quality
 from tessera.llm.common import documents, save
 
 #: Weights of the sources by code point, repeating.
@@ -32,9 +32,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: five-word shingles of Jaccard similarity 0.8."""
     ship(spark)
-    return simhash.dedup(docs).select(docs.columns)
+    return jaccard.dedup(docs).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
