@@ -1,14 +1,18 @@
 """SimHash near-duplicates, compared bit-sliced.
 
-Fingerprints that differ in at most `radius` of 64 bits agree in at least two of radius + 2 blocks of
-bits, so every pair of blocks is a key and only fingerprints that share a key are compared. Copies
-share one fingerprint, which is compared once. A key that very many fingerprints share is cut into
-groups of about `GROUP`, and every two groups meet in a tile of their own.
+Fingerprints that differ in at most `radius` of 64 bits agree in at least `agree` of radius + agree
+blocks of bits, so every choice of `agree` blocks is a key and only fingerprints that share a key are
+compared. Copies share one fingerprint, which is compared once. A key that very many fingerprints share
+is cut into groups of about `GROUP`, and every two groups meet in a tile of their own. With radius 3
+and agree 2 a key has 25 bits, so n different fingerprints meet about n * n / 7,000,000 times in all
+(10 ** 11 comparisons, 64 at a time, for 10 ** 9); agree 3 has 32 bits in 20 keys and meets a sixtieth
+as often: take it beyond 10 ** 9. No choice loses a link.
 
 Inside a tile the fingerprints stand as bit planes (one bit of 64 fingerprints in a word). Planes are
 compared with the query's bits and added, three at a time, by carry-save adders into counters that lie
 vertically too; a query leaves a block as soon as all of the block is beyond the radius. A tile returns
-a spanning forest of its links, not the pairs.
+a spanning forest of its links, not the pairs. `similar.py` compares wider fingerprints by the same
+planes and counters where near duplicates are texts of a given similarity.
 """
 
 from __future__ import annotations
@@ -17,10 +21,10 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, save, spanning_forest, trim
+from .common import components, documents, fresh, row_hash, save, settled, spanning_forest, trim
 
 SHINGLE = 3
 RADIUS = 3
@@ -68,37 +72,58 @@ def fingerprints(shingle: int = SHINGLE):
 
 
 def planes(values: np.ndarray) -> np.ndarray:
-    """(64, words) bit planes of 64-bit values."""
-    bits = np.zeros((-(-len(values) // 64) * 64, 64), np.uint8)
-    bits[: len(values)] = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """(bits, words) planes of (n,) or (n, k) values of 64 or 64 * k bits: bit j of 64 values in a word."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    bits = np.zeros((-(-len(values) // 64) * 64, 8 * raw.shape[1]), np.uint8)
+    bits[: len(values)] = np.unpackbits(raw, axis=1, bitorder="little")
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
 class Counter:
-    """Vertical counts of set bits, exact up to 3, then `over`."""
+    """Vertical counts of set bits. `over` has a bit for each count beyond the radius.
 
-    def __init__(self, shape: tuple[int, ...]) -> None:
-        self.one, self.two, self.over = (np.zeros(shape, np.uint64) for _ in range(3))
+    Counters begin at 2 ** bits - 1 - radius, so it is their carry out that says so.
+    """
+
+    def __init__(self, shape: tuple[int, ...], radius: int) -> None:
+        start = (1 << radius.bit_length()) - 1 - radius
+        self.digits = [np.full(shape, ONES if start >> k & 1 else np.uint64(0)) for k in range(radius.bit_length())]
+        self.over = np.zeros(shape, np.uint64)
+
+    def put(self, level: int, bits: np.ndarray) -> None:
+        """Add a plane of weight 2 ** level."""
+        for k in range(level, len(self.digits)):
+            bits, self.digits[k] = self.digits[k] & bits, self.digits[k] ^ bits
+        self.over |= bits
 
     def add(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> None:
+        """Add three planes of weight one: a carry-save adder makes one of weight one and one of two of them."""
         half = a ^ b
-        ones, twos = half ^ c, (a & b) | (c & half)
-        carry = self.one & ones
-        self.one ^= ones
-        half = self.two ^ twos
-        self.over |= (self.two & twos) | (carry & half)
-        self.two = half ^ carry
-
-    def within(self, radius: int) -> np.ndarray:
-        """Words of bits: counts of at most radius (0 to 3)."""
-        beyond = self.over.copy()
-        if radius < 3:
-            beyond |= self.two & self.one
-        if radius < 2:
-            beyond |= self.two
-        if radius < 1:
-            beyond |= self.one
-        return ~beyond
+        self.put(0, half ^ c)
+        self.put(1, (a & b) | (c & half))
+
+    def take(self, stay: np.ndarray) -> None:
+        self.digits, self.over = [d[stay] for d in self.digits], self.over[stay]
+
+
+def near(queries: np.ndarray, own: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which queries have any, words of bits for these): values in the planes `own` within radius of a query."""
+    left = np.arange(len(queries))
+    bits = np.unpackbits(np.ascontiguousarray(queries).view(np.uint8).reshape(len(queries), -1), axis=1, bitorder="little")
+    masks = np.where(bits.T, ONES, np.uint64(0))
+    count = Counter((len(queries), own.shape[1]), radius)
+    none = np.zeros_like(count.over)
+    for k in range(0, len(own), 3):
+        trio = [own[j][None, :] ^ masks[j][:, None] if j < len(own) else none[: len(left)] for j in (k, k + 1, k + 2)]
+        count.add(*trio)
+        if k % 12 == 9:
+            stay = (count.over != ONES).any(1)
+            if not stay.all():
+                left, masks = left[stay], masks[:, stay]
+                count.take(stay)
+            if not len(left):
+                break
+    return left, ~count.over
 
 
 def close(queries: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,28 +131,13 @@ def close(queries: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.ndarr
     own = planes(block)
     q_out, b_out = [], []
     for w in range(0, own.shape[1], 16):
-        some = own[:, w : w + 16]
         for at in range(0, len(queries), 256):
-            part = queries[at : at + 256]
-            left = np.arange(at, at + len(part))
-            masks = np.where((part[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), ONES, np.uint64(0))
-            count = Counter((len(part), some.shape[1]))
-            for k in range(0, 64, 3):
-                trio = [some[j][None, :] ^ masks[j][:, None] if j < 64 else np.zeros((len(left), some.shape[1]), np.uint64) for j in (k, k + 1, k + 2)]
-                count.add(*trio)
-                if k % 12 == 9:
-                    stay = (count.over != ONES).any(1)
-                    if not stay.all():
-                        left, masks = left[stay], masks[:, stay]
-                        count.one, count.two, count.over = count.one[stay], count.two[stay], count.over[stay]
-                    if not len(left):
-                        break
+            left, words = near(queries[at : at + 256], own[:, w : w + 16], radius)
             if len(left):
-                bits = np.unpackbits(count.within(radius).view(np.uint8), axis=1, bitorder="little")
-                q, b = np.nonzero(bits)
+                q, b = np.nonzero(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"))
                 b += 64 * w
                 real = b < len(block)
-                q_out.append(left[q[real]])
+                q_out.append(at + left[q[real]])
                 b_out.append(b[real])
     return (np.concatenate(q_out), np.concatenate(b_out)) if q_out else (np.zeros(0, np.int64),) * 2
 
@@ -135,13 +145,13 @@ def close(queries: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.ndarr
 def close_rows(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
     """Which a[k], b[k] differ in at most radius bits: planes of the differences, counted vertically."""
     own = planes(a ^ b)
-    count = Counter((own.shape[1],))
+    count = Counter((own.shape[1],), radius)
     zero = np.zeros(own.shape[1], np.uint64)
-    for k in range(0, 64, 3):
-        count.add(own[k], own[k + 1] if k < 63 else zero, own[k + 2] if k < 62 else zero)
+    for k in range(0, len(own), 3):
+        count.add(*[own[j] if j < len(own) else zero for j in (k, k + 1, k + 2)])
         if k % 12 == 9 and (count.over == ONES).all():
             return np.zeros(len(a), bool)
-    return np.unpackbits(count.within(radius).view(np.uint8), bitorder="little")[: len(a)].astype(bool)
+    return np.unpackbits((~count.over).view(np.uint8), bitorder="little")[: len(a)].astype(bool)
 
 
 def _tiles(radius: int):
@@ -203,24 +213,38 @@ def _tiles(radius: int):
     return run
 
 
-def block_bounds(radius: int) -> list[tuple[int, int]]:
-    """(lowest bit, bits) of radius + 2 nearly equal blocks."""
-    n = radius + 2
+def block_bounds(radius: int, agree: int = 2) -> list[tuple[int, int]]:
+    """(lowest bit, bits) of radius + agree nearly equal blocks."""
+    n = radius + agree
     at = [64 * k // n for k in range(n + 1)]
     return [(a, b - a) for a, b in zip(at[:-1], at[1:])]
 
 
-def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
+def key_columns(radius: int, agree: int) -> list[Column]:
+    """A key for each choice of `agree` blocks: the blocks' bits, and the choice's number hashed in where 64 bits are too few."""
+    bounds = block_bounds(radius, agree)
+    keys = []
+    for t, chosen in enumerate(combinations(range(len(bounds)), agree)):
+        key = F.lit(0).cast("long")
+        for x in chosen:
+            low, n = bounds[x]
+            key = F.shiftleft(key, n).bitwiseOR(F.shiftrightunsigned("fp", low).bitwiseAND((1 << n) - 1))
+        keys.append(F.shiftleft(F.lit(t).cast("long"), 58).bitwiseOR(key) if agree == 2 else F.xxhash64(F.lit(t), key))
+    return keys
+
+
+def links(classes: DataFrame, radius: int = RADIUS, agree: int = 2) -> DataFrame:
     """Forest edges (a, b) over nodes of classes(fp long, node long) whose fingerprints are within radius."""
-    assert 0 <= radius <= 3
-    bits = [F.shiftrightunsigned("fp", a).bitwiseAND((1 << n) - 1) for a, n in block_bounds(radius)]
-    keys = [F.shiftleft(F.lit(t).cast("long"), 58).bitwiseOR(F.shiftleft(bits[x], block_bounds(radius)[y][1])).bitwiseOR(bits[y]) for t, (x, y) in enumerate(combinations(range(radius + 2), 2))]
-    keyed = classes.select("fp", "node", F.explode(F.array(*keys)).alias("key"))
+    assert 0 <= radius <= 3 and agree >= 2
+    keyed = classes.select("fp", "node", F.explode(F.array(*key_columns(radius, agree))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     groups = F.ceil(F.col("n") / GROUP).cast("int")
-    own = keyed.join(shared, "key").select("key", "fp", "node", groups.alias("g"), F.pmod(F.xxhash64("fp"), groups).cast("int").alias("block"))
-    tiled = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "node")
-    return tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_tiles(radius), "a long, b long")
+    block = F.pmod(F.xxhash64("fp"), groups).cast("int")
+    own = keyed.join(shared, "key").select("key", "fp", "node", groups.alias("g"), block.alias("block"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    tiled = other.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "node")
+    dealt = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_tiles(radius), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -260,22 +284,34 @@ def shared_ids(rows: DataFrame) -> DataFrame:
 def first_rows(df: DataFrame, rows: DataFrame, roots: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row of df for each group: that of the smallest (doc_id, hash of text), null ids last.
 
-    rows (doc_id, t, node) stand for those of df; nodes without a root are groups of their own.
+    rows (doc_id, t, node) stand for those of df; nodes without a root are groups of their own. Which
+    rows stay is settled on ids and hashes; texts are joined to it once, and only rows of which df has
+    several equal in id and text are dealt by these, to keep one.
     """
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("t").alias("__t"))).alias("least")
-    groups = rows.groupBy("node").agg(least).join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("group"))
-    keep = groups.agg(F.min("least").alias("least")).select("least.*")
-    own = F.col(doc_id).cast("long")
-    marked = df.withColumns({"__none": own.isNull(), "__id": F.coalesce(own, F.lit(0)), "__t": F.xxhash64(F.col(text))})
-    stays = marked.join(keep, ["__none", "__id", "__t"], "left_semi")
-    order = Window.partitionBy("__none", "__id", "__t").orderBy(F.col(text))
-    return stays.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row", "__none", "__id", "__t")
+    none, own, t, copies = fresh(df, "none", "id", "t", "copies")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("t").alias("t"))
+    least = rows.groupBy("node", place.alias("least")).agg(F.count("*").alias("copies"))
+    grouped = least.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    kept = grouped.groupBy("group").agg(F.min("least").alias("least"))
+    many = least.groupBy("least").agg(F.sum("copies").alias("copies"))
+    named = [F.col("least.n").alias(none), F.col("least.i").alias(own), F.col("least.t").alias(t), F.col("copies").alias(copies)]
+    keep, _ = save(kept.join(many, "least").select(*named), "kept")
+    given = F.col(doc_id).cast("long")
+    marked = df.withColumns({none: given.isNull(), own: F.coalesce(given, F.lit(0)), t: F.xxhash64(F.col(text))})
+    keys = [none, own, t]
+    if keep.where(F.col(copies) > 1).isEmpty():
+        return marked.join(keep, keys, "left_semi").select(*df.columns)
+    alone = marked.join(keep.where(F.col(copies) == 1), keys, "left_semi")
+    several = marked.join(keep.where(F.col(copies) > 1), keys, "left_semi")
+    number = fresh(marked, "number")[0]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(row_hash(df)))
+    return alone.select(*df.columns).union(several.withColumn(number, first).where(F.col(number) == 1).select(*df.columns))
 
 
 def dedup(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df of which one stays for each group: the smallest doc_id's; all columns as they are.
 
-    Of rows with that same doc_id the one with the smallest hash of its text stays. Rows without doc_id
+    Of rows with that same doc_id one with the smallest hash of its text stays. Rows without doc_id
     stay only where their whole group has none, and then one of them for each such group.
     """
     rows, roots = _linked(df, shingle, radius, doc_id, text)
@@ -284,5 +320,9 @@ def dedup(df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: s
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and group of near duplicates."""
-    found = near_duplicates(documents(spark, sf_dir))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+    def make() -> DataFrame:
+        found = near_duplicates(documents(spark, sf_dir))
+        return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+    return settled(spark, "op5", make)
