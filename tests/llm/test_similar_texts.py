@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import jaccard
+from tessera.llm import similar
 
 from .conftest import made_up
 from .test_near_duplicates import brute_components
@@ -54,15 +54,15 @@ def test_stage_finds_similar_texts(spark):
 
 
 def test_large_cluster_is_cut_into_tiles(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CELLS", 900)
+    monkeypatch.setattr(similar, "CELLS", 900)
     rows = documents(6)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in jaccard.dedup(df).collect()) == sorted(set(wanted(rows)[0].values()))
+    assert sorted(r.doc_id for r in similar.dedup(df).collect()) == sorted(set(wanted(rows)[0].values()))
 
 
 def test_without_ids_and_with_shared_ones(spark):
     a, b, c = made_up(9, 1, 90)[0] * 3, made_up(10, 1, 90)[0] * 3, made_up(11, 1, 90)[0] * 3
     df = spark.createDataFrame([(None, a), (None, a + " extra"), (None, b), (5, c), (None, c + " extra"), (6, "one"), (6, "two"), (7, "two")], "doc_id long, text string")
-    got = jaccard.dedup(df.repartition(3)).collect()
+    got = similar.dedup(df.repartition(3)).collect()
     assert sorted(r.doc_id or -1 for r in got) == [-1, -1, 5, 6]
-    assert jaccard.dedup(df.limit(0)).collect() == []
+    assert similar.dedup(df.limit(0)).collect() == []
