@@ -4,18 +4,23 @@ Each unit vector u is held as int8 values q and a scale, a = q / scale, with e =
 two vectors |u.v - a.b| <= e_u + |a| e_v, so a product of int8 tiles (whole numbers, exact in single
 precision up to 1,024 dimensions and summed in double beyond) says which pairs are surely below or
 surely above the threshold; only the rest are computed again from the given values in double
-precision. Equal vectors count as one with a weight. Tiles of `BLOCK` vectors meet pairwise, each in a
-task; a tile returns link counts per vector and a spanning forest, never its pairs.
+precision. Equal vectors count as one with a weight.
+
+Blocks of about `BLOCK` vectors meet pairwise in tiles. Only codes, scales and errors travel there, made
+once for each vector. A tile returns link counts per vector, a spanning forest of its links, and the
+vectors that have a doubtful pair in it, never its pairs. The doubles of these vectors follow to the same
+tiles, where their doubtful pairs, and no others, are settled. Work is that of all pairs of different
+vectors: the method is exact and takes no index.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, save, spanning_forest
+from .common import components, save, settled, spanning_forest
 
 THRESHOLD = 0.9
 BLOCK = 8192
@@ -42,50 +47,64 @@ def usable():
     return values
 
 
-BLOCKS = "dim int, block int, key binary, node binary, n binary, vectors binary"
+CODES = "key binary, dim int, n long, codes binary, scale double, error double"
+
+
+def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(int8 values, scale, measured error) of the unit vectors along the rows of x."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    u = x / np.sqrt((x * x).sum(1, keepdims=True))
+    scale = 127 / np.abs(u).max(1)
+    q = np.rint(u * scale[:, None]).astype(np.int8)
+    return q, scale, np.sqrt(((u - q / scale[:, None]) ** 2).sum(1)) + 1e-12
+
+
+def _codes(batches):
+    """(key, dim, n, v binary) -> CODES, each vector quantised once."""
+    for batch in batches:
+        held = batch.to_pydict()
+        dims = np.array(held["dim"], np.int64)
+        codes, scale, error = [b""] * len(dims), np.zeros(len(dims)), np.zeros(len(dims))
+        for dim in np.unique(dims).tolist():
+            at = np.flatnonzero(dims == dim)
+            q, scale[at], error[at] = quantise(np.frombuffer(b"".join(held["v"][k] for k in at), np.float64).reshape(len(at), dim))
+            for k, row in zip(at.tolist(), q):
+                codes[k] = row.tobytes()
+        names = ["key", "dim", "n", "codes", "scale", "error"]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("dim"), batch.column("n"), pa.array(codes, pa.binary()), pa.array(scale), pa.array(error)], names=names)
+
+
+#: What travels to tiles: a row for each block with the codes of its vectors, in order of their places.
+BLOCKS = "dim int, block int, places binary, n binary, scale binary, error binary, codes binary"
 
 
 def _block(table: pa.Table) -> pa.Table:
     """One row for the vectors of a block (about BLOCK of them)."""
-    rows = table.to_pydict()
-    x = np.frombuffer(b"".join(rows["v"]), np.float64)
-    single = x.astype(np.float32)
-    packed = single if (single == x).all() else x
-    return pa.table(
-        {
-            "dim": pa.array(rows["dim"][:1], pa.int32()),
-            "block": pa.array(rows["block"][:1], pa.int32()),
-            "key": pa.array([b"".join(rows["key"])], pa.binary()),
-            "node": pa.array([np.array([-1 if k is None else k for k in rows["node"]], np.int64).tobytes() + np.array([k is None for k in rows["node"]], np.int8).tobytes()], pa.binary()),
-            "n": pa.array([np.array(rows["n"], np.int64).tobytes()], pa.binary()),
-            "vectors": pa.array([packed.tobytes()], pa.binary()),
-        }
-    )
+    table = table.sort_by("place")
+    packed = [np.asarray(table.column(c).to_numpy(), t).tobytes() for c, t in (("place", np.int64), ("n", np.int64), ("scale", np.float64), ("error", np.float64))]
+    codes = b"".join(table.column("codes").to_pylist())
+    values = [table.column("dim")[0].as_py(), table.column("block")[0].as_py(), *packed, codes]
+    kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+    names = ["dim", "block", "places", "n", "scale", "error", "codes"]
+    return pa.table({c: pa.array([v], k) for c, v, k in zip(names, values, kinds)})
 
 
 class Block:
-    def __init__(self, row: dict) -> None:
-        self.count = len(row["n"]) // 8
-        self.keys = row["key"]
-        self.n = np.frombuffer(row["n"], np.int64)
-        self.node = np.frombuffer(row["node"][: 8 * self.count], np.int64)
-        self.no_node = np.frombuffer(row["node"][8 * self.count :], np.int8).astype(bool)
-        wide = len(row["vectors"]) == 8 * self.count * row["dim"]
-        self.x = np.frombuffer(row["vectors"], np.float64 if wide else np.float32).reshape(self.count, -1)
-        x = self.x.astype(np.float64)
-        x /= np.abs(x).max(1, keepdims=True)
-        u = x / np.sqrt((x * x).sum(1, keepdims=True))
-        self.scale = 127 / np.abs(u).max(1)
-        self.q = np.rint(u * self.scale[:, None]).astype(np.int8)
-        a = self.q / self.scale[:, None]
-        self.error = np.sqrt(((u - a) ** 2).sum(1)) + 1e-12
-        self.norm = np.sqrt((a * a).sum(1))
-        self.links = np.zeros(self.count, np.int64)
+    """Quantised vectors; x, their doubles, only where doubtful pairs are settled."""
+
+    def __init__(self, places: bytes, n: bytes, scale: bytes, error: bytes, codes: bytes, x: np.ndarray | None = None) -> None:
+        self.place, self.n = np.frombuffer(places, np.int64), np.frombuffer(n, np.int64)
+        self.scale, self.error = np.frombuffer(scale, np.float64), np.frombuffer(error, np.float64)
+        self.count = len(self.place)
+        self.q = np.frombuffer(codes, np.int8).reshape(self.count, -1)
+        self.norm = np.sqrt((self.q.astype(np.float64) ** 2).sum(1)) / self.scale
+        self.links, self.doubtful = np.zeros(self.count, np.int64), np.zeros(self.count, bool)
+        self.x = x
 
     def cosines(self, at: np.ndarray, other: Block, to: np.ndarray) -> np.ndarray:
-        a, b = self.x[at].astype(np.float64), other.x[to].astype(np.float64)
-        a /= np.abs(a).max(1, keepdims=True)
-        b /= np.abs(b).max(1, keepdims=True)
+        a, b = self.x[at], other.x[to]
+        a = a / np.abs(a).max(1, keepdims=True)
+        b = b / np.abs(b).max(1, keepdims=True)
         return (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
 
 
@@ -96,10 +115,14 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return sum(product(a[:, k : k + 1024], b[:, k : k + 1024]).astype(np.float64) for k in range(0, a.shape[1], 1024))
 
 
-def compare(a: Block, b: Block, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Adds the links between a and b to both and returns a forest of them over nodes."""
+def compare(a: Block, b: Block, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Adds links between a and b (or within a, if b is a) to both and returns a forest of them over places.
+
+    Without doubles these are the pairs that are surely above the threshold, and vectors with a pair that
+    may be are marked doubtful. With doubles they are those of the doubtful pairs that are above it.
+    """
     fa, fb = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = threshold - SLACK
+    low, exact = threshold - SLACK, a.x is not None
     right = b.q.astype(np.float32) if b.q.shape[1] <= 1024 else b.q
     for at in range(0, a.count, 256):
         rows = slice(at, at + 256)
@@ -107,55 +130,92 @@ def compare(a: Block, b: Block, same: bool, threshold: float) -> tuple[np.ndarra
         reach = low - a.error[rows] - a.norm[rows] * b.error.max()
         floor = np.where(reach > 0, reach * a.scale[rows] * b.scale.min(), reach * a.scale[rows] * b.scale.max())
         i, j = np.nonzero(p >= np.floor(floor)[:, None].astype(p.dtype))
-        if same:
+        if a is b:
             i, j = i[j > i + at], j[j > i + at]
         for k in range(0, len(i), 1 << 18):
             x, y = i[k : k + (1 << 18)] + at, j[k : k + (1 << 18)]
-            near = p[x - at, y].astype(np.float64) / (a.scale[x] * b.scale[y])
+            close = p[x - at, y].astype(np.float64) / (a.scale[x] * b.scale[y])
             bound = a.error[x] + a.norm[x] * b.error[y]
-            linked = near - bound >= threshold + SLACK
-            open_ = np.flatnonzero(~linked & (near + bound >= low))
-            linked[open_] = np.concatenate([a.cosines(x[s], b, y[s]) for s in np.array_split(open_, len(open_) // 50_000 + 1)]) >= threshold
+            linked = close - bound >= threshold + SLACK
+            open_ = np.flatnonzero(~linked & (close + bound >= low))
+            if exact:
+                linked = np.zeros(len(x), bool)
+                linked[open_] = np.concatenate([a.cosines(x[s], b, y[s]) for s in np.array_split(open_, len(open_) // 50_000 + 1)]) >= threshold
+            else:
+                a.doubtful[x[open_]] = True
+                b.doubtful[y[open_]] = True
             x, y = x[linked], y[linked]
             a.links += np.bincount(x, b.n[y], a.count).astype(np.int64)
             b.links += np.bincount(y, a.n[x], b.count).astype(np.int64)
-            real = ~(a.no_node[x] | b.no_node[y])
-            fa, fb = spanning_forest(np.concatenate([fa, a.node[x[real]]]), np.concatenate([fb, b.node[y[real]]]))
+            fa, fb = spanning_forest(np.concatenate([fa, a.place[x]]), np.concatenate([fb, b.place[y]]))
     return fa, fb
 
 
-RESULT = "key binary, links long, a long, b long"
+#: place and links of a vector; a and b of a link of the forest; or the tile and place of a doubtful vector.
+RESULT = "place long, links long, a long, b long, dim int, i int, j int"
+
+
+def _emit(tile: tuple[int, int, int], blocks: list[Block], fa: np.ndarray, fb: np.ndarray):
+    some = [np.flatnonzero(x.links) for x in blocks]
+    open_ = [x.place[x.doubtful] for x in blocks]
+    place = np.concatenate([x.place[at] for x, at in zip(blocks, some)])
+    links = np.concatenate([x.links[at] for x, at in zip(blocks, some)])
+    doubtful = np.concatenate(open_)
+    columns = []
+    for parts in ((place, None, doubtful), (links, None, None), (None, fa, None), (None, fb, None), *[(None, None, np.full(len(doubtful), t)) for t in tile]):
+        sizes = len(place), len(fa), len(doubtful)
+        columns.append(pa.concat_arrays([pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64()) for x, n in zip(parts, sizes)]))
+    columns[4:] = [c.cast(pa.int32()) for c in columns[4:]]
+    return pa.RecordBatch.from_arrays(columns, names=["place", "links", "a", "b", "dim", "i", "j"])
 
 
 def _tiles(threshold: float):
-    def emit(keys, links, a, b):
-        none = [None] * len(a)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys + none, pa.binary()), pa.array(links + none, pa.int64()), pa.array([None] * len(keys) + a.tolist(), pa.int64()), pa.array([None] * len(keys) + b.tolist(), pa.int64())],
-            names=["key", "links", "a", "b"],
-        )
+    """Block rows (dim, i, j, then BLOCKS without dim), sorted by tile -> RESULT."""
 
     def run(batches):
         last = None
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
-                tile = row["dim"], row["i"], row["j"]
-                if row["i"] == row["j"]:
-                    a = b = Block(row)
-                elif last is None or last[0] != tile:
-                    last = tile, Block(row)
+                dim, i, j, _, *values = (c[k].as_py() for c in batch.columns)
+                own = Block(*values)
+                if i == j:
+                    pair = [own]
+                elif last is None or last[0] != (dim, i, j):
+                    last = (dim, i, j), own
                     continue
                 else:
-                    a, b = last[1], Block(row)
-                fa, fb = compare(a, b, a is b, threshold)
-                keys, links = [], []
-                for block in {id(a): a, id(b): b}.values():
-                    at = np.flatnonzero(block.links)
-                    keys += [block.keys[16 * m : 16 * m + 16] for m in at.tolist()]
-                    links += block.links[at].tolist()
-                last = None
-                yield emit(keys, links, fa, fb)
+                    pair, last = [last[1], own], None
+                yield _emit((dim, i, j), pair, *compare(pair[0], pair[-1], threshold))
+
+    return run
+
+
+def _doubtful(threshold: float):
+    """Doubtful vectors (dim, i, j, block, place, n, scale, error, codes, v), sorted by tile and block -> RESULT."""
+
+    def run(batches):
+        tile, held = None, []
+
+        def done():
+            groups = [[r for r in held if r[0] == tile[1]], [r for r in held if r[0] == tile[2]]]
+            blocks = []
+            for rows in groups[: 1 if tile[1] == tile[2] else 2]:
+                if not rows:
+                    return None
+                packed = [np.array([r[k] for r in rows], t).tobytes() for k, t in ((1, np.int64), (2, np.int64), (3, np.float64), (4, np.float64))]
+                x = np.frombuffer(b"".join(r[6] for r in rows), np.float64).reshape(len(rows), -1)
+                blocks.append(Block(*packed, b"".join(r[5] for r in rows), x))
+            return _emit(tile, blocks, *compare(blocks[0], blocks[-1], threshold))
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != tile:
+                    if held and (out := done()) is not None:
+                        yield out
+                    tile, held = row[:3], []
+                held.append(row[3:])
+        if held and (out := done()) is not None:
+            yield out
 
     return run
 
@@ -164,45 +224,59 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     """(vec_id, n_links, component_id, kept) of every row: links are cosines of at least threshold.
 
     Vectors that are null, empty, all zero, or hold a null or non-finite value link with nothing, and
-    neither do vectors of different lengths. Equal vectors, repeated rows too, link with each other.
-    A null vec_id never is the smallest of a component, and links through rows without id are counted
-    but not followed; where no row of a component has an id, component_id is null and kept false. An
-    empty table gives an empty one; other columns are left out.
+    neither do vectors of different lengths. Equal vectors, repeated rows too, link with each other. Rows
+    that share a vec_id are one vertex. A null vec_id never is the smallest of a component; where no row
+    of a component has an id, component_id is null and kept false. An empty table gives an empty one;
+    other columns are left out.
     """
-    spark = df.sparkSession
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), usable()(F.col(embedding)).alias("v"))
     rows, _ = save(rows.select("vec_id", "v", F.unhex(F.md5("v")).alias("key")), "vectors")
-    classes, _ = save(rows.where("v is not null").groupBy("key").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.max("v").alias("v")).withColumn("dim", (F.octet_length("v") / 8).cast("int")), "classes")
-    counts = {r.dim: -(-r.n // BLOCK) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    per_dim = F.coalesce(*[F.when(F.col("dim") == d, F.lit(n)) for d, n in counts.items()], F.lit(1))
-    made = classes.withColumn("block", F.pmod(F.xxhash64("key"), per_dim).cast("int"))
-    blocks = made.groupBy("dim", "block").applyInArrow(_block, BLOCKS)
+    some = rows.where("v is not null").withColumn("dim", (F.octet_length("v") / 8).cast("int"))
+    classes = some.groupBy("key", "dim").agg(F.count("*").alias("n"), F.max("v").alias("v"))
+    codes, _ = save(classes.mapInArrow(_codes, CODES), "codes")
+    dims, _ = save(codes.groupBy("dim").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("of")), "dims")
+    dealt = codes.join(dims, "dim").withColumn("block", F.pmod(F.xxhash64("key"), F.col("of")).cast("int"))
+    within = F.row_number().over(Window.partitionBy("dim", "block").orderBy("key"))
+    place = F.shiftleft(F.col("dim").cast("long"), 44).bitwiseOR(F.shiftleft(F.col("block").cast("long"), 20)).bitwiseOR(within)
+    placed, _ = save(dealt.withColumn("place", place), "places")
+    blocks = placed.select("dim", "block", "place", "n", "scale", "error", "codes").groupBy("dim", "block").applyInArrow(_block, BLOCKS)
     # block i meets blocks i, i + 1, ... half way round, so every block is in as many tiles
-    steps = F.explode(F.sequence(F.lit(0), per_dim - 1)).alias("step")
-    turns = blocks.select("*", per_dim.alias("of"), steps).withColumn("other", F.pmod(F.col("block") + F.col("step"), F.col("of")).cast("int"))
-    tiles = turns.select("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "node", "n", "vectors")
-    many = min(2048, max(1, sum(n * (n + 1) // 2 for n in counts.values())))
-    found = tiles.repartition(many, "dim", "i", "j").sortWithinPartitions("dim", "i", "j", "block").mapInArrow(_tiles(threshold), RESULT)
-    found, _ = save(found, "links")
-    roots = components(found.where("a is not null").select("a", "b").union(_shared_ids(rows)), "vectors")
-    crossing = found.where("key is not null").groupBy("key").agg(F.sum("links").alias("links"))
-    known = classes.select("key", "node", "n").join(crossing, "key", "left").join(roots, "node", "left")
-    own = known.select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
-    out = rows.select("vec_id", "key").join(own, "key", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
+    turns = blocks.join(dims, "dim").withColumn("step", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    other = F.pmod(F.col("block") + F.col("step"), F.col("of")).cast("int")
+    tile = ["dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    tiles = turns.withColumn("other", other).select(*tile, "block", "places", "n", "scale", "error", "codes")
+    dealt = tiles.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j", "block")
+    sure, _ = save(dealt.mapInArrow(_tiles(threshold), RESULT), "sure")
+    open_ = sure.where("dim is not null").select("dim", "i", "j", "place")
+    wanted = placed.join(open_.select("place").distinct(), "place", "left_semi").select("key", "block", "place", "n", "scale", "error", "codes")
+    doubles = some.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.max("v").alias("v"))
+    vectors = wanted.join(doubles, "key").drop("key")
+    full = open_.join(vectors, "place").select("dim", "i", "j", "block", "place", "n", "scale", "error", "codes", "v")
+    settled_, _ = save(full.repartition("dim", "i", "j").sortWithinPartitions("dim", "i", "j", "block").mapInArrow(_doubtful(threshold), RESULT), "settled")
+    found = sure.where("dim is null").union(settled_.where("dim is null"))
+    members = rows.join(placed.select("key", "place"), "key").select("vec_id", "place")
+    roots, _ = save(components(found.where("a is not null").select("a", "b").union(_shared_ids(members)), "vectors"), "roots")
+    crossing = found.where("place is not null").groupBy("place").agg(F.sum("links").alias("links"))
+    own = placed.select("key", "place", "n").join(crossing, "place", "left").join(roots.withColumnRenamed("node", "place"), "place", "left")
+    known, _ = save(own.select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "place").alias("group")), "known")
+    all_, _ = save(rows.select("vec_id", "key").join(known, "key", "left").select("vec_id", "n_links", "group"), "grouped")
+    least = all_.where("group is not null").groupBy("group").agg(F.min("vec_id").alias("least"))
+    out = all_.join(least, "group", "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("group").isNull(), F.col("vec_id")).otherwise(F.col("least")).alias("component_id")
+    )
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _shared_ids(rows: DataFrame) -> DataFrame:
-    """Edges between different vectors that share a vec_id: they are one vertex."""
-    some = rows.where("v is not null")
-    many = some.groupBy("vec_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("vec_id")
-    nodes = some.groupBy("key").agg(F.min("vec_id").alias("node"))
-    return some.join(many, "vec_id").join(nodes, "key").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
+def _shared_ids(members: DataFrame) -> DataFrame:
+    """Edges between different vectors (place) that share a vec_id: they are one vertex."""
+    some = members.where("vec_id is not null")
+    many = some.groupBy("vec_id").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").select("vec_id", "low")
+    return some.join(many, "vec_id").select(F.col("place").alias("a"), F.col("low").alias("b")).where("a <> b")
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return settled(spark, "op2", lambda: near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
 
 
 OP2_SQL = """

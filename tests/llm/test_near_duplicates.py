@@ -133,8 +133,8 @@ def test_embeddings(spark, monkeypatch):
 def test_embedding_bounds_hold():
     r = np.random.default_rng(4)
     x = r.normal(size=(200, 1500))
-    row = {"n": np.ones(200, np.int64).tobytes(), "key": b"0" * 3200, "node": np.arange(200).tobytes() + bytes(200), "vectors": x.tobytes(), "dim": 1500}
-    b = embeddings.Block(row)
+    q, scale, error = embeddings.quantise(x)
+    b = embeddings.Block(np.arange(200).tobytes(), np.ones(200, np.int64).tobytes(), scale.tobytes(), error.tobytes(), q.tobytes())
     u = x / np.linalg.norm(x, axis=1)[:, None]
     near = embeddings.product(b.q, b.q) / (b.scale[:, None] * b.scale[None, :])
     assert (np.abs(near - u @ u.T) <= b.error[:, None] + b.norm[:, None] * b.error[None, :] + 1e-12).all()
