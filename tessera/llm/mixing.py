@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, save
+from .common import documents, fresh, row_hash, save, settled
 
 MOST = 3
 BINS = 4096
@@ -55,17 +55,18 @@ def source_targets(sizes: DataFrame, weights: list[int], most: int = MOST) -> Da
 
 
 def mix(df: DataFrame, weights: list[int], most: int = MOST, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, text_id, source, size, source_size, target, copies, taken) of every row of df.
+    """(doc_id, row_id, source, size, source_size, target, copies, taken) of every row of df.
 
     size is the number of words (null: 0), copies how often the mix takes the document (0 to `most`),
     taken its words. The words taken from a source differ from its target by less than one document.
     Texts without words are never taken. A null source is a source of its own. Repeated rows are
-    drawn one by one; equal ones are alike, so which of them is taken doesn't show. The same input
-    gives the same mix, in whatever order its rows come. An empty table gives an empty one.
+    drawn one by one; row_id is a hash of all columns of a row, so rows equal in all of them are alike and
+    which of them is taken doesn't show. The same input gives the same mix, in whatever order its rows
+    come. An empty table gives an empty one. One task orders the sources, a short row each.
     """
     h = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit(f"/{seed}"))), 1, 12), 16, 10).cast("double")
     u = (h + 0.5) / F.lit(float(2**48))
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), u.alias("u"))
+    rows = df.select(F.col(doc_id).alias("doc_id"), row_hash(df).alias("row_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), u.alias("u"))
     rows, _ = save(rows.withColumn("level", size_class(F.col("size"))).withColumn("row", F.monotonically_increasing_id()), "sizes")
     by_class = rows.groupBy("source", "level").agg(F.sum("size").alias("words"))
     targets = source_targets(by_class.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
@@ -83,39 +84,54 @@ def mix(df: DataFrame, weights: list[int], most: int = MOST, seed: str = SEED, d
     plan, _ = save(classes.select("source", "level", "source_size", "target", "sure", "p", "rest"), "plan")
     q = (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))
     drawn = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.level") == F.col("p.level")) & (F.col("size") > 0), "left")
-    drawn = drawn.select("row", "doc_id", "text_id", "r.source", "size", "sure", "rest", F.when(F.col("p") > 0, q).alias("q"))
+    drawn = drawn.select("row", "doc_id", "row_id", "r.source", "size", "sure", "rest", F.when(F.col("p") > 0, q).alias("q"))
     drawn = drawn.withColumn("bin", F.floor(F.lit(float(BINS)) * (F.col("q") / (1 + F.col("q")))).cast("int"))
     bins = drawn.where("q is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"), F.min("rest").alias("rest"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
     cuts = bins.withColumn("upto", upto).where("upto > rest").groupBy("source").agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))).alias("cut"))
     per_source, _ = save(targets.alias("t").join(cuts.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left").select("t.source", "source_size", "target", "cut.bin", "cut.before"), "cuts")
     placed = drawn.alias("d").join(per_source.withColumnsRenamed({"bin": "cut", "source": "of"}), F.col("d.source").eqNullSafe(F.col("of"))).drop("of")
-    out = ["row", "doc_id", "text_id", "source", "size", "source_size", "target", F.coalesce("sure", F.lit(0)).alias("sure"), "rest", "q"]
+    out = ["row", "doc_id", "row_id", "source", "size", "source_size", "target", F.coalesce("sure", F.lit(0)).alias("sure"), "rest", "q"]
     below = F.col("q").isNotNull() & (F.col("cut").isNull() | (F.col("bin") < F.col("cut")))
     clear = placed.where("q is null or cut is null or bin <> cut").select(*out, below.alias("drawn"))
-    order = Window.partitionBy("source").orderBy("q", "doc_id", "size", "text_id", "row").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source").orderBy("q", "doc_id", "size", "row_id", "row").rowsBetween(Window.unboundedPreceding, 0)
     edge = placed.where("bin = cut").select(*out, (F.col("before") + F.sum("size").over(order) <= F.col("rest")).alias("drawn"))
     chosen, _ = save(clear.union(edge), "drawn")
     gaps = chosen.groupBy("source").agg((F.max("rest") - F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))).alias("gap")).withColumnRenamed("source", "of")
     spare = chosen.where("q is not null and not drawn").join(gaps, F.col("source").eqNullSafe(F.col("of"))).where("size < 2 * gap")
-    fill = spare.groupBy("of").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "q", "doc_id", "text_id", "row")).alias("best")).select("of", F.col("best.row").alias("fill"))
+    fill = spare.groupBy("of").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "q", "doc_id", "row_id", "row")).alias("best")).select("of", F.col("best.row").alias("fill"))
     done = chosen.join(fill, F.col("source").eqNullSafe(F.col("of")), "left")
     copies = (F.col("sure") + F.when(F.col("drawn") | F.col("row").eqNullSafe(F.col("fill")), 1).otherwise(0)).cast("int")
-    return done.select("doc_id", "text_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+    return done.select("doc_id", "row_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
 
 
 def mixed(df: DataFrame, weights: list[int], most: int = MOST, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of the mix: each row of df as often as `mix` takes it, with df's columns."""
-    copies = mix(df, weights, most, seed, doc_id, text, source).where("copies > 0").groupBy("doc_id", "text_id", "source").agg(F.sum("copies").alias("__n"))
-    copies = copies.withColumnsRenamed({"doc_id": "__doc", "text_id": "__text", "source": "__source"})
-    own = df.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).dropDuplicates([doc_id, "__own", source])
-    same = F.col(doc_id).eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__text")) & F.col(source).eqNullSafe(F.col("__source"))
-    return own.join(copies, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(df.columns)
+    """The rows of the mix: each row of df as often as `mix` takes it, with df's columns.
+
+    Rows that share doc_id, text and source but differ elsewhere are drawn each on its own. Rows equal in
+    all columns are drawn one by one too, and come out together as often as they were drawn. Null ids,
+    texts and sources are values like others (a null text has no words and is never taken); extra
+    columns, whatever their names, stay as they are. An empty table gives an empty one.
+    """
+    own, none, number, times, rows = fresh(df, "own", "id", "number", "times", "rows")
+    plan = mix(df, weights, most, seed, doc_id, text, source).groupBy("doc_id", "row_id").agg(F.sum("copies").cast("int").alias(times), F.count("*").alias(rows))
+    named = plan.where(F.col(times) > 0).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(none), F.col("row_id").alias(own), times, rows)
+    taken, _ = save(named, "taken")
+    marked = df.withColumns({none: F.coalesce(F.col(doc_id).cast("string"), F.lit("")), own: row_hash(df)})
+    copy = F.explode(F.sequence(F.lit(1), F.col(times)))
+    alone = marked.join(taken.where(F.col(rows) == 1), [none, own]).withColumn(number, copy).select(*df.columns)
+    if taken.where(F.col(rows) > 1).isEmpty():
+        return alone
+    # rows equal in every column: one of them stands for all
+    first = F.row_number().over(Window.partitionBy(none, own).orderBy(own))
+    several = marked.join(taken.where(F.col(rows) > 1), [none, own]).withColumn(number, first).where(F.col(number) == 1)
+    return alone.union(several.withColumn(number, copy).select(*df.columns))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's part in the mix."""
-    return mix(documents(spark, sf_dir), [1, 2, 3]).select("doc_id", "size", "source_size", "target", "taken")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return settled(spark, "op3", lambda: mix(docs, [1, 2, 3]).select("doc_id", "size", "source_size", "target", "taken"))
 
 
 OP3_SQL = r"""
