@@ -1,176 +1,396 @@
-"""WARC archives and their Merkle fixity audit.
-
-`archive` turns pages into WARC records, in order of page_id, each with its place: part, number and byte offset. A leaf of a
-replica's tree is the SHA-256 of a record's offset, length and bytes; a node is that of its children's
-hashes in order and so covers an ordered range of offsets; parts are ordered too, so one root covers
-the archive. An audit compares two roots. Only where they differ it goes down, level by level, to the
-children of nodes that differ, and ends at the records.
+"""WARC files and their Merkle fixity audit.
+
+`write_files` writes pages as WARC records, one gzip member each, and `read_members` reads such files back,
+member by member, whatever damage they have: what doesn't decode becomes one member of its own and reading
+goes on at the next that does. A replica's tree is made of what lies on disk: a leaf is the SHA-256 of a
+member's offset, length and bytes; a node covers an ordered range of offsets of a file and is the hash of the
+range and of its children's hashes; the files' roots, in order, make the root of the replica. Every level
+is a partition of a written table. `audit` compares the two roots; only where they differ it goes on to the
+files, and from level to level to the children of nodes that differ, down to the records. Where a file
+has lost or gained records places have moved, so all its leaves are aligned by their bytes instead.
 """
 
 from __future__ import annotations
 
 import gzip
+import hashlib
+import re
+import zlib
+from collections import Counter
+from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, save
+from .common import new_path, save, settled, trim
 
 #: Children of a node.
 FAN = 32
 DATE = "2024-01-01T00:00:00Z"
+#: A gzip member of nothing: the text writer puts it after each record, and readers pass over it.
+EMPTY = gzip.compress(b"", 9, mtime=0)
+MAGIC = b"\x1f\x8b\x08"
 
 
 def record(page_id: Column, url: Column, body: Column, date: str = DATE) -> Column:
-    """A WARC/1.0 resource record as text; null urls and bodies count as empty."""
-    url, body = F.coalesce(url, F.lit("")), F.coalesce(body, F.lit(""))
-    key = F.md5(F.concat(F.coalesce(page_id.cast("string"), F.lit("")), F.lit(" "), url))
+    """A WARC/1.0 resource record as text; null urls and bodies count as empty, a null page_id has no number."""
+    url, body, number = F.coalesce(url, F.lit("")), F.coalesce(body, F.lit("")), F.coalesce(page_id.cast("string"), F.lit(""))
+    key = F.md5(F.concat(number, F.lit(" "), url))
     uuid = F.concat_ws("-", *[F.substring(key, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    lines = ["WARC/1.0", "WARC-Type: resource", F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")), f"WARC-Date: {date}", F.concat(F.lit("WARC-Target-URI: "), url), "Content-Type: text/html", F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string"))]
-    head = F.concat_ws("\r\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
-    return F.concat(head, F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
-
+    lines = [
+        F.lit("WARC/1.0"), F.lit("WARC-Type: resource"), F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")), F.lit(f"WARC-Date: {date}"),
+        F.concat(F.lit("WARC-Target-URI: "), url), F.concat(F.lit("Page-ID: "), number), F.lit("Content-Type: text/html"),
+        F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")),
+    ]
+    return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
-PLACED = "page_id long, part int, number long, offset long, length long, record string"
 
+def packed():
+    """Column function record -> its gzip member, as a string of these bytes."""
 
-def _place(batches):
-    from pyspark import TaskContext
+    @F.arrow_udf("binary")
+    def own(records: pa.Array) -> pa.Array:
+        out = pa.array([gzip.compress(r.as_buffer(), 6, mtime=0) for r in records], pa.binary())
+        trim()
+        return out
 
-    part, number, offset = TaskContext.get().partitionId(), 0, 0
-    for batch in batches:
-        lengths = [len(x.as_buffer()) for x in batch.column(1)]
-        offsets = []
-        for n in lengths:
-            offsets.append(offset)
-            offset += n
-        rows = len(lengths)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([part] * rows, pa.int32()), pa.array(range(number, number + rows), pa.int64()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), batch.column(1)],
-            names=["page_id", "part", "number", "offset", "length", "record"],
-        )
-        number += rows
+    return own
 
 
-def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """The records of pages with their places, written to the shared folder and read back.
+def _write(members: DataFrame, path: str) -> None:
+    """Write column `member` (binary), one after the other, as files of `path`; column `part`, if any, makes a folder each."""
+    rows = members.withColumn("member", F.col("member").cast("string"))  # the bytes stay as they are
+    writer = rows.write.option("lineSep", EMPTY.decode("latin-1")).option("encoding", "ISO-8859-1")
+    (writer.partitionBy("part") if "part" in members.columns else writer).text(path)
 
-    In order of page_id (null first), then of the record itself, so repeated rows make equal records
-    side by side. An empty table makes an empty archive; other columns are left out.
-    """
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
-    ordered = rows.repartitionByRange("page_id").select("page_id", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record")).sortWithinPartitions("page_id", "record")
-    return save(ordered.mapInArrow(_place, PLACED), "warc")[0]
 
+def write_files(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
+    """Pages as WARC files, a file for each task, in the order in which pages come; no shuffle.
 
-def write_files(records: DataFrame, path: str) -> None:
-    """The archive as .warc files that other tools read: gzip is the text writer's, one file for each part."""
-    text = F.substring("record", F.lit(1), F.length("record") - 4)  # the writer ends each record
-    records.select(text.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    Null urls and bodies are empty; repeated rows make equal records; an empty table makes no record;
+    other columns are left out.
+    """
+    made = record(F.col(page_id).cast("long"), F.col(url), F.col(html))
+    _write(pages.select(packed()(made).alias("member")), path)
+
+
+def _next(data: bytes, at: int) -> int:
+    """Where the next readable record begins, gzipped or plain, or the end of data."""
+    while True:
+        starts = [k for k in (data.find(MAGIC, at), data.find(b"WARC/1.", at)) if k >= 0]
+        if not starts:
+            return len(data)
+        at = min(starts)
+        if data[at : at + 1] == b"W":
+            return at
+        unpack = zlib.decompressobj(31)
+        try:
+            begun = unpack.decompress(data[at : at + 4096], 64)
+            if begun[:5] == b"WARC/" or unpack.eof and not begun:
+                return at
+        except zlib.error:
+            pass
+        at += 1
+
+
+def _plain(data: bytes, at: int) -> int | None:
+    """The end of the plain record at `at`, or None if it isn't whole."""
+    end = data.find(b"\r\n\r\n", at)
+    length = re.search(rb"(?im)^content-length: *(\d+)\r?$", data[at:end]) if end >= 0 else None
+    if length is None:
+        return None
+    stop = end + 4 + int(length[1])
+    return stop + 4 if data[stop : stop + 4] == b"\r\n\r\n" else None
+
+
+def _unpack(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes | None, int]:
+    """(content, end) of the gzip member at `at`; None if it is damaged or cut off."""
+    unpack, parts = zlib.decompressobj(31), []
+    for k in range(at, len(data), step):
+        try:
+            parts.append(unpack.decompress(data[k : k + step]))
+        except zlib.error:
+            break
+        if unpack.eof:
+            return b"".join(parts), min(k + step, len(data)) - len(unpack.unused_data)
+    return None, at
+
+
+def split_members(data: bytes) -> Iterator[tuple[int, int, bytes | None]]:
+    """(offset, length, record or None) of each stretch of a WARC file: a whole record, or what can't be read up to the next."""
+    at = 0
+    while at < len(data):
+        record, end = None, at + 1
+        if data[at : at + 3] == MAGIC:
+            record, stop = _unpack(data, at)
+            if record and _plain(record, 0) != len(record):
+                record = None
+            end = stop if record is not None else end
+        elif data[at : at + 7] == b"WARC/1." and (stop := _plain(data, at)) is not None:
+            record, end = data[at:stop], stop
+        if record is None:
+            end = _next(data, end)
+        if record != b"":
+            yield at, end - at, record
+        at = end
+
+
+def fields(record: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """(headers, body) of a whole record; lines without a colon are passed over."""
+    end = record.index(b"\r\n\r\n")
+    lines = record[:end].decode("utf-8", "replace").split("\r\n")[1:]
+    return [(k.strip(), v.strip()) for k, colon, v in (x.partition(":") for x in lines) if colon], record[end + 4 : -4]
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, content) at path; a file is one row, so files are to be of the size of a task."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.where("length > 0").select(F.col("path").alias("file"), "content")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, offset, headers map, body) of the WARC files at path, plain or gzipped."""
+    """(file, offset, length, headers map, body, whole) of every record of the WARC files at path, plain or gzipped.
+
+    Bytes that aren't a whole record (damaged, cut off, or strays between records) are a row with whole
+    false and null headers and body; reading goes on behind them.
+    """
 
     def parse(batches):
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                at, rows = 0, []
-                while data[at : at + 5] == b"WARC/":
-                    end = data.index(b"\r\n\r\n", at)
-                    headers = [tuple(line.split(": ", 1)) for line in data[at:end].decode().split("\r\n")[1:]]
-                    length = int(dict(headers)["Content-Length"])
-                    rows.append((name, at, headers, data[end + 4 : end + 4 + length]))
-                    at = end + 4 + length + 4
-                kinds = [pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)], names=["file", "offset", "headers", "body"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInArrow(parse, "file string, offset long, headers map<string,string>, body binary")
-
-
-def height(n: int, fan: int) -> int:
-    """Levels of nodes above n leaves, up to one node."""
-    levels = 0
-    while n > 1:
-        n, levels = -(-n // fan), levels + 1
-    return levels
-
-
-def tree(records: DataFrame, fan: int = FAN) -> tuple[list[DataFrame], int]:
-    """(levels, height of the parts' trees): levels are (part, node, hash) from the leaves up to the root.
-
-    Leaves also have page_id, offset and length. Leaves and the level above them are written to the
-    shared folder; what is above is a few thousandths of them and made when asked for. The parts'
-    own roots are the leaves of the top, whose nodes have part -1.
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = []
+                for at, length, record in split_members(data.as_buffer().to_pybytes()):
+                    headers, body = fields(record) if record is not None else (None, None)
+                    rows.append((name, at, length, list(dict(headers).items()) if headers is not None else None, body, record is not None))
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.bool_()]
+                columns = list(zip(*rows)) if rows else [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["file", "offset", "length", "headers", "body", "whole"])
+
+    return _files(spark, path).mapInArrow(parse, "file string, offset long, length long, headers map<string,string>, body binary, whole boolean")
+
+
+NODES = "level int, part long, node long, first long, end long, hash binary, own binary, page_id long, size long"
+
+
+def _part(name: str) -> int:
+    """The number of a file: of its part=... folder, or of its part-... name."""
+    found = re.search(r"part=(\d+)", name) or re.search(r"part-(\d+)", name)
+    return int(found[1]) if found else zlib.crc32(name.rsplit("/", 1)[-1].encode())
+
+
+def _trees(fan: int):
+    """(file, content) -> the nodes of each file's tree, leaves at level 0."""
+
+    def run(batches):
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part, content, rows = _part(name), data.as_buffer().to_pybytes(), []
+                for k, (at, length, record) in enumerate(split_members(content)):
+                    own = hashlib.sha256(content[at : at + length]).digest()
+                    page = dict(fields(record)[0]).get("Page-ID", "") if record is not None else ""
+                    leaf = hashlib.sha256(b"%d:%d:" % (at, length) + own).digest()
+                    number = int(page) if re.fullmatch(r"-?\d{1,18}", page) else None
+                    rows.append((0, part, k, at, at + length, leaf, own, number, len(record) if record is not None else None))
+                level, below = 0, rows
+                while len(below) > 1:
+                    level += 1
+                    groups = [below[k : k + fan] for k in range(0, len(below), fan)]
+                    below = [
+                        (level, part, k, g[0][3], g[-1][4], hashlib.sha256(b"%d:%d:" % (g[0][3], g[-1][4]) + b"".join(x[5] for x in g)).digest(), None, None, None)
+                        for k, g in enumerate(groups)
+                    ]
+                    rows += below
+                # the file's root stands once more, at level -1, with the number of its leaves as `size` and its height as `first`
+                leaves = sum(r[0] == 0 for r in rows)
+                if rows:
+                    rows.append((-1, part, 0, level, rows[-1][4], rows[-1][5], None, None, leaves))
+                kinds = [pa.int32()] + [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int64()] * 2
+                names = ["level", "part", "node", "first", "end", "hash", "own", "page_id", "size"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9, kinds)], names=names)
+            trim()
+
+    return run
+
+
+class Tree:
+    """The tree of the files at path, every level a partition of a written table; `root` is the whole replica's."""
+
+    def __init__(self, spark: SparkSession, path: str, fan: int = FAN) -> None:
+        self.fan, where = fan, new_path(spark, "tree")
+        _files(spark, path).mapInArrow(_trees(fan), NODES).write.option("compression", "zstd").partitionBy("level").parquet(where)
+        self.nodes = spark.read.schema(NODES).parquet(where)
+        text = F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", F.lpad(F.col("part").cast("string"), 19, "0"), F.hex("hash")))))
+        # files by the thousand (by number) make a level, and these the root
+        groups = self.level(-1).groupBy(F.floor(F.col("part") / 1000).alias("group")).agg(F.sha2(text, 256).alias("hash"))
+        top = groups.agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", F.lpad(F.col("group").cast("string"), 19, "0"), "hash")))), 256).alias("hash"))
+        self.root = top.first().hash
+
+    def level(self, k: int) -> DataFrame:
+        return self.nodes.where(F.col("level") == k).drop("level")
+
+
+def _unlike(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(part, node) of nodes whose hashes differ or that one of a and b lacks."""
+    both = a.select("part", "node", F.col("hash").alias("x")).join(b.select("part", "node", F.col("hash").alias("y")), ["part", "node"], "full")
+    return both.where(~F.col("x").eqNullSafe(F.col("y"))).select("part", "node")
+
+
+def _apart(ours: list[dict], theirs: list[dict]) -> list[tuple[dict, str]]:
+    """What differs between two stretches of leaves: equal bytes are the same, the rest pair up in order.
+
+    A stretch of bytes that can't be read takes as many records as fill its length.
     """
-    leaf = F.sha2(F.concat(F.concat_ws(":", "offset", "length", F.lit("")), F.col("record")), 256)
-    leaves, _ = save(records.select("part", F.col("number").alias("node"), F.unhex(leaf).alias("hash"), "page_id", "offset", "length"), "leaves")
-    parts = leaves.groupBy("part").agg((F.max("node") + 1).alias("n")).collect()  # one row for each part
-    deep = height(max((r.n for r in parts), default=0), fan)
-    levels = [leaves]
-
-    def above(level: DataFrame) -> DataFrame:
-        own = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "hash"))), lambda x: F.hex(x["hash"])), "")
-        return level.groupBy("part", F.floor(F.col("node") / fan).alias("up")).agg(F.unhex(F.sha2(own, 256)).alias("hash")).withColumnRenamed("up", "node")
-
-    for k in range(deep):
-        level = above(levels[-1])
-        levels.append(level if k else save(level, "level")[0])
-    levels.append(levels[-1].select(F.lit(-1).alias("part"), F.col("part").cast("long").alias("node"), "hash"))
-    for _ in range(height(max((r.part + 1 for r in parts), default=0), fan)):
-        levels.append(above(levels[-1]))
-    return levels, deep
-
-
-def differing(a: tuple[list[DataFrame], int], b: tuple[list[DataFrame], int], fan: int = FAN) -> DataFrame:
-    """(part, node) of the leaves that differ or that one replica lacks; equal roots end it at once."""
-
-    def unlike(x: DataFrame, y: DataFrame) -> DataFrame:
-        both = x.select("part", "node", F.col("hash").alias("x")).join(y.select("part", "node", F.col("hash").alias("y")), ["part", "node"], "full")
-        return both.where(~F.col("x").eqNullSafe(F.col("y"))).select("part", "node")
-
-    (own, deep), (theirs, depth) = a, b
-    if len(own) != len(theirs) or deep != depth:  # replicas of unlike shape: every leaf is compared
-        return unlike(own[0], theirs[0])
-    if own[-1].collect() == theirs[-1].collect():  # the roots, a row each
-        return own[0].select("part", "node").where("false")
-    found = unlike(own[-1], theirs[-1])
-    for at in range(len(own) - 2, -1, -1):
-        if at == deep:  # a leaf of the top is the root of a part
-            found = found.select(F.col("node").cast("int").alias("part"), F.lit(0).cast("long").alias("node"))
+    same = Counter(x["own"] for x in ours) & Counter(x["own"] for x in theirs)
+
+    def rest(leaves: list[dict]) -> list[dict]:
+        left = same.copy()
+        out = []
+        for x in leaves:
+            if left[x["own"]] > 0:
+                left[x["own"]] -= 1
+            else:
+                out.append(x)
+        return out
+
+    left, rows = rest(ours), []
+    for x in rest(theirs):
+        if not left:
+            rows.append((x, "extra"))
             continue
-        wanted = found.withColumnRenamed("node", "up")
-        some = [x[at].withColumn("up", F.floor(F.col("node") / fan)).join(wanted, ["part", "up"], "left_semi") for x in (own, theirs)]
-        found = unlike(*some)
-    return found
+        taken = 1
+        while x["size"] is None and taken < len(left) and left[taken]["end"] - left[0]["first"] <= x["end"] - x["first"]:
+            taken += 1
+        rows += [(r, "damaged") for r in left[:taken]]
+        left = left[taken:]
+    return rows + [(r, "missing") for r in left]
+
+
+def _align(part, ours: pa.Table, theirs: pa.Table) -> pa.Table:
+    """The leaves that differ of a file in which records have moved.
+
+    Records that stand once in both are fixed points, in order; what lies between them is compared apart.
+    """
+    a, b = ours.sort_by("node").to_pylist(), theirs.sort_by("node").to_pylist()
+    once = [{h: k for k, h in enumerate(x["own"] for x in side)} for side in (a, b)]
+    often = [Counter(x["own"] for x in side) for side in (a, b)]
+    fixed = [h for h in once[0] if often[0][h] == 1 == often[1].get(h, 0)]
+    other = sorted(fixed, key=once[1].get)
+    rows, i, k = [], 0, 0
+    for at, to, n in SequenceMatcher(None, fixed, other, autojunk=False).get_matching_blocks():
+        for h in fixed[at : at + n]:
+            j, m = once[0][h], once[1][h]
+            rows += _apart(a[i:j], b[k:m]) if j > i or m > k else []
+            i, k = j + 1, m + 1
+    rows += _apart(a[i:], b[k:])
+    cells = [[x["page_id"], x["part"], x["first"], x["end"] - x["first"], x["size"], state] for x, state in rows]
+    kinds = [pa.int64()] * 5 + [pa.string()]
+    names = ["page_id", "part", "offset", "length", "size", "state"]
+    return pa.table({n: pa.array([c[k] for c in cells], t) for k, (n, t) in enumerate(zip(names, kinds))})
+
+
+FOUND = "page_id long, part long, offset long, length long, size long, state string"
+
+
+def differences(own: Tree, other: Tree) -> DataFrame:
+    """(page_id, part, offset, length, size, state) of the records that are not the same in both replicas.
+
+    state is damaged (the bytes differ), missing (other lacks the record) or extra (only other has it;
+    place and size are then other's, else own's). A record that only one replica's file holds may be a
+    file that the other lacks. page_id and size (bytes of the record) are null where it can't be read.
+    Equal roots end it at once.
+    """
+    spark = own.nodes.sparkSession
+    if own.root == other.root:
+        return spark.createDataFrame([], FOUND)
+    a, b = own.level(-1), other.level(-1)
+    files = a.alias("a").join(b.alias("b"), "part", "full").where(~F.col("a.hash").eqNullSafe(F.col("b.hash")))
+    even = F.col("a.size").eqNullSafe(F.col("b.size")) & F.col("a.end").eqNullSafe(F.col("b.end"))
+    files = files.select("part", even.alias("even"), F.greatest("a.first", "b.first").alias("height"))
+    files, _ = save(files, "files")
+    places = [F.col("part"), F.col("first").alias("offset"), (F.col("end") - F.col("first")).alias("length"), "size"]
+    # files of as many records and bytes: from their roots down to the leaves that differ
+    found = None
+    top = files.where("even").agg(F.max("height")).first()[0]
+    for k in range(top if top is not None else -1, -1, -1):
+        begun = files.where(f"even and height = {k}").select("part", F.lit(0).cast("long").alias("node"))
+        if found is None:
+            wanted = begun
+        else:
+            child = F.explode(F.sequence(F.col("node") * own.fan, F.col("node") * own.fan + own.fan - 1))
+            wanted = begun.union(found.select("part", child.alias("node")))
+        pair = [t.level(k).join(wanted, ["part", "node"], "left_semi") for t in (own, other)]
+        found, _ = save(_unlike(*pair), "differing")
+    uneven = files.where("not even").select("part")
+    if found is not None:
+        # leaves that cover other bytes than their counterparts have moved
+        ends = [t.level(0).join(found, ["part", "node"], "left_semi").select("part", "node", "first", "end") for t in (own, other)]
+        moved = ends[0].join(ends[1], ["part", "node", "first", "end"], "left_anti").select("part").distinct()
+        moved, _ = save(moved, "moved")
+        uneven, found = uneven.union(moved), found.join(moved, "part", "left_anti")
+    leaves = [t.level(0).join(uneven, "part", "left_semi").select("part", "node", "first", "end", "own", "page_id", "size") for t in (own, other)]
+    aligned = leaves[0].groupBy("part").cogroup(leaves[1].groupBy("part")).applyInArrow(_align, FOUND)
+    if found is None:
+        return aligned
+    damaged = own.level(0).join(found, ["part", "node"], "left_semi").select("page_id", *places, F.lit("damaged").alias("state"))
+    return damaged.union(aligned)
+
+
+def audit(spark: SparkSession, path: str, other: str, fan: int = FAN) -> DataFrame:
+    """(page_id, part, offset, length, size, state) of all records of the replica at `path`, and those that only `other` has.
+
+    state is intact where both replicas hold the same bytes at the same place of the same file (or, in a
+    file that has lost or gained records, in the same order); see `differences` for the rest. Two empty
+    replicas give an empty table.
+    """
+    own = Tree(spark, path, fan)
+    found, _ = save(differences(own, Tree(spark, other, fan)), "found")
+    bad = found.where("state <> 'extra'").select("part", "offset", "state")
+    leaves = own.level(0).select("page_id", "part", F.col("first").alias("offset"), (F.col("end") - F.col("first")).alias("length"), "size")
+    kept = leaves.join(bad, ["part", "offset"], "left").select("page_id", "part", "offset", "length", "size", F.coalesce("state", F.lit("intact")).alias("state"))
+    return kept.union(found.where("state = 'extra'"))
 
 
-def audit(replica: DataFrame, other: DataFrame, fan: int = FAN) -> DataFrame:
-    """(page_id, part, offset, length, leaf, intact) of replica's records: whether other's copy is the same."""
-    own = tree(replica, fan)
-    bad = differing(own, tree(other, fan), fan).select(F.col("part").alias("__part"), F.col("node").alias("__node"), F.lit(False).alias("intact"))
-    leaves = own[0][0].join(bad, (F.col("part") == F.col("__part")) & (F.col("node") == F.col("__node")), "left")
-    return leaves.select("page_id", "part", "offset", "length", F.lower(F.hex("hash")).alias("leaf"), F.coalesce("intact", F.lit(True)).alias("intact"))
+def copy_files(spark: SparkSession, path: str, other: str, change: Callable[[int | None, bytes], list[bytes]] | None = None) -> None:
+    """Copy the WARC files at `path` to `other`; change(page_id, member) says which members stand there in a member's stead."""
 
+    def run(batches):
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                content, parts = data.as_buffer().to_pybytes(), []
+                for at, length, record in split_members(content):
+                    page = dict(fields(record)[0]).get("Page-ID", "") if record is not None else ""
+                    parts += change(int(page) if page else None, content[at : at + length]) if change else [content[at : at + length]]
+                yield pa.RecordBatch.from_arrays([pa.array([_part(name)], pa.int64()), pa.array([EMPTY.join(parts)], pa.binary())], names=["part", "member"])
 
-def damaged(records: DataFrame, which: Column) -> DataFrame:
-    """A replica of the records in which those of `which` have lost their last letter to a '?'."""
-    return records.withColumn("record", F.when(which, F.concat(F.substring("record", F.lit(1), F.length("record") - 5), F.lit("?\r\n\r\n"))).otherwise(F.col("record")))
+    _write(_files(spark, path).mapInArrow(run, "part long, member binary"), other)
 
 
-#: The records that the query's second replica holds damaged.
-DAMAGE = "page_id % 101 = 5"
+def wear(page_id: int | None, member: bytes) -> list[bytes]:
+    """The damage that the query does to its second replica: a byte turned, a record lost, a record twice."""
+    if page_id is None:
+        return [member]
+    if page_id % 101 == 5:
+        at = len(member) // 2
+        return [member[:at] + bytes([member[at] ^ 0x55]) + member[at + 1 :]]
+    return [] if page_id % 1009 == 7 else [member, member] if page_id % 1013 == 11 else [member]
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's record: length and whether the audit found the second replica's copy intact."""
-    records = archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    return audit(records, damaged(records, F.expr(DAMAGE))).select("page_id", "length", "intact")
+    """Every page's record in an archive on disk: its size and its state in a second archive, copied and then damaged."""
+
+    def make() -> DataFrame:
+        path, other = new_path(spark, "warc"), new_path(spark, "warc-copy")
+        write_files(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+        copy_files(spark, path, other, wear)
+        return audit(spark, path, other).select("page_id", F.col("size").alias("length"), "state")
+
+    return settled(spark, "op6", make)
 
 
 OP6_SQL = """
-WITH p AS (SELECT page_id, coalesce(url, '') u, coalesce(html, '') h FROM pages)
-SELECT page_id, (strlen(h) + strlen(u) + strlen(strlen(h)::VARCHAR) + 197)::BIGINT AS length, NOT (page_id % 101 = 5) AS intact FROM p"""
+WITH p AS (SELECT page_id, coalesce(url, '') u, coalesce(html, '') h FROM pages),
+r AS (SELECT page_id, (strlen(h) + strlen(u) + strlen(strlen(h)::VARCHAR) + strlen(page_id::VARCHAR) + 208)::BIGINT AS length FROM p)
+SELECT page_id, length, CASE WHEN page_id % 101 = 5 THEN 'damaged' WHEN page_id % 1009 = 7 THEN 'missing' ELSE 'intact' END AS state FROM r
+UNION ALL SELECT page_id, length, 'extra' FROM r WHERE page_id % 1013 = 11 AND page_id % 101 <> 5"""
