@@ -9,13 +9,15 @@ changes the sum of n log n by these two counts only.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, fresh
 
 #: The base patterns, in the order in which kinds are listed.
 KEYWORD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -27,6 +29,8 @@ KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_token"]
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: Characters that are scored at once: a longer candidate is cut into pieces that overlap by a window less one.
+PIECE = 2048
 HEX_ALPHABET = "0123456789abcdef"
 TOKEN_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Bits a character that a window must reach.
@@ -56,44 +60,74 @@ def running(lengths: Column) -> Column:
 
 def with_matches(df: DataFrame, text: str, pattern: str, name: str) -> DataFrame:
     """df with `name`: array of struct(start, end, hit) of the leftmost non-overlapping matches, in code points."""
+    hits, gaps, steps, ends = fresh(df, "hits", "gaps", "steps", "ends")
     some = F.col(text).rlike(pattern)
     none = F.array().cast("array<string>")
-    df = df.withColumn("__hits", F.when(some, F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).otherwise(none))
-    df = df.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(F.col(text), pattern, -1)).otherwise(none))
-    df = df.withColumn("__steps", F.slice(F.zip_with("__hits", "__gaps", lambda h, g: F.length(g) + F.length(h)), 1, F.size("__hits")))
-    df = df.withColumn("__ends", F.when(F.size("__hits") > 0, running(F.col("__steps"))).otherwise(F.array().cast("array<int>")))
-    both = F.transform("__hits", lambda h, k: F.struct((F.get("__ends", k) - F.length(h)).alias("start"), F.get("__ends", k).alias("end"), h.alias("hit")))
-    return df.withColumn(name, both).drop("__hits", "__gaps", "__steps", "__ends")
+    df = df.withColumn(hits, F.when(some, F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).otherwise(none))
+    df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(text), pattern, -1)).otherwise(none))
+    df = df.withColumn(steps, F.slice(F.zip_with(hits, gaps, lambda h, g: F.length(g) + F.length(h)), 1, F.size(hits)))
+    df = df.withColumn(ends, F.when(F.size(hits) > 0, running(F.col(steps))).otherwise(F.array().cast("array<int>")))
+    end = lambda k: F.get(ends, k)
+    both = F.transform(hits, lambda h, k: F.struct((end(k) - F.length(h)).alias("start"), end(k).alias("end"), h.alias("hit")))
+    return df.withColumn(name, both).drop(hits, gaps, steps, ends)
+
+
+def pieces(s: Column, window: int) -> Column:
+    """s in pieces of at most PIECE characters, each after the last window - 1 characters of the one before."""
+    cut = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    before = lambda x, k: F.when(k > 0, F.right(F.get(x, k - 1), F.lit(window - 1))).otherwise(F.lit(""))
+    return let(cut, lambda x: F.transform(x, lambda p, k: F.concat(before(x, k), p)))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value evaluated once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def highest_entropy(s: Column, alphabet: str, window: int = WINDOW) -> Column:
-    """The most bits a character of any window of `window` characters of s, by incremental counts."""
+    """The most bits a character of any window of `window` characters of s, all of them of the alphabet.
+
+    Counts are incremental: each step adds the entering character and takes out the leaving one. The
+    counts of a window stand in a few longs, a field of some bits for each character of the alphabet.
+    Work is in proportion to the length of s, whatever it is.
+    """
+    width = window.bit_length()
+    fields = 63 // width
+    weights = [0.0] + [n * math.log2(n) for n in range(1, window + 1)]
+    steps = F.array(*[F.lit(b - a) for a, b in zip(weights, weights[1:])])
+    empty = F.array(*[F.lit(0).cast("long")] * -(-len(alphabet) // fields))
+    first = F.struct(empty.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+
+    def place(c: Column) -> Column:
+        at = F.position(c, F.lit(alphabet)) - 1
+        return let(at, lambda k: F.struct(F.floor(k / fields).cast("int").alias("word"), (F.pmod(k, F.lit(fields)) * width).alias("shift")))
+
+    def one(at: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), at["shift"])
 
-    def weigh(n: Column) -> Column:
-        return F.when(n > 0, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))
+    def count(counts: Column, at: Column) -> Column:
+        shifted = F.call_function("shiftright", F.get(counts, at["word"]), at["shift"])
+        return shifted.bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
-    first = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    place = lambda k: F.position(F.substr(s, k, F.lit(1)), F.lit(alphabet))
+    def slide(a: Column, x: Column) -> Column:
+        into, out = x["into"], x["out"]
+        gone = F.when(out.isNull(), F.lit(0.0)).otherwise(F.get(steps, count(a["counts"], out) - 1))
+        fewer = F.when(out.isNull(), a["counts"]).otherwise(F.transform(a["counts"], lambda n, j: F.when(j == out["word"], n - one(out)).otherwise(n)))
 
-    def slide(a: Column, k: Column) -> Column:
-        new = F.struct(place(k).alias("in"), F.when(k > window, place(k - window)).otherwise(F.lit(0)).alias("out"), a.alias("a"))
-        return F.element_at(F.transform(F.array(new), move(k)), 1)
+        def enter(counts: Column) -> Column:
+            total = a["sum"] - gone + F.get(steps, count(counts, into))
+            more = F.transform(counts, lambda n, j: F.when(j == into["word"], n + one(into)).otherwise(n))
+            bits = lambda t: F.when(x["full"], F.lit(math.log2(window)) - t / window).otherwise(F.lit(0.0))
+            return let(total, lambda t: F.struct(more.alias("counts"), t.alias("sum"), F.greatest(a["best"], bits(t)).alias("best")))
 
-    def move(k: Column):
-        def change(x: Column) -> Column:
-            counts, into, out = x["a"]["counts"], x["in"], x["out"]
-            same = into == out
-            grown, shrunk = F.get(counts, into - 1), F.when(out > 0, F.get(counts, out - 1)).otherwise(F.lit(0))
-            added = F.when(same, 0.0).otherwise(weigh(grown + 1) - weigh(grown))
-            gone = F.when(same | (out == 0), 0.0).otherwise(weigh(shrunk - 1) - weigh(shrunk))
-            total = x["a"]["sum"] + added + gone
-            moved = F.when(same, counts).otherwise(F.transform(counts, lambda n, j: n + F.when(j == into - 1, 1).when(j == out - 1, -1).otherwise(0)))
-            bits = F.when(k >= window, F.log2(F.lit(float(window))) - total / window).otherwise(0.0)
-            return F.struct(moved.alias("counts"), total.alias("sum"), F.greatest(x["a"]["best"], bits).alias("best"))
+        return let(fewer, enter)
 
-        return change
+    def best(piece: Column) -> Column:
+        places = F.transform(F.filter(F.split(piece, ""), lambda c: c != ""), place)
+        pairs = let(places, lambda p: F.transform(p, lambda c, k: F.struct(c.alias("into"), F.get(p, k - window).alias("out"), (k >= window - 1).alias("full"))))
+        return F.aggregate(pairs, first, slide, lambda a: a["best"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(s)), first, slide, lambda a: a["best"])
+    return F.array_max(F.transform(pieces(s, window), best))
 
 
 def scan(df: DataFrame, text: str = "text", allowed: list[str] = ALLOWED, limits: dict[str, float] = LIMITS) -> DataFrame:
@@ -101,27 +135,31 @@ def scan(df: DataFrame, text: str = "text", allowed: list[str] = ALLOWED, limits
 
     base_spans are those of the patterns; spans has those of the entropy method too, where they touch
     no base span. Both are sorted by start, then kind. Places are code points, ends exclusive. Null and
-    empty texts have none; repeated rows give the same; columns of those names are replaced.
+    empty texts have none; repeated rows give the same; an empty table gives an empty one; columns of
+    those two names are replaced, all others stay. Work grows in proportion to a text's length.
     """
-    df = df.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-    for name, pattern in (("__assign", ASSIGN), ("__access", ACCESS), ("__hex", HEX), ("__candidates", CANDIDATE)):
-        df = with_matches(df, "__text", pattern, name)
+    own, *names = fresh(df, "own", "assign", "access", "hex", "candidates", "bits")
+    assigned, accesses, hexes, candidates, scores = names
+    df = df.withColumn(own, F.coalesce(F.col(text), F.lit("")))
+    for name, pattern in zip(names, (ASSIGN, ACCESS, HEX, CANDIDATE)):
+        df = with_matches(df, own, pattern, name)
     span = lambda kind: lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
-    assign = F.filter("__assign", lambda m: F.length(F.regexp_replace(m["hit"], f"^{KEYWORD}", "")) >= 6)
-    access = F.filter("__access", lambda m: F.length(m["hit"]) >= 20)
-    base = F.concat(F.transform(assign, span(0)), F.transform(access, span(1)), F.transform("__hex", span(2)))
+    assign = F.filter(assigned, lambda m: F.length(F.regexp_replace(m["hit"], f"^{KEYWORD}", "")) >= 6)
+    access = F.filter(accesses, lambda m: F.length(m["hit"]) >= 20)
+    base = F.concat(F.transform(assign, span(0)), F.transform(access, span(1)), F.transform(hexes, span(2)))
     df = df.withColumn("base_spans", F.array_sort(base))
     hit_allowed = lambda m: reduce(or_, (m["hit"].rlike(p) for p in allowed), F.lit(False))
     apart = lambda m: ~F.exists("base_spans", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    df = df.withColumn("__candidates", F.filter("__candidates", lambda m: ~hit_allowed(m) & apart(m)))
-    is_hex = lambda m: m["hit"].rlike("^[0-9a-f]+$")
-    bits = F.transform("__candidates", lambda m: F.when(is_hex(m), highest_entropy(m["hit"], HEX_ALPHABET)).otherwise(highest_entropy(m["hit"], TOKEN_ALPHABET)))
-    df = df.withColumn("__bits", bits)
+    df = df.withColumn(candidates, F.filter(candidates, lambda m: apart(m) & ~hit_allowed(m)))
+    is_hex = lambda m: m["hit"].rlike("^[0-9A-Fa-f]+$")
+    as_hex = lambda m: highest_entropy(F.lower(m["hit"]), HEX_ALPHABET)
+    bits = F.transform(candidates, lambda m: F.when(is_hex(m), as_hex(m)).otherwise(highest_entropy(m["hit"], TOKEN_ALPHABET)))
+    df = df.withColumn(scores, bits)
     kind = lambda m: F.when(is_hex(m), 3).otherwise(4)
     enough = lambda m, b: b >= F.when(is_hex(m), limits["entropy_hex"]).otherwise(limits["entropy_token"])
-    scored = F.zip_with("__candidates", "__bits", lambda m, b: F.when(enough(m, b), F.struct(m["start"].alias("start"), kind(m).alias("kind"), m["end"].alias("end"))))
-    df = df.withColumn("spans", F.array_sort(F.concat("base_spans", F.filter(scored, lambda x: x.isNotNull()))))
-    return df.drop("__text", "__assign", "__access", "__hex", "__candidates", "__bits")
+    more = lambda m, b: F.when(enough(m, b), F.struct(m["start"].alias("start"), kind(m).alias("kind"), m["end"].alias("end")))
+    scored = F.filter(F.zip_with(candidates, scores, more), lambda x: x.isNotNull())
+    return df.withColumn("spans", F.array_sort(F.concat("base_spans", scored))).drop(own, *names)
 
 
 def written(spans: Column) -> Column:
