@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, save, trim
+from .common import documents, fresh, save, settled, trim
 
 #: Keys of fewer code points never are dropped.
 SHORTEST = 10
@@ -125,7 +125,8 @@ def keep_bitmaps(df: DataFrame, shortest: int = SHORTEST, doc_id: str = "doc_id"
     table gives an empty one.
     """
     thin = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_id(F.col(text)).alias("text_id"), F.col(text).cast("binary").alias("data"))
-    hashed = thin.mapInArrow(_hashes(shortest), "hi long, lo long, doc_id long, text_id long, pos int")
+    # written, as dealing by range reads its input twice
+    hashed, _ = save(thin.mapInArrow(_hashes(shortest), "hi long, lo long, doc_id long, text_id long, pos int"), "hashes")
     order = [F.col("hi"), F.col("lo"), F.col("doc_id").asc_nulls_last()]
     found = hashed.repartitionByRange(*order).sortWithinPartitions(*order, "text_id", "pos").mapInArrow(_first_seen, "hi long, lo long, doc_id long, text_id long, pos int, kind int")
     found, _ = save(found, "lines")
@@ -164,20 +165,35 @@ def apply_bitmaps():
     return own
 
 
+def _applied(df: DataFrame, shortest: int, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    """(df with a column struct(kept, n_lines, n_dropped), its name)."""
+    doc, of, packed, done = fresh(df, "doc", "of", "map", "done")
+    maps = keep_bitmaps(df, shortest, doc_id, text).select(F.col("doc_id").alias(doc), F.col("text_id").alias(of), F.col("bitmap").alias(packed))
+    same = text_id(df[text]).eqNullSafe(F.col(of)) & df[doc_id].cast("long").eqNullSafe(F.col(doc))
+    found = df.join(maps.hint("shuffle_hash"), same, "left")
+    return found.withColumn(done, apply_bitmaps()(F.col(text), F.col(packed))).drop(doc, of, packed), done
+
+
 def dedup_lines(df: DataFrame, shortest: int = SHORTEST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df with columns kept (text of the lines that stay), n_lines and n_dropped; columns of those names are replaced.
 
     Every row stays, with an empty text if all its lines go. See `keep_bitmaps` for what goes.
     """
-    maps = keep_bitmaps(df, shortest, doc_id, text).select(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text"), F.col("bitmap").alias("__map"))
-    same = text_id(df[text]).eqNullSafe(F.col("__text")) & df[doc_id].cast("long").eqNullSafe(F.col("__doc"))
-    done = df.join(maps.hint("shuffle_hash"), same, "left").withColumn("__done", apply_bitmaps()(F.col(text), F.col("__map")))
-    return done.withColumns({c: F.col(f"__done.{c}") for c in ("kept", "n_lines", "n_dropped")}).drop("__doc", "__text", "__map", "__done")
+    found, done = _applied(df, shortest, doc_id, text)
+    return found.withColumns({c: F.col(f"{done}.{c}") for c in ("kept", "n_lines", "n_dropped")}).drop(done)
+
+
+def without_repeats(df: DataFrame, shortest: int = SHORTEST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with each text less the lines that go (see `keep_bitmaps`); all other columns as they are, every row stays."""
+    found, done = _applied(df, shortest, doc_id, text)
+    return found.withColumn(text, F.col(f"{done}.kept")).select(*df.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, lines dropped and digest of what stays."""
-    return dedup_lines(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return settled(spark, "op8", lambda: dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", digest))
 
 
 #: The white space of the contract, and letters.
