@@ -135,16 +135,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
+def labelled(df: DataFrame, given: DataFrame, sample: int, doc_id: str, text: str) -> DataFrame:
+    """(id, label, text) of at most `sample` labels given(id, label) that have a document in df: those of the smallest hashes.
+
+    Of several documents of an id the smallest text is taken.
+    """
+    ids = df.select(F.col(doc_id).alias("id"))
+    some = given.join(ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    texts = df.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min("text").alias("text"))  # `sample` rows are broadcast
+
+
 def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:
     """Weights learnt from at most `sample` rows with labels 0 or 1, held-out ones excepted.
 
     Of several labels of a doc_id the larger counts; labels that are null, neither 0 nor 1, or without
-    a document are left out. Without any row to learn from, all weights are zero (every score 0.5).
+    a document are left out, and don't count in `sample`. Without any row to learn from, all weights are
+    zero (every score 0.5).
     """
-    given = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label")).where(F.col("__label").isin(0, 1) & ~held_out(F.col("__id")))
-    given = given.groupBy("__id").agg(F.max("__label").alias("__label")).orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    rows = df.join(F.broadcast(given), df[doc_id] == F.col("__id")).select("__id", _counts()(F.col(text)).alias("__counts"), "__label")
-    found = sorted((tuple(r) for r in rows.collect()), key=lambda r: (hash_order(r[0]), r[1]))
+    given = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
+    given = given.groupBy("id").agg(F.max("label").alias("label"))
+    rows = labelled(df, given, sample, doc_id, text).select("id", _counts()(F.col("text")).alias("counts"), "label")
+    found = sorted((tuple(r) for r in rows.collect()), key=lambda r: (hash_order(r[0]), r[1]))  # at most `sample` rows
     return train([(data, y) for _, data, y in found])
 
 
@@ -164,6 +176,15 @@ def classify(df: DataFrame, labels: DataFrame, cut: float = CUT, sample: int = S
     return done.withColumn("predicted", F.when(F.col("score") >= cut, 1).otherwise(0))
 
 
+def accepted(df: DataFrame, labels: DataFrame, cut: float = CUT, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """The rows of df with a score of at least cut, with df's columns as they are, whatever their names.
+
+    Null and empty texts have the score of the weights' constant; repeated rows go or stay together.
+    """
+    weights = fit(df, labels, sample, doc_id, text, label)
+    return df.where(scorer(df.sparkSession, weights)(F.col(text)) >= cut)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
