@@ -22,14 +22,16 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, trim
+from .common import documents, fresh, trim
 
 SHORT = 48
 NONE = np.int32(2**31 - 1)
-#: Parts of texts that a Python worker remembers, in Arrow arrays (about 40 bytes each); beyond, it starts afresh.
-REMEMBERED = 2_500_000
+#: Parts of texts that a Python worker remembers, in Arrow arrays, and bytes of these arrays; beyond either it starts afresh.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 48_000_000
+#: Longer parts are encoded each time and not remembered.
+LONGEST = 256
 #: Bytes of text that one step encodes; each step looks its parts up in the memory at once.
-ENCODED = 12_000_000
+ENCODED = 6_000_000
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split of the byte-level vocabulary into words, as its file's pre-tokenizer defines it.
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -67,36 +69,47 @@ class Parts:
         """Ids of all parts one after the other, and how many each has."""
         raise NotImplementedError
 
-    def numbers(self, parts: pa.Array) -> np.ndarray:
-        """The place of each of some distinct parts in the memory; new ones are encoded."""
-        if len(self.known) > REMEMBERED:
+    def numbers(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of each of some distinct parts, ids, ids of each place); new parts are encoded.
+
+        Ids and their numbers are those of the memory, then those of long parts, which it doesn't hold.
+        """
+        if len(self.known) > REMEMBERED or self.known.nbytes + self.flat.nbytes + self.lengths.nbytes > REMEMBERED_BYTES:
             self.forget()
+        long = pc.greater(pc.binary_length(parts), LONGEST)
         at = pc.index_in(parts, value_set=self.known)
-        new = parts.filter(pc.is_null(at))
+        unknown = pc.is_null(at)
+        places = at.fill_null(-1).to_numpy().astype(np.int64)
+        new = parts.filter(pc.and_not(unknown, long))
         if len(new):
-            places = at.fill_null(-1).to_numpy().astype(np.int64)
-            places[places < 0] = np.arange(len(self.known), len(self.known) + len(new))
-            for k in range(0, len(new), 16_384):
-                flat, lengths = self.encode_new(new.slice(k, 16_384).to_pylist())
-                self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
+            places[pc.and_not(unknown, long).to_numpy(zero_copy_only=False)] = np.arange(len(self.known), len(self.known) + len(new))
+            self.flat, self.lengths = self.extended(self.flat, self.lengths, new)
             self.known = pa.concat_arrays([self.known, new])
-            return places
-        return at.to_numpy().astype(np.int64)
-
-    def gather(self, numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
-        """list<int32> of the ids of rows whose parts end at `ends` in `numbers`."""
-        sizes = self.lengths[numbers]
-        starts = (np.cumsum(self.lengths) - self.lengths)[numbers]
+        rest = pc.and_(unknown, long).to_numpy(zero_copy_only=False)
+        if not rest.any():
+            return places, self.flat, self.lengths
+        places[rest] = len(self.lengths) + np.arange(rest.sum())
+        return places, *self.extended(self.flat, self.lengths, parts.filter(pa.array(rest)))
+
+    def extended(self, flat: np.ndarray, lengths: np.ndarray, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        made = [(flat, lengths)] + [self.encode_new(parts.slice(k, 16_384).to_pylist()) for k in range(0, len(parts), 16_384)]
+        return np.concatenate([f for f, _ in made]), np.concatenate([n for _, n in made])
+
+    def gather(self, parts: pa.DictionaryArray, ends: np.ndarray) -> pa.Array:
+        """list<int32> of the ids of rows whose parts end at `ends`."""
+        numbers, flat, lengths = self.numbers(parts.dictionary)
+        numbers = numbers[parts.indices.to_numpy()] if len(parts) else np.zeros(0, np.int64)
+        sizes = lengths[numbers]
+        starts = (np.cumsum(lengths) - lengths)[numbers]
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])
-        return pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(self.flat[places]))
+        places = np.repeat((starts - upto[:-1]).astype(np.int32), sizes) + np.arange(upto[-1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(upto[ends].astype(np.int32)), pa.array(flat[places]))
 
     def plain(self, texts: pa.Array) -> pa.Array:
         cut = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0"), "\0")
         known = cut.values.slice(cut.offsets[0].as_py(), cut.offsets[-1].as_py() - cut.offsets[0].as_py()).dictionary_encode()
-        numbers = self.numbers(known.dictionary)
         offsets = cut.offsets.to_numpy()
-        return self.gather(numbers[known.indices.to_numpy()] if len(known) else np.zeros(0, np.int64), offsets - offsets[0])
+        return self.gather(known, offsets - offsets[0])
 
     def other(self, texts: pa.Array) -> pa.Array:
         rows = []
@@ -104,8 +117,7 @@ class Parts:
             parts = self.cut.split(text) if self.cut is not None else [text]
             rows.append([w for k, part in enumerate(parts) for w in ([part] if k % 2 else _WORDS.findall(part))])
         words = pa.array(list(chain.from_iterable(rows)), pa.string()).dictionary_encode()
-        numbers = self.numbers(words.dictionary)
-        return self.gather(numbers[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64), np.cumsum([0, *map(len, rows)]))
+        return self.gather(words, np.cumsum([0, *map(len, rows)]))
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """list<int32> of string texts. Special tokens written out in a text become their ids; null gives none."""
@@ -299,26 +311,33 @@ def decoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
 def round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """df with token ids and the text that these ids decode to, in one pass of Python.
 
-    The same as `decode(encode(df))`, in which Spark would evaluate `encode` once for each column.
+    The same as `decode(encode(df))`, in which Spark would evaluate `encode` once for each column. Null
+    and empty texts get no ids and the empty text; repeated rows stay, each for itself; columns named like
+    `ids` and `decoded` are replaced, all others stay; an empty table gives an empty one.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def both(texts: pa.Array) -> pa.Array:
         own = loaded(Vocabulary, shared.value)
-        parts = [pa.StructArray.from_arrays([pa.array([], pa.list_(pa.int32())), pa.array([], pa.string())], names=["ids", "decoded"])]
+        id_parts, text_parts = [pa.array([], pa.list_(pa.int32()))], [pa.array([], pa.string())]
         for part in in_chunks(texts, ENCODED):
             rows = own.encode(part)
             flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
-            back = pa.array([own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string())
-            parts.append(pa.StructArray.from_arrays([rows, back], names=["ids", "decoded"]))
-        done = pa.concat_arrays(parts)
-        del parts, texts
+            id_parts.append(rows)
+            text_parts.append(pa.array([own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.string()))
+            del rows, flat, part
+        del texts
+        columns = []
+        for parts in (id_parts, text_parts):
+            columns.append(parts[1] if len(parts) == 2 else pa.concat_arrays(parts))
+            parts.clear()
         trim()
-        return done
+        return pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
 
-    done = df.withColumn("__both", both(F.col(text)))
-    return done.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+    made = fresh(df, "made")[0]
+    done = df.withColumn(made, both(F.col(text)))
+    return done.withColumns({ids: F.col(f"{made}.ids"), decoded: F.col(f"{made}.decoded")}).drop(made)
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import documents, drop_path, new_path, save, trim
+from .common import documents, drop_path, new_path, save, settled, trim
 
 #: Bytes of each of the four ids of a control byte.
 LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
@@ -243,6 +243,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    path = new_path(spark, "idfile")
-    write_ids(documents(spark, sf_dir), path, vocabulary, end=2)
-    return read_checksums(spark, path).withColumnRenamed("crc32", "ids_crc32")
+
+    def make() -> DataFrame:
+        path = new_path(spark, "idfile")
+        write_ids(documents(spark, sf_dir), path, vocabulary, end=2)
+        return read_checksums(spark, path).withColumnRenamed("crc32", "ids_crc32")
+
+    return settled(spark, "op4", make)
