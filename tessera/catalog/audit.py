@@ -40,15 +40,15 @@ def capital_findings(spark, d):
     return rules.exploded(o, ["o_orderkey"], c).select("o_orderkey", "code")
 
 
-@query("series_conflicts", "SELECT l_suppkey AS fund, 'conflicting_annual_returns' AS code, 'conflict' AS severity FROM (SELECT l_suppkey, year(l_shipdate) y, l_returnflag, max(l_tax) - min(l_tax) s FROM lineitem WHERE l_discount > 0.09 GROUP BY ALL) WHERE s > 0.05 GROUP BY l_suppkey")
+@query("series_conflicts", "SELECT l_suppkey AS fund, 'conflicting_annual_returns' AS code, 'conflict' AS severity FROM (SELECT l_suppkey, year(l_shipdate) y, l_returnflag, max(l_tax) - min(l_tax) s FROM lineitem GROUP BY ALL) WHERE s > 0.05 GROUP BY l_suppkey")
 def series_conflicts(spark, d):
-    li = table(spark, d, "lineitem").where("l_discount > 0.09").select(F.col("l_suppkey").alias("fund"), F.year("l_shipdate").alias("year"), F.lit("calendar_year").alias("series"), F.col("l_returnflag").alias("share_class"), F.col("l_tax").alias("rate"))
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("fund"), F.year("l_shipdate").alias("year"), F.lit("calendar_year").alias("series"), F.col("l_returnflag").alias("share_class"), F.col("l_tax").alias("rate"))
     return rules.annual_returns(li, "fund")
 
 
-@query("mixed_class", "SELECT user_id AS fund, 'mixed_share_classes_in_series' AS code FROM events WHERE event_id < 2000 GROUP BY user_id, event_type HAVING bool_or(value < 20) AND bool_or(value >= 20) UNION SELECT user_id, 'duplicate_dates_in_series' FROM events WHERE event_id < 2000 GROUP BY user_id, event_type, value < 20, ts::DATE HAVING count(*) > 1")
+@query("mixed_class", "SELECT user_id AS fund, 'mixed_share_classes_in_series' AS code FROM events GROUP BY user_id, event_type HAVING bool_or(value < 20) AND bool_or(value >= 20) UNION SELECT user_id, 'duplicate_dates_in_series' FROM events GROUP BY user_id, event_type, value < 20, ts::DATE HAVING count(*) > 1")
 def mixed_class(spark, d):
-    e = table(spark, d, "events").where("event_id < 2000").select(F.col("user_id").alias("fund"), F.col("event_type").alias("kind"), F.when(F.col("value") >= 20, "A").alias("share_class"), F.lit("CZK").alias("currency"), F.col("ts").cast("date").alias("as_of"), "value")
+    e = table(spark, d, "events").select(F.col("user_id").alias("fund"), F.col("event_type").alias("kind"), F.when(F.col("value") >= 20, "A").alias("share_class"), F.lit("CZK").alias("currency"), F.col("ts").cast("date").alias("as_of"), "value")
     return rules.historical_series(e, "fund", F.lit("2100-01-01").cast("date")).select("fund", "code")
 
 
@@ -120,9 +120,9 @@ def weakest_groups(spark, d):
     return audit.weakest(o, "field", "status").withColumn("share", F.round("share", 9))
 
 
-@query("shared_sources", "SELECT l_partkey AS url, count(DISTINCT l_suppkey) AS names FROM lineitem WHERE l_quantity < 3 GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
+@query("shared_sources", "SELECT l_partkey AS url, count(DISTINCT l_suppkey) AS names FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
 def shared_sources(spark, d):
-    return audit.shared(table(spark, d, "lineitem").where("l_quantity < 3"), "l_partkey", "l_suppkey").select(F.col("l_partkey").alias("url"), "names")
+    return audit.shared(table(spark, d, "lineitem"), "l_partkey", "l_suppkey").select(F.col("l_partkey").alias("url"), "names")
 
 
 @query("review_examples", "SELECT status, reason, event_id FROM (SELECT *, row_number() OVER (PARTITION BY status ORDER BY event_id) n FROM (SELECT event_type AS status, user_id AS reason, min(event_id) AS event_id FROM events GROUP BY ALL)) WHERE n <= 5")

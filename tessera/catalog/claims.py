@@ -99,11 +99,11 @@ def series_build(spark, d):
     return s.select("user_id", "event_type", F.size("observations").cast("long").alias("points"), F.get("observations", 0)["ts"].cast("date").alias("first_day"), F.array_max(F.transform("observations", lambda o: o["value"])).alias("highest"))
 
 
-@query("series_frequency", """WITH d AS (SELECT DISTINCT l_suppkey, l_shipdate::DATE AS dy FROM lineitem WHERE l_quantity > 45), g AS (SELECT l_suppkey, dy, lead(dy) OVER (PARTITION BY l_suppkey ORDER BY dy) - dy AS gap FROM d),
+@query("series_frequency", """WITH d AS (SELECT DISTINCT l_suppkey, l_shipdate::DATE AS dy FROM lineitem), g AS (SELECT l_suppkey, dy, lead(dy) OVER (PARTITION BY l_suppkey ORDER BY dy) - dy AS gap FROM d),
   m AS (SELECT l_suppkey, count(*) points, list_sort(list(gap) FILTER (gap IS NOT NULL)) gs FROM g GROUP BY l_suppkey)
 SELECT l_suppkey, points, CASE WHEN coalesce(len(gs), 0) = 0 THEN 'irregular' WHEN gs[len(gs) // 2 + 1] <= 10 THEN 'daily' WHEN gs[len(gs) // 2 + 1] <= 45 THEN 'monthly' WHEN gs[len(gs) // 2 + 1] <= 130 THEN 'quarterly' WHEN gs[len(gs) // 2 + 1] <= 400 THEN 'annual' ELSE 'irregular' END AS frequency FROM m""")
 def series_frequency(spark, d):
-    li = table(spark, d, "lineitem").where("l_quantity > 45").select("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
+    li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
     return audit.series_frequency(li, ["l_suppkey"], "day")
 
 

@@ -47,9 +47,10 @@ def url_domain_counts(spark, d):
     return table(spark, d, "pages").groupBy(text.canonical_domain("url").alias("domain")).agg(F.count("*").alias("n"))
 
 
-@query("file_name_words", r"SELECT page_id, trim(regexp_replace(lower(strip_accents(regexp_replace(regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1), '[-_.+]', ' ', 'g'))), '\s+', ' ', 'g')) AS words, regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS name FROM pages WHERE regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) NOT LIKE '%.%' AND url NOT LIKE '%\%%' ESCAPE '\'")
+@query("file_name_words", r"""WITH n AS (SELECT page_id, url_decode(regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1)) AS name FROM pages)
+SELECT page_id, trim(regexp_replace(lower(strip_accents(regexp_replace(regexp_replace(name, '^(.+)\.[^.]*$', '\1'), '[-_.+]', ' ', 'g'))), '\s+', ' ', 'g')) AS words, name FROM n""")
 def file_name_words(spark, d):
-    p = table(spark, d, "pages").where(~F.contains(F.regexp_extract(text.url_path("url"), r"([^/]*)/*$", 1), F.lit(".")) & ~F.contains("url", F.lit("%")))
+    p = table(spark, d, "pages")
     return p.select("page_id", text.file_name_words("url").alias("words"), text.file_name("url").alias("name"))
 
 
@@ -80,15 +81,16 @@ def name_phrases(spark, d):
     return table(spark, d, "part").select("p_partkey", F.size(text.words(named)).cast("long").alias("n_words"), F.size(text.name_phrases(named)).cast("long").alias("phrases"))
 
 
-@query("domain_guesses", "SELECT p_partkey, replace(p_name, ' ', '') || '.cz' AS first_guess, (CASE WHEN p_name LIKE '% %' THEN 4 ELSE 2 END * 3)::BIGINT AS n FROM part WHERE p_name LIKE '% %'")
+@query("domain_guesses", "SELECT p_partkey, replace(p_name, ' ', '') || '.cz' AS first_guess, (CASE WHEN p_name LIKE '% %' THEN 4 ELSE 2 END * 3)::BIGINT AS n FROM part")
 def domain_guesses(spark, d):
     g = text.domain_guesses("p_name")
-    return table(spark, d, "part").where("p_name like '% %'").select("p_partkey", F.get(g, 0).alias("first_guess"), F.size(g).cast("long").alias("n"))
+    return table(spark, d, "part").select("p_partkey", F.get(g, 0).alias("first_guess"), F.size(g).cast("long").alias("n"))
 
 
-@query("search_queries", "SELECT s_suppkey, [s_name || ' a.s.', s_name, s_name || ' fond']::VARCHAR[3] AS q FROM supplier WHERE false")
+@query("search_queries", "SELECT s_suppkey, s_name || ' SICAV a.s.|' || s_name || '|' || s_name || ' fond|' || lower(regexp_replace(s_name, '[^A-Za-z0-9]+', ' ', 'g')) AS q FROM supplier")
 def search_queries(spark, d):
-    return table(spark, d, "supplier").where("false").select("s_suppkey", text.search_queries("s_name").alias("q"))
+    q = text.search_queries(F.concat("s_name", F.lit(" SICAV a.s.")))
+    return table(spark, d, "supplier").select("s_suppkey", F.array_join(q, "|").alias("q"))
 
 
 @query("registration_numbers", "SELECT c_custkey, CASE WHEN length(d) = 8 THEN d END AS ico FROM (SELECT c_custkey, regexp_replace(CASE WHEN c_custkey % 3 = 0 THEN 'IČO: ' || lpad(c_custkey::VARCHAR, 8, '0') ELSE 'IČ 12 ' || c_custkey END, '[^0-9]', '', 'g') d FROM customer)")
@@ -115,10 +117,11 @@ def text_metrics(spark, d):
     return table(spark, d, "documents").select("doc_id", F.length("text").cast("long").alias("chars"), F.size(w).cast("long").alias("words"), F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("digits"), F.size(F.array_distinct(w)).cast("long").alias("distinct_words"))
 
 
-@query("token_retention", r"WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[^\s]+')) a, regexp_extract_all(substr(text, 1, 400), '[^\s]+') b FROM documents) SELECT doc_id, CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE round(len(list_intersect(a, b)) / len(a), 9) END AS retention FROM t")
+@query("token_retention", r"WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[^\s]+')) a, regexp_extract_all(regexp_replace(text, '[^\n]*[0-9][^\n]*', '', 'g'), '[^\s]+') b FROM documents) SELECT doc_id, CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE round(len(list_intersect(a, b)) / len(a), 9) END AS retention FROM t")
 def token_retention(spark, d):
     w = lambda x: F.regexp_extract_all(x, F.lit(r"[^\s]+"), 0)
-    return table(spark, d, "documents").select("doc_id", F.round(text.retention(w(F.col("text")), w(F.substring("text", 1, 400))), 9).alias("retention"))
+    second = F.regexp_replace("text", r"[^\n]*[0-9][^\n]*", "")  # a second reading that has lost the lines with digits
+    return table(spark, d, "documents").select("doc_id", F.round(text.retention(w(F.col("text")), w(second)), 9).alias("retention"))
 
 
 @query("broken_sentences", r"SELECT doc_id, CASE WHEN b + w = 0 THEN 0.0::DOUBLE ELSE round(b / (b + w), 9) END AS ratio FROM (SELECT doc_id, len(regexp_extract_all(text, '[.!?]\s+\p{Ll}')) b, len(regexp_extract_all(text, '[.!?]\s+[\p{Lu}0-9]')) w FROM documents)")

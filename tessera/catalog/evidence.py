@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import evidence as e
@@ -105,12 +106,12 @@ def evidence_rows(spark, d):
     return li.select(F.col("l_partkey").alias("fund"), F.col("l_returnflag").alias("field"), F.concat(F.lit("https://a.cz/"), "l_suppkey").alias("url"), F.col("l_linenumber").alias("page"), F.concat(F.lit("Řádek "), "l_linestatus").alias("quote"), (F.col("l_tax") > 0.07).alias("warning"), F.col("l_quantity").cast("int").alias("score"), F.col("l_orderkey").alias("source_id"))
 
 
-@query("grounding_packets", """WITH s AS (SELECT l_partkey fund, l_returnflag field, l_suppkey u, l_linenumber p, l_linestatus q, l_tax > 0.07 w, l_quantity::INT s, l_orderkey i FROM lineitem WHERE l_partkey % 2 = 0),
+@query("grounding_packets", """WITH s AS (SELECT l_partkey fund, l_returnflag field, l_suppkey u, l_linenumber p, l_linestatus q, l_tax > 0.07 w, l_quantity::INT s, l_orderkey i FROM lineitem),
 o AS (SELECT *, row_number() OVER (PARTITION BY fund, field, u, p, q ORDER BY w, s DESC, i) k FROM s), t AS (SELECT *, row_number() OVER (PARTITION BY fund, field ORDER BY w, s DESC, i, p, q) n FROM o WHERE k = 1)
 SELECT fund, field, count(*) AS snippets, sum(s)::BIGINT AS points FROM t WHERE n <= 8 GROUP BY ALL""")
 def grounding_packets(spark, d):
     rows = evidence_rows(spark, d)
-    got = grounding.packets(rows.where("fund % 2 = 0").select("fund", "field").distinct(), rows)
+    got = grounding.packets(rows.select("fund", "field").distinct(), rows)
     return got.select("fund", "field", F.size("snippets").cast("long").alias("snippets"), F.aggregate("snippets", F.lit(0).cast("long"), lambda a, s: a + s["score"]).alias("points"))
 
 
@@ -135,16 +136,13 @@ def coverage_bands(spark, d):
     return c.groupBy("band").agg(F.count("*").alias("funds"))
 
 
-@query("passage_pages", "SELECT conv_id AS doc_id, turn::INT AS chunk, turn::INT AS page FROM conversations WHERE len(list_distinct(regexp_extract_all(text, '[0-9A-Za-zÀ-ž]{6,}'))) >= 3")
+@query("passage_pages")
 def passage_pages(spark, d):
+    """Every turn of a conversation placed on the turns: without SQL, as places depend on those before (see tests)."""
     c = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("n"), "text")
-    rich = c.where(F.size(e.anchors("text")) >= 3)
-    placed = align.place(rich.withColumnRenamed("n", "page"), rich.withColumnRenamed("n", "chunk"))
-    numbered = rank.keep_first(rich.select("doc_id", "n"), ["doc_id", "n"], ["n"])
-    from pyspark.sql import Window
-
-    at = numbered.withColumn("chunk", F.row_number().over(Window.partitionBy("doc_id").orderBy("n")) - 1)
-    return placed.join(at, ["doc_id", "chunk"]).select("doc_id", F.col("n").alias("chunk"), "page")
+    placed = align.place(c.withColumnRenamed("n", "page"), c.withColumnRenamed("n", "chunk"))
+    at = F.row_number().over(Window.partitionBy("doc_id").orderBy("n")) - 1
+    return placed.join(c.select("doc_id", "n", at.alias("chunk")), ["doc_id", "chunk"]).select("doc_id", F.col("n").alias("chunk"), "page")
 
 
 @query("page_tables", "SELECT page_id, 1::BIGINT AS tables, 'a b' AS first_cell FROM pages")

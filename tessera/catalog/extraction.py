@@ -68,7 +68,7 @@ def extract_parties(spark, d):
     return x.parties(memoranda(spark, d), "manager").select("fund", "name", "ico").distinct()
 
 
-@query("extract_annual_returns", "SELECT c_custkey AS fund, 2023 AS year, 'calendar_year' AS series, c_custkey % 10 + 0.1 AS rate FROM customer UNION ALL SELECT c_custkey, 2024, 'calendar_year', 6.5 FROM customer")
+@query("extract_annual_returns", "SELECT c_custkey AS fund, 2023 AS year, 'calendar_year' AS series, (c_custkey % 10 + 0.1)::DOUBLE AS rate FROM customer UNION ALL SELECT c_custkey, 2024, 'calendar_year', 6.5::DOUBLE FROM customer")
 def extract_annual_returns(spark, d):
     return x.annual_returns(memoranda(spark, d)).select("fund", "year", "series", "rate")
 
@@ -90,9 +90,9 @@ def resolved_fields(spark, d):
     return resolve.resolve(claims, ["fund", "field"], ["value"]).select("fund", "field", "value", "outcome")
 
 
-@query("extract_news", "SELECT fund, url, published_at FROM (SELECT *, row_number() OVER (PARTITION BY fund ORDER BY coalesce(published_at, DATE '0001-01-01') DESC, title DESC, url) n FROM (SELECT o_custkey AS fund, 'https://a.cz/' || year(o_orderdate) || '/' || month(o_orderdate) || '/' || day(o_orderdate) || '/x' AS url, arg_min('Zpráva ' || o_orderkey, o_orderkey) AS title, o_orderdate::DATE AS published_at FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY o_custkey, 2, o_orderdate)) WHERE n <= 25")
+@query("extract_news", "SELECT fund, url, published_at FROM (SELECT *, row_number() OVER (PARTITION BY fund ORDER BY coalesce(published_at, DATE '0001-01-01') DESC, title DESC, url) n FROM (SELECT o_custkey AS fund, 'https://a.cz/' || year(o_orderdate) || '/' || month(o_orderdate) || '/' || day(o_orderdate) || '/x' AS url, arg_min('Zpráva ' || o_orderkey, o_orderkey) AS title, CASE WHEN year(o_orderdate) >= 2000 THEN o_orderdate::DATE END AS published_at FROM orders GROUP BY o_custkey, 2, o_orderdate)) WHERE n <= 25")
 def extract_news(spark, d):
-    o = table(spark, d, "orders").where("year(o_orderdate) >= 2000")
+    o = table(spark, d, "orders")
     url = F.concat(F.lit("https://a.cz/"), F.year("o_orderdate"), F.lit("/"), F.month("o_orderdate"), F.lit("/"), F.dayofmonth("o_orderdate"), F.lit("/x"))
     items = o.select(F.col("o_custkey").alias("fund"), F.col("o_orderkey").alias("seq"), url.alias("url"), F.concat(F.lit("Zpráva "), "o_orderkey").alias("title"))
     return x.news(items).select("fund", "url", "published_at")

@@ -37,13 +37,13 @@ def between_sources(spark, d):
     return li.select("l_orderkey", planning.between_sources(F.col("urls")).alias("between"))
 
 
-@query("authoritative_copy", """WITH x AS (SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'statute' ELSE 'annual_report' END AS kind, 'https://a.cz/' || o_custkey || '/doc-' || CASE WHEN o_orderkey % 5 > 0 THEN year(o_orderdate)::VARCHAR ELSE 'x' || o_orderkey % 7 END || '.pdf' AS url, CASE WHEN o_orderkey % 5 > 0 THEN year(o_orderdate) ELSE 0 END AS y, (o_totalprice / 1000)::INT AS score FROM orders)
-SELECT o_orderkey, row_number() OVER (PARTITION BY kind, CASE WHEN kind = 'statute' THEN 'current' WHEN y > 0 THEN y::VARCHAR ELSE regexp_extract(url, '([^/]*)/*$', 1) END ORDER BY y DESC, score DESC, url DESC) = 1 AS kept FROM x""")
+@query("authoritative_copy", """WITH x AS (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'statute' ELSE 'annual_report' END AS kind, 'https://a.cz/' || lpad(o_custkey::VARCHAR, 9, '0') || '/' || lpad(o_orderkey::VARCHAR, 9, '0') || '/doc-' || CASE WHEN o_orderkey % 5 > 0 THEN year(o_orderdate)::VARCHAR ELSE 'x' || o_orderkey % 7 END || '.pdf' AS url, CASE WHEN o_orderkey % 5 > 0 THEN year(o_orderdate) ELSE 0 END AS y, (o_totalprice / 1000)::INT AS score FROM orders)
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey, kind, CASE WHEN kind = 'statute' THEN 'current' WHEN y > 0 THEN y::VARCHAR ELSE regexp_extract(url, '([^/]*)/*$', 1) END ORDER BY y DESC, score DESC, url DESC) = 1 AS kept FROM x""")
 def authoritative_copy(spark, d):
     o = table(spark, d, "orders")
     year = F.when(F.col("o_orderkey") % 5 > 0, F.year("o_orderdate").cast("string")).otherwise(F.concat(F.lit("x"), (F.col("o_orderkey") % 7).cast("string")))
-    docs = o.select("o_orderkey", F.when(F.col("o_custkey") % 3 == 0, "statute").otherwise("annual_report").alias("kind"), F.concat(F.lit("https://a.cz/"), "o_custkey", F.lit("/doc-"), year, F.lit(".pdf")).alias("url"), F.lit("").alias("text"), F.round(F.col("o_totalprice") / 1000).cast("int").alias("score"))
-    return planning.authoritative(docs, "url", "text", "kind", "score", F.lit(0)).select("o_orderkey", "kept")
+    docs = o.select("o_orderkey", "o_custkey", F.when(F.col("o_custkey") % 3 == 0, "statute").otherwise("annual_report").alias("kind"), F.concat(F.lit("https://a.cz/"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"), F.lit("/"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lit("/doc-"), year, F.lit(".pdf")).alias("url"), F.lit("").alias("text"), F.round(F.col("o_totalprice") / 1000).cast("int").alias("score"))
+    return planning.authoritative(docs, "o_custkey", "url", "text", "kind", "score", F.lit(0)).select("o_orderkey", "kept")
 
 
 @query("fallback_actions", """WITH n AS (SELECT c_nationkey, count(*) k FROM customer GROUP BY 1)
@@ -54,10 +54,13 @@ def fallback_actions(spark, d):
     return planning.fallback_actions(c, "c_custkey", "field", "domain", "scanned", "parsed", [("register", 5, ["fees"])]).groupBy("action", "priority").agg(F.count("*").alias("n"))
 
 
-@query("field_quotas", "SELECT * FROM (VALUES ('BUILDING', 4), ('none', 1)) v(field, quota) WHERE false")
+@query("field_quotas", """WITH c AS (SELECT c_mktsegment AS field, count(*) AS n FROM customer GROUP BY 1), t AS (SELECT *, 22 * n / sum(n) OVER () AS exact FROM c),
+f AS (SELECT *, least(n, greatest(1, floor(exact)))::INT AS base FROM t),
+r AS (SELECT *, row_number() OVER (ORDER BY exact - floor(exact) DESC, field) AS k, 22 - sum(base) OVER () AS rest FROM f)
+SELECT field, (base + (k <= rest)::INT)::INT AS quota FROM r""")
 def field_quotas(spark, d):
     counts = {r.c_mktsegment: r["count"] for r in table(spark, d, "customer").groupBy("c_mktsegment").count().collect()}
-    return spark.createDataFrame(sorted(planning.quotas(counts, 20).items()), "field string, quota int").where("quota < 0")
+    return spark.createDataFrame(sorted(planning.quotas(counts, 22).items()), "field string, quota int")
 
 
 @query("stratified_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY h, o_orderkey) n FROM (SELECT o_orderpriority, o_orderkey, h FROM (SELECT *, md5('7/' || o_orderkey) h, row_number() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY md5('7/' || o_orderkey), o_orderkey) g FROM orders) WHERE g <= 3)) WHERE n <= 40")

@@ -55,11 +55,11 @@ def percent_pairs(spark, d):
     return got.select("o_orderkey", F.col("p.year").cast("long").alias("year"), F.col("p.rate").alias("rate"))
 
 
-@query("signed_percentages", "SELECT o_orderkey, 2::BIGINT AS n, -((o_orderkey % 60) / 10.0)::DOUBLE AS lowest FROM orders WHERE o_orderkey % 60 > 0")
+@query("signed_percentages", "SELECT o_orderkey, 2::BIGINT AS n, CASE WHEN o_orderkey % 60 = 0 THEN 0.0 ELSE -((o_orderkey % 60) / 10.0) END::DOUBLE AS lowest FROM orders")
 def signed_percentages(spark, d):
     rate = F.replace(F.format_number((F.col("o_orderkey") % 60) / 10, 1), F.lit("."), F.lit(","))
     p = values.signed_percentages(F.concat(F.lit("pokles −"), rate, F.lit(" % a 2,5 %, ne 950 %")))
-    return table(spark, d, "orders").where("o_orderkey % 60 > 0").select("o_orderkey", F.size(p).cast("long").alias("n"), F.array_min(p).alias("lowest"))
+    return table(spark, d, "orders").select("o_orderkey", F.size(p).cast("long").alias("n"), (F.array_min(p) + 0.0).alias("lowest"))
 
 
 @query("leading_percent", "SELECT n_nationkey, n_nationkey + 0.5::DOUBLE AS percent, NULL::DOUBLE AS none FROM nation")

@@ -41,11 +41,11 @@ def table_shapes(spark, d):
     return grid(spark, d).select("n_nationkey", s["rows"].cast("long").alias("height"), s["cols"].cast("long").alias("width"), s["filled"].cast("long").alias("filled"), grids.table_score(F.col("rows"), ["fondovy kapital", "vynos"]).cast("long").alias("score"))
 
 
-@query("best_table", "SELECT p_brand, arg_max(p_partkey, (p_size, -p_partkey)) AS p_partkey FROM part WHERE p_size >= 4 GROUP BY p_brand")
+@query("best_table", "SELECT p_brand, arg_max(p_partkey, (p_size, -p_partkey)) AS p_partkey FROM part GROUP BY p_brand")
 def best_table(spark, d):
     from ..operators import rank
 
-    p = table(spark, d, "part").where("p_size >= 4")
+    p = table(spark, d, "part")
     return rank.best(p, ["p_brand"], F.struct("p_size", -F.col("p_partkey")), ["p_partkey"])
 
 
@@ -57,7 +57,7 @@ def repeated_headers(spark, d):
     return got.select("conv_id", F.regexp_replace("line", "\u0001", "\n").alias("line"), "n", F.col("first_page").cast("long").alias("first_page"))
 
 
-@query("multi_column_pages", "SELECT page FROM (SELECT page, count(*) n, sum((x1 <= mid)::INT) l, sum((x0 >= mid)::INT) r FROM (SELECT *, (min(x0) OVER (PARTITION BY page) + max(x1) OVER (PARTITION BY page)) / 2 AS mid FROM (SELECT l_suppkey AS page, l_quantity AS x0, l_quantity + 10 AS x1 FROM lineitem WHERE l_orderkey < 1000)) GROUP BY page) WHERE n >= 8 AND l >= 4 AND r >= 4")
+@query("multi_column_pages", "SELECT page FROM (SELECT page, count(*) n, sum((x1 <= mid)::INT) l, sum((x0 >= mid)::INT) r FROM (SELECT *, (min(x0) OVER (PARTITION BY page) + max(x1) OVER (PARTITION BY page)) / 2 AS mid FROM (SELECT l_suppkey AS page, l_quantity AS x0, l_quantity + 10 AS x1 FROM lineitem)) GROUP BY page) WHERE n >= 8 AND l >= 4 AND r >= 4")
 def multi_column_pages(spark, d):
-    b = table(spark, d, "lineitem").where("l_orderkey < 1000").select(F.col("l_suppkey").alias("page"), F.col("l_quantity").alias("x0"), (F.col("l_quantity") + 10).alias("x1"))
+    b = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_quantity").alias("x0"), (F.col("l_quantity") + 10).alias("x1"))
     return grids.multi_column_pages(b, ["page"])

@@ -26,22 +26,21 @@ def page_titles(spark, d):
     return table(spark, d, "pages").select("page_id", graph.title(F.col("html")).alias("title"))
 
 
-VISIBLE = r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), '&amp;', '&'), '[\s\x{00A0}]+', ' ', 'g')) AS body
-FROM pages WHERE html NOT LIKE '%<noscript%' AND html NOT LIKE '%<template%' AND html NOT LIKE '%&quot;%'"""
+VISIBLE = r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<noscript\b.*?</noscript\s*>|<template\b.*?</template\s*>', ' ', 'g'), '(?is)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '[\s\x{00A0}]+', ' ', 'g')) AS body
+FROM pages"""
 
 
 @query("visible_text", VISIBLE)
 def visible_text(spark, d):
-    p = table(spark, d, "pages").where("html not like '%<noscript%' and html not like '%<template%' and html not like '%&quot;%'")
+    p = table(spark, d, "pages")
     return p.select("page_id", graph.visible_text(F.col("html")).alias("body"))
 
 
-@query("link_scores", f"WITH {LINKS} SELECT page_id, seq, greatest(0, least(70, 35 * (contains(lower(href), 'the')::INT + contains(lower(href), 'and')::INT)) - CASE WHEN contains(lower(href), 'login') THEN 80 ELSE 0 END)::BIGINT AS score FROM j WHERE starts_with(regexp_extract(href, '://[^/]*(.*)$', 1), '/t')")
+@query("link_scores", f"WITH {LINKS} SELECT page_id, seq, greatest(0, least(70, 35 * (contains(lower(href), 'the')::INT + contains(lower(href), 'and')::INT)) - CASE WHEN contains(lower(href), 'login') THEN 80 ELSE 0 END)::BIGINT AS score FROM j")
 def link_scores(spark, d):
-    path = F.regexp_extract("href", "://[^/]*(.*)$", 1)
-    got = links(spark, d).where(F.startswith(path, F.lit("/t")))
+    got = links(spark, d)
     score = graph.link_score(F.lower("href"), F.lit(""), ["the", "and"], ["login"])
-    return got.select("page_id", F.col("seq").cast("long").alias("seq"), score.cast("long").alias("score")).where(F.lit(True))
+    return got.select("page_id", F.col("seq").cast("long").alias("seq"), score.cast("long").alias("score"))
 
 
 @query("best_link_per_url", f"WITH {LINKS} SELECT href, min(page_id) AS page_id, count(*) AS n FROM j GROUP BY href")

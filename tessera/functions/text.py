@@ -82,6 +82,24 @@ def host(url: Column | str) -> Column:
     return F.lower(part)
 
 
+def running_sums(numbers: Column) -> Column:
+    """Sums of an array's first 1, 2, ... whole numbers, in blocks of 256 so that long arrays stay cheap; not for empty arrays."""
+    add = lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x))
+    zero = F.lit(0).cast("long")
+
+    def blocked(own: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(own) / 256).cast("int") - 1), lambda c: F.slice(own, c * 256 + 1, 256))
+
+        def summed(parts: Column) -> Column:
+            sums = F.transform(parts, lambda b: F.aggregate(b, zero, lambda a, x: a + x))
+            based = lambda bases: F.flatten(F.transform(parts, lambda b, k: F.slice(F.aggregate(b, F.array(F.get(bases, k)), add), 2, 256)))
+            return once(F.aggregate(sums, F.array(zero), add), based)
+
+        return once(blocks, summed)
+
+    return once(F.transform(numbers, lambda x: x.cast("long")), blocked)
+
+
 def canonical_domain(url: Column | str) -> Column:
     """The host by which addresses are grouped: without a leading www."""
     return F.regexp_replace(host(url), r"^www\.", "")

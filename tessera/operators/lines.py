@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import once, running_sums
+
 
 def lines(df: DataFrame, doc: str, text: str) -> DataFrame:
     """(doc, line_no, line, start): non-empty trimmed lines and their places in the text of them joined by line ends.
@@ -12,9 +14,13 @@ def lines(df: DataFrame, doc: str, text: str) -> DataFrame:
     The running sum is taken inside each document's own array: no window, no shuffle.
     """
     kept = F.filter(F.transform(F.split(F.col(text), "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
-    rows = df.select(F.col(doc), F.posexplode(kept).alias("line_no", "line"))
-    before = Window.partitionBy(doc).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)).cast("long"))
+
+    def placed(own: Column) -> Column:
+        ends = running_sums(F.transform(own, lambda x: F.length(x) + 1))
+        return once(ends, lambda e: F.transform(own, lambda x, k: F.struct(x.alias("line"), (F.get(e, k) - F.length(x) - 1).cast("long").alias("start"))))
+
+    rows = df.select(F.col(doc), F.posexplode(F.when(F.size(kept) > 0, once(kept, placed))).alias("line_no", "l"))
+    return rows.select(doc, "line_no", "l.line", "l.start")
 
 
 def context(df: DataFrame, doc: str, order: str, line: str, before: int, after: int, sep: str = " ") -> DataFrame:
@@ -30,16 +36,16 @@ def carried(df: DataFrame, doc: str, order: str, heading: Column, memory: int =
 
 
 def filled_gaps(df: DataFrame, doc: str, order: str, value: str) -> DataFrame:
-    """df whose missing values stand between two equal known ones filled with them."""
-    w = Window.partitionBy(doc).orderBy(order)
-    before = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(value, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    """df whose missing values stand between two equal known ones filled with them: two running frames, one of them reversed."""
+    upto = lambda by: Window.partitionBy(doc).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.last(value, ignorenulls=True).over(upto(F.col(order)))
+    after = F.last(value, ignorenulls=True).over(upto(F.col(order).desc()))
     return df.withColumn("__a", before).withColumn("__b", after).withColumn(value, F.coalesce(F.col(value), F.when(F.col("__a") == F.col("__b"), F.col("__a")))).drop("__a", "__b")
 
 
 def sections(df: DataFrame, doc: str, start: str, foreign: str, end: Column) -> DataFrame:
     """(doc, start, foreign, end): mentions as spans, an own one up to the next foreign mention, a foreign one up to the next of any."""
-    w = Window.partitionBy(doc).orderBy(start).rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy(doc).orderBy(F.col(start).desc()).rowsBetween(Window.unboundedPreceding, -1)
     any_next, foreign_next = F.min(start).over(w), F.min(F.when(F.col(foreign), F.col(start))).over(w)
     return df.withColumn("end", F.coalesce(F.when(F.col(foreign), any_next).otherwise(foreign_next), end))
 

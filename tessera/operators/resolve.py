@@ -4,8 +4,8 @@ Claims of a key are grouped by normalised value and each value is led by its str
 meet in pairs on a ladder of factors, the first that separates them decides; a leader wins if it beats
 every other. One value alone is `equivalent`, a winner makes `auto_resolved`, none `unresolved`.
 
-Only the leaders meet, joined on the key, so the pairs grow with the different values of a key and
-not with its claims.
+Only a few leaders of a key can win (see `rivals`); these meet all others, so the work grows in proportion
+to the different values of a key.
 """
 
 from __future__ import annotations
@@ -65,20 +65,40 @@ def decide(factors: list[Column]) -> Column:
     return F.coalesce(found, F.struct(F.lit(0).alias("favours"), F.lit(None).cast("string").alias("factor")))
 
 
+def rivals(led: DataFrame, key: list[str]) -> DataFrame:
+    """The leaders that may beat all others of their key, one at most for each kind of date.
+
+    A winner has the highest authority, among these the widest scope, then isn't rebuilt if any isn't, and
+    so on down the ladder; only dates of different kinds don't compare. So nobody but the strongest of
+    each kind can win, and each key has a few rivals however many values it has.
+    """
+    dated = F.col("date_value").isNotNull() & (F.col("date_kind") != "unknown")
+    order = F.struct("authority", "scope", (~F.col("rebuilt")).cast("int").alias("own"), "priority", F.when(dated, F.col("date_value")).alias("date"), "evidence", "score")
+    own = [c for c in led.columns if c not in key]
+    found = led.groupBy(*key, F.when(dated, F.col("date_kind")).alias("kind")).agg(F.max_by(F.struct(*own), order).alias("r"))
+    return found.select(*key, "r.*")
+
+
 def resolve(claims: DataFrame, key: list[str], value: list[str]) -> DataFrame:
-    """(key, the winning value, outcome, decided_by, n_values, n_claims) of each key of claims(key, value, FACTS)."""
+    """(key, the winning value, outcome, decided_by, n_values, n_claims) of each key of claims(key, value, FACTS).
+
+    Null parts of keys and values are values like others.
+    """
     led = leaders(claims, key, value)
-    whole = led.groupBy(*key).agg(F.count("*").alias("n_values"), F.sum("n_claims").alias("n_claims"), (F.min("low") == F.max("high")).alias("one_document"), F.max_by(F.struct(*value), "strength").alias("only"))
+    whole = led.groupBy(*key).agg(
+        F.count("*").alias("n_values"), F.sum("n_claims").alias("n_claims"), (F.min("low") == F.max("high")).alias("one_document"), F.max_by(F.struct(*value), "strength").alias("only")
+    )
     alone = whole.where("n_values = 1").select(*key, *[F.col(f"only.{v}") for v in value], F.lit("equivalent_after_normalization").alias("outcome"), F.lit(None).cast("string").alias("decided_by"), "n_values", "n_claims")
-    contested = led.join(whole.where("n_values > 1").select(*key, "one_document"), key)
+    same = lambda left, right: [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in key]
+    many = whole.where("n_values > 1").alias("w")
+    contested = led.alias("l").join(many, same("l", "w")).select("l.*", "w.one_document")
     margin = F.when(F.col("a.one_document"), SAME_DOCUMENT_MARGIN).otherwise(MARGIN)
-    same_key = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
     other = F.lit(False)
     for v in value:
         other = other | ~F.col(f"a.{v}").eqNullSafe(F.col(f"b.{v}"))
-    pairs = contested.alias("a").join(contested.alias("b"), [*same_key, other])
+    pairs = rivals(contested, key).alias("a").join(contested.alias("b"), [*same("a", "b"), other])
     verdicts = pairs.select(*[F.col(f"a.{c}") for c in (*key, *value)], F.col("b.strength").alias("rival"), decide(ladder("a", "b", margin)).alias("d"))
-    won = verdicts.groupBy(*key, *value).agg(F.min("d.favours").alias("worst"), F.max_by("d.factor", "rival").alias("decided_by")).where("worst = 1")
-    lost = whole.where("n_values > 1").join(won.select(*key, *value, "decided_by"), key, "left")
+    won = verdicts.groupBy(*key, *value).agg(F.min("d.favours").alias("worst"), F.max_by("d.factor", "rival").alias("decided_by")).where("worst = 1").alias("v")
+    lost = many.join(won, same("w", "v"), "left").select(*[F.col(f"w.{k}").alias(k) for k in key], *[F.col(f"v.{x}").alias(x) for x in value], "v.decided_by", "n_values", "n_claims")
     named = F.when(F.col("decided_by").isNotNull(), "auto_resolved").otherwise("unresolved").alias("outcome")
     return alone.union(lost.select(*key, *value, named, "decided_by", "n_values", "n_claims"))

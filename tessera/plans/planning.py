@@ -42,13 +42,13 @@ def deep_pass(reasons: list[DataFrame], fund: str) -> DataFrame:
     return every.groupBy(fund).agg(F.sum(weight(F.col("field"))).alias("weight"), F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("trigger")), ",").alias("triggers"))
 
 
-def authoritative(df: DataFrame, url: str, text: str, kind: str, score: str, rank: Column) -> DataFrame:
-    """df with `kept`: one copy of a document of a single revision, one of each year or file name of others."""
+def authoritative(df: DataFrame, fund: str, url: str, text: str, kind: str, score: str, rank: Column) -> DataFrame:
+    """df with `kept`: of each fund's documents one copy of a kind of a single revision, one of each year or file name of others."""
     years = F.regexp_extract_all(F.concat_ws(" ", url, text), F.lit(r"(?<!\d)((?:19|20)\d{2})(?!\d)"), 1)
     year = F.array_max(years)
     slug = F.regexp_extract(url, r"([^/]*)/*$", 1)
     revision = F.when(F.col(kind).isin(SINGLE_REVISION), F.lit("current")).otherwise(F.coalesce(year, slug))
-    order = Window.partitionBy(kind, "revision").orderBy(F.desc(F.coalesce(year.cast("int"), F.lit(0))), F.desc(F.col(score) + rank), F.desc(url))
+    order = Window.partitionBy(fund, kind, "revision").orderBy(F.desc(F.coalesce(year.cast("int"), F.lit(0))), F.desc(F.col(score) + rank), F.desc(url))
     return df.withColumn("revision", revision).withColumn("kept", F.row_number().over(order) == 1)
 
 

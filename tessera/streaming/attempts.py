@@ -16,23 +16,42 @@ def read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 class Latest:
     """A table of the last event of each key, kept by foreachBatch.
 
-    A batch is first reduced to one row a key, then merged with the table's last version; the new version is written beside it
-    under the batch's number, so a batch that runs twice writes the same files again.
+    A batch is first reduced to one row a key, then merged with the last whole version before it on disk; the new version is
+    written beside it under the batch's number. So the state outlives this object, and a batch that runs twice merges with the
+    same version and writes the same rows again. A table belongs to one checkpoint: a batch before the table's last
+    version is refused. Only the last two versions stay.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], order: str) -> None:
         self.spark, self.path, self.keys, self.order = spark, path.rstrip("/"), keys, order
-        self.version: int | None = None
+
+    def _at(self, name: str = ""):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def versions(self) -> list[int]:
+        """The whole versions on disk, oldest first."""
+        files, root = self._at()
+        if not files.exists(root):
+            return []
+        names = [x.getPath().getName() for x in files.listStatus(root)]
+        return sorted(int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit() and files.exists(self._at(f"{n}/_SUCCESS")[1]))
 
     def merge(self, batch: DataFrame, number: int) -> None:
+        there = self.versions()
+        if there and number < there[-1]:
+            raise ValueError(f"{self.path} holds version {there[-1]}, of another checkpoint than batch {number}")
+        before = [v for v in there if v < number]
         own = upsert(batch.limit(0), batch, self.keys, self.order)
-        if self.version is not None:
-            own = upsert(self.table(), own, self.keys, self.order)
+        if before:
+            own = upsert(self.spark.read.parquet(f"{self.path}/v{before[-1]}"), own, self.keys, self.order)
         own.write.mode("overwrite").parquet(f"{self.path}/v{number}")
-        self.version = number
+        for old in before[:-1]:
+            files, where = self._at(f"v{old}")
+            files.delete(where, True)
 
     def table(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self.version}")
+        return self.spark.read.parquet(f"{self.path}/v{self.versions()[-1]}")
 
     def run(self, events: DataFrame, checkpoint: str) -> DataFrame:
         """All events there are, then the table."""

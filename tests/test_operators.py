@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import queries
-from tessera.operators import deltas, fuzzy, graph, grids, lines, rank, resolve, state
+from tessera.operators import align, deltas, fuzzy, graph, grids, lines, rank, resolve, state
 from tessera.plans import audit, planning, rules
 from tessera.sources import files, schemas
 from tessera.sources.store import Store, StoreError
@@ -235,6 +235,7 @@ def test_streams_equal_batches(spark, tmp_path):
     table = attempts.Latest(spark, str(tmp_path / "latest"), ["user_id"], "event_id").run(stream().drop("at"), str(tmp_path / "c1"))
     want = state.latest(batch, ["user_id"], ["event_id"], ["event_type", "value"])
     assert sorted(table.select("user_id", "event_type", "value").collect()) == sorted(want.collect())
+    assert sorted(attempts.Latest(spark, str(tmp_path / "latest"), ["user_id"], "event_id").run(stream().drop("at"), str(tmp_path / "c1")).collect()) == sorted(table.collect())
     got = attempts.to_table(attempts.counts(stream(), late="1000 days"), str(tmp_path / "w"), str(tmp_path / "c2"), "append")
     assert got.count() == 0  # no window is over while events this late may come
     spark.conf.set("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
@@ -244,6 +245,76 @@ def test_streams_equal_batches(spark, tmp_path):
     assert own == {(r.w.start, r.event_type): r.n for r in batch.groupBy(F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).collect()}
 
 
+def test_latest_outlives_its_object(spark, tmp_path):
+    def latest():
+        return attempts.Latest(spark, str(tmp_path / "t"), ["k"], "at")
+
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k int, at int, v string")
+    latest().merge(batch((1, 1, "a"), (2, 1, "b")), 0)
+    latest().merge(batch((3, 2, "c"), (1, 2, "d")), 1)
+    want = [(1, 2, "d"), (2, 1, "b"), (3, 2, "c")]
+    assert sorted(map(tuple, latest().table().collect())) == want
+    latest().merge(batch((3, 2, "c"), (1, 2, "d")), 1)  # the same batch again
+    assert sorted(map(tuple, latest().table().collect())) == want
+    for n in (2, 3):
+        latest().merge(batch((9, n, "x")), n)
+    assert sorted(map(tuple, latest().table().collect())) == [*want, (9, 3, "x")] and latest().versions() == [2, 3]
+    with pytest.raises(ValueError):
+        latest().merge(batch((1, 9, "z")), 0)
+
+
+def test_resolution_of_null_keys_and_many_values(spark):
+    """The winner found from a few rivals is the one that beats every other, found from all pairs."""
+    rng = random.Random(5)
+    kinds = ["unknown", "as_of", "published"]
+    fact = lambda k, v: (k, v, rng.random() < 0.4, rng.randrange(3), rng.randrange(2), rng.randrange(2), rng.randrange(2), rng.choice([0, 10, 60, 90]), rng.randrange(4), rng.choice(kinds), rng.choice([None, "2024-01-01", "2025-01-01"]))
+    rows = [fact(rng.choice([None, *range(120)]), str(rng.randrange(5))) for _ in range(900)]
+    names = "k int, v string, rebuilt boolean, authority int, scope int, priority int, evidence int, score int, source_id int, date_kind string, date_value string"
+    claims = spark.createDataFrame(rows, names)
+    got = {r.k: (r.v, r.outcome, r.decided_by) for r in resolve.resolve(claims, ["k"], ["v"]).collect()}
+    led = [r.asDict() for r in resolve.leaders(claims, ["k"], ["v"]).collect()]
+    assert got.keys() == {r[0] for r in rows}
+
+    def beats(a, b, margin):
+        holds = lambda p, f: p["authority"] >= f["authority"] and p["scope"] >= f["scope"]
+        sign = lambda x, y: (x > y) - (x < y)
+        parser = 0 if a["rebuilt"] == b["rebuilt"] else int(holds(a, b)) if b["rebuilt"] else -int(holds(b, a))
+        dated = a["date_value"] and b["date_value"] and a["date_kind"] == b["date_kind"] != "unknown"
+        steps = [parser, *[sign(a[f], b[f]) for f in ("authority", "scope", "priority")], sign(a["date_value"], b["date_value"]) if dated else 0, sign(a["evidence"], b["evidence"])]
+        steps.append(0 if abs(a["score"] - b["score"]) < margin else sign(a["score"], b["score"]))
+        return next(((s, f) for s, f in zip(steps, resolve.FACTORS) if s), (0, None))
+
+    for k, (v, outcome, factor) in got.items():
+        own = [x for x in led if x["k"] == k]
+        if len(own) == 1:
+            assert (v, outcome) == (own[0]["v"], "equivalent_after_normalization")
+            continue
+        margin = 1 if min(x["low"] for x in own) == max(x["high"] for x in own) else 25
+        winners = [a for a in own if all(beats(a, b, margin)[0] == 1 for b in own if b is not a)]
+        assert (outcome == "auto_resolved") == bool(winners) and v == (winners[0]["v"] if winners else None)
+        if winners:
+            assert factor in {beats(winners[0], b, margin)[1] for b in own if b is not winners[0]}
+
+
+def test_two_funds_keep_a_statute_each(spark):
+    rows = [(f, f"https://a.cz/{f}/{n}.pdf", "", "statute", n) for f in (1, 2) for n in (1, 2)]
+    df = spark.createDataFrame(rows, "fund int, url string, text string, kind string, score int")
+    got = planning.authoritative(df, "fund", "url", "text", "kind", "score", F.lit(0)).where("kept").collect()
+    assert sorted((r.fund, r.score) for r in got) == [(1, 2), (2, 2)]
+
+
+def test_passages_against_a_plain_placement(spark):
+    rows = [(1, n, t) for n, t in enumerate(["alphabet betatron gammaray", "deltoid epsilon zetahed", "short", "alphabet betatron gammaray", "nothing likewise matching herewith"])]
+    pages = spark.createDataFrame(rows[:2], "doc_id long, page int, text string")
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk int, text string")
+    got = {r.chunk: r.page for r in align.place(pages, chunks).collect()}
+    # the pointer looks back by one page; what fits nowhere is filled only between equal pages
+    assert got == {0: 0, 1: 1, 2: None, 3: 0, 4: None}
+    conversations = spark.read.parquet(f"{SF}/conversations.parquet")
+    found = queries.QUERIES["passage_pages"](spark, SF)
+    assert found.count() == conversations.count() and found.where("page is not null").count() > 0
+
+
 # --- all registered queries
 
 
