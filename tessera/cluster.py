@@ -1,4 +1,4 @@
-"""Making this package importable by the Python workers of a cluster."""
+"""What a cluster needs: the package on its executors, and a folder that all of them see."""
 
 from __future__ import annotations
 
@@ -18,3 +18,14 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", package.parent, package.name))
         context._tessera_shipped = True
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a local master may do without and gets a temporary folder, a cluster gets an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")

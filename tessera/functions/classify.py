@@ -2,62 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .labels import *  # noqa: F403
+from .labels import (
+    CAPITAL_METRICS, CLOSE, COMPONENTS, DOCUMENT_TYPES, HORIZON_MINIMUM, LEAST, MANAGER_LEVEL, NOT_PUBLISHED, PERIOD_END, REFINEMENTS, SIGNAL_WEIGHTS, STATUTORY,
+    STRONG, WEAK,
+)
 from .text import has_any, once, text
 
-# The words that name each kind, in the order in which kinds are tried.
-
-CAPITAL_METRICS = {
-    "statutory_minimum_capital": ["minimalni vyse kapitalu", "minimalni vysi kapitalu", "minimalni kapital", "minimalniho kapitalu", "statutory minimum capital", "minimum capital requirement"],
-    "registered_capital": ["zapisovany zakladni kapital", "zapisovaneho zakladniho kapitalu", "zapsany zakladni kapital", "zapsaneho zakladniho kapitalu", "splaceny zakladni kapital", "zakladni kapital", "zakladniho kapitalu", "registered capital", "share capital", "subscribed capital"],
-    "manager_aum": ["aktiva ve sprave skupiny", "majetek ve sprave skupiny", "objem majetku ve sprave spolecnosti", "celkovy objem aktiv ve sprave", "assets under management of the group", "total assets under management", "group assets under management"],
-    "fund_capital": ["investicni fondovy kapital", "fondovy kapital", "fondoveho kapitalu", "vyse fondoveho kapitalu", "fund capital"],
-    "nav": ["net asset value", "hodnota cistych aktiv", "cista hodnota aktiv", "nav"],
-    "net_assets": ["cista aktiva", "cistych aktiv", "cisty obchodni majetek", "net assets"],
-    "assets_under_management": ["aktiva ve sprave", "majetek ve sprave", "assets under management", "aum"],
-    "assets_total": ["celkova aktiva", "aktiva celkem", "total assets", "hodnota majetku fondu", "majetek fondu", "fund assets"],
-    "equity": ["vlastni kapital", "vlastniho kapitalu", "equity"],
-}
-RETURN_SERIES = {
-    "kid_scenario": ["scenar", "scenare", "stresovy", "neprizniv", "umerny", "prizniv", "performance scenario", "stress scenario", "unfavourable", "unfavorable", "moderate scenario", "favourable", "favorable"],
-    "annualized_multi_year": ["anualizovan", "annualised", "annualized", "prumerne rocni", "prumerny rocni", "average annual", "p.a. za poslednich", "rocne za poslednich"],
-    "cumulative": ["kumulativn", "cumulative", "od zalozeni", "od vzniku fondu", "since inception", "celkove zhodnoceni od", "za cele obdobi"],
-    "year_to_date": ["ytd", "od zacatku roku", "year to date", "year-to-date"],
-    "rolling_12m": ["za poslednich 12 mesicu", "poslednich 12 mesicu", "za posledni rok", "mezirocni vykonnost", "meziroc", "rolling 12", "last 12 months", "trailing 12", "12m"],
-    "calendar_year": ["vykonnost v jednotlivych letech", "vykonnost fondu v jednotlivych letech", "vykonnost v letech", "rocni vykonnost", "rocni vynos", "vykonnost za rok", "zhodnoceni za rok", "vysledky v jednotlivych letech", "annual performance", "annual return", "calendar year performance", "yearly performance"],
-}
-HISTORICAL_VALUES = {
-    "nav_per_share": ["hodnota cistych aktiv na akcii", "cista hodnota aktiv na akcii", "net asset value per share", "navps", "nav na akcii", "nav/akcie"],
-    "investment_share_value": ["aktualni hodnota investicni akcie", "hodnota investicni akcie", "hodnota jedne investicni akcie", "cena investicni akcie", "kurz investicni akcie", "hodnota akcie tridy", "investment share value", "share price"],
-    "fund_capital": ["fondovy kapital", "fondoveho kapitalu", "fund capital"],
-    "fund_net_assets": ["cista aktiva", "cistych aktiv", "net assets"],
-    "aum": ["aktiva ve sprave", "majetek ve sprave", "assets under management", "aum"],
-}
-FREQUENCIES = {
-    "daily": ["denni", "denne", "kazdy pracovni den", "daily"],
-    "monthly": ["mesicni", "mesicne", "kazdy kalendarni mesic", "k poslednimu dni kalendarniho mesice", "monthly"],
-    "quarterly": ["ctvrtletni", "ctvrtletne", "kvartalni", "quarterly"],
-    "annual": ["rocni", "rocne", "kazdorocne", "annual", "yearly"],
-}
-RETURN_TYPES = {
-    "hurdle": ["hurdle rate", "hurdle", "minimalni pozadovana vynosnost", "prekazkova sazba"],
-    "preferred": ["prednostni vynos", "prednostniho vynosu", "prioritni vynos", "prioritniho vynosu", "preferencni vynos", "preferred return", "priority return"],
-    "guaranteed_minimum": ["garantovany vynos", "garantovane zhodnoceni", "zaruceny vynos", "zarucene zhodnoceni", "minimalni zhodnoceni", "minimalni vynos", "minimalni planovane zhodnoceni", "guaranteed return", "guaranteed minimum", "minimum return"],
-    "expected": ["ocekavany vynos", "ocekavane zhodnoceni", "ocekavana vykonnost", "predpokladany vynos", "predpokladane zhodnoceni", "expected return", "expected performance", "anticipated return"],
-    "target": ["cilovy vynos", "cilove zhodnoceni", "cileny vynos", "cilene zhodnoceni", "cilova vykonnost", "target return", "target yield", "targeted return"],
-}
-BENCHMARK = ["2tr", "2t repo", "repo sazb", "repo rate", "pribor", "euribor", "wibor", "sofr", "sazby cnb", "sazbou cnb", "sazba cnb", "inflac", "inflation", "benchmark"]
-PERIOD_END = ["k poslednimu dni ucetniho obdobi", "k poslednimu dni obdobi", "ke konci ucetniho obdobi", "k rozvahovemu dni", "k datu ucetni zaverky", "at the end of the accounting period", "as at the balance sheet date"]
-PER_SHARE = ["na 1 akcii", "na jednu akcii", "na akcii", "na investicni akcii", "na podilovy list", "per share", "na akcii v"]
-MANAGER_LEVEL = ["skupina spravuje", "spolecnost spravuje", "investicni spolecnost spravuje", "spravcovska spolecnost spravuje", "obhospodarovatel spravuje", "ve sprave skupiny", "ve sprave spolecnosti", "aktiva ve sprave skupiny", "majetek ve sprave skupiny", "celkovy objem aktiv ve sprave", "napric fondy", "vsechny fondy", "vsech fondu", "our funds", "the group has", "group manages", "company manages", "manager manages", "assets under management of the group", "total assets under management"]
-STATUTORY = ["nedosahne hranice", "nedosahne vyse", "musi dosahnout", "minimalni vyse kapitalu", "minimalni kapital", "dle ust. § 29", "dle ust. 29", "§ 29 odst", "zisif", "must reach", "minimum capital"]
-HORIZON_MINIMUM = ["min.", "min ", "minimalne", "minimalni", "nejmene", "alespon", "a vice", "a delsi", "a dele", "or more", "at least", "minimum"]
-COMPONENTS = ["neinvesticni", "neinvesticniho"]
-PAST_RETURN = ["vykonnost", "vynos", "zhodnoceni", "vysledek", "vysledky", "return", "performance", "yield"]
-
-
 def first_match(folded: Column | str, labels: dict[str, list[str]]) -> Column:
     """The first kind of which text holds a word, null without."""
     return F.coalesce(*[F.when(has_any(folded, words), F.lit(kind)) for kind, words in labels.items()])
@@ -111,31 +68,46 @@ def negated(folded: Column, start: Column, words: list[str] = COMPONENTS) -> Col
     return out
 
 
-#: What a keyword is worth in each place, and the bounds of a decision.
-SIGNAL_WEIGHTS = {"document_title": 5, "header_text": 5, "metadata_title": 4, "metadata_subject": 3, "anchor_text": 3, "file_name": 3, "url_path": 2, "page_title": 2, "body_text": 1}
-STRONG, WEAK, LEAST, CLOSE = 6, 2, 6, 4
-#: Strong and weak keywords of document types.
-DOCUMENT_TYPES = {
-    "factsheet": (["factsheet", "fact sheet", "informacni list", "produktovy list"], ["prehled fondu", "fund profile"]),
-    "infoletter": (["infoletter", "mesicni zprava", "kvartalni zprava", "ctvrtletni zprava", "monthly report", "quarterly report"], ["newsletter", "komentar portfolio manazera"]),
-    "investor_notice": (["oznameni investorum", "sdeleni akcionarum", "oznameni akcionarum", "investor notice", "notice to investors", "oznameni o zmene"], ["pozvanka na valnou hromadu", "zapis z valne hromady"]),
-}
-
-
-def vote(signals: dict[str, Column], types: dict[str, tuple[list[str], list[str]]]) -> Column:
+def vote(signals: dict[str, Column], types: dict[str, tuple] = DOCUMENT_TYPES, refines: list[tuple[str, str]] = REFINEMENTS) -> Column:
     """struct(kind, score, second, ambiguous): each type's keywords weigh what their signal weighs.
 
-    A type needs LEAST points; one whose runner-up is within CLOSE is ambiguous.
+    types: strong and weak keywords, and maybe pairs of words and words that keep a signal from counting
+    for the type. A type needs LEAST points; one whose runner-up is within CLOSE is ambiguous, unless one
+    of the two refines the other.
     """
     scores = []
-    for k, (kind, (strong, weak)) in enumerate(types.items()):
+    for k, (kind, (strong, weak, *more)) in enumerate(types.items()):
+        pairs, excluded = (more + [[], []])[:2]
         total = F.lit(0)
         for name, x in signals.items():
             x = F.coalesce(x, F.lit(""))
-            hits = sum((F.when(F.contains(x, F.lit(w)), STRONG).otherwise(0) for w in strong), F.lit(0)) + sum((F.when(F.contains(x, F.lit(w)), WEAK).otherwise(0) for w in weak), F.lit(0))
-            total = total + SIGNAL_WEIGHTS[name] * hits
+            hits = [F.when(F.contains(x, F.lit(w)), p).otherwise(0) for words, p in ((strong, STRONG), (weak, WEAK)) for w in words]
+            hits += [F.when(F.contains(x, F.lit(a)) & F.contains(x, F.lit(b)), WEAK).otherwise(0) for a, b in pairs]
+            points = sum(hits, F.lit(0))
+            total = total + SIGNAL_WEIGHTS[name] * (F.when(has_any(x, excluded), 0).otherwise(points) if excluded else points)
         scores.append(F.struct(total.alias("score"), F.lit(-k).alias("order"), F.lit(kind).alias("kind")))
-    ranked = F.sort_array(F.array(*scores), asc=False)
-    first, second = F.get(ranked, 0), F.get(ranked, 1)["score"] if len(scores) > 1 else F.lit(0)
-    named = first["score"] >= LEAST
-    return F.struct(F.when(named, first["kind"]).alias("kind"), first["score"].alias("score"), second.alias("second"), (named & (first["score"] - second < CLOSE)).alias("ambiguous"))
+
+    def decided(ranked: Column) -> Column:
+        first, other = F.get(ranked, 0), F.get(ranked, 1)
+        second = F.coalesce(other["score"], F.lit(0))
+        refined = reduce(or_, ((first["kind"] == a) & (other["kind"] == b) for a, b in refines), F.lit(False))
+        named = first["score"] >= LEAST
+        close = named & (second > 0) & ~F.coalesce(refined, F.lit(False)) & (first["score"] - second < CLOSE)
+        return F.struct(F.when(named, first["kind"]).alias("kind"), first["score"].alias("score"), second.alias("second"), close.alias("ambiguous"))
+
+    return once(F.sort_array(F.array(*scores), asc=False), decided)
+
+
+def document_type(signals: dict[str, Column]) -> Column:
+    """The type of a document by all its signals; `other` where none has points enough."""
+    return F.coalesce(vote(signals)["kind"], F.lit("other"))
+
+
+def no_published_return(folded: Column | str) -> Column:
+    """Whether a source says that it publishes no target return."""
+    return has_any(folded, NOT_PUBLISHED)
+
+
+def period_end_date(folded: Column | str, dates: Column) -> Column:
+    """The end of the document's reporting period where a line dates its value by naming that period; else null."""
+    return F.when(has_any(folded, PERIOD_END), dates["period_end"])

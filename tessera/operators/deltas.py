@@ -71,3 +71,10 @@ def missing_groups(groups: dict[str, list[str]], found: Column) -> Column:
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def ablation(whole: DataFrame, without: DataFrame, switch: str, keys: list[str]) -> DataFrame:
+    """(switch, keys): what whole(keys) has and without(switch, keys) lacks, with one change switched off, for each switch."""
+    names = [r[0] for r in without.select(switch).distinct().collect()]  # a row for each switch
+    expected = whole.select(*keys).distinct().withColumn(switch, F.explode(F.array(*map(F.lit, names))))
+    return expected.join(without.select(switch, *keys), [switch, *keys], "left_anti").select(switch, *keys)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical_url, fold, has_any, joined_url
+from ..functions.labels import LINK_DOWNLOAD, LINK_LEAST, LINK_NEGATIVE, LINK_RULES
+from ..functions.text import canonical_domain, canonical_url, fold, has_any, joined_url, once, url_path
 
 LINK = r"""<a\b[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
@@ -40,6 +41,33 @@ def link_score(href: Column, anchor: Column, wanted: list[str], unrelated: list[
     return F.greatest(F.lit(0), F.least(F.lit(70), hits * 35) + fresh + pdf - F.when(has_any(words, unrelated), 80).otherwise(0))
 
 
+def classified_link(href: Column, anchor: Column, page: Column, download: Column | None = None) -> Column:
+    """struct(kind, score, same_domain, direct) of a link, null below LINK_LEAST points.
+
+    The rule with the most points names the kind, the first of equal ones. Direct documents, words of a
+    download, the page's own domain add points; words of pages without documents take 70.
+    """
+    words = F.trim(F.concat(fold(anchor), F.lit(" "), fold(href)))
+    rules = []
+    for k, (kind, points, keywords) in enumerate(LINK_RULES):
+        hits = sum((F.when(F.contains(words, F.lit(w)), 1).otherwise(0) for w in keywords), F.lit(0))
+        score = F.when(hits > 0, points + F.least(hits - 1, F.lit(3)) * 5).otherwise(0)
+        rules.append(F.struct(score.alias("score"), F.lit(-k).alias("order"), F.lit(kind).alias("kind")))
+    direct = F.lower(url_path(href)).rlike(r"[^/]\.(pdf|xhtml|xml|txt)$")
+    same = canonical_domain(href) == canonical_domain(page)
+    more = F.when(direct, 30).otherwise(0) + F.when(has_any(fold(anchor), LINK_DOWNLOAD), 10).otherwise(0) + F.when(same, 5).otherwise(0)
+    if download is not None:
+        more = more + F.when(download, 10).otherwise(0)
+    less = F.when(has_any(words, LINK_NEGATIVE), 70).otherwise(0)
+
+    def scored(best: Column) -> Column:
+        score = F.greatest(F.lit(0), best["score"] + more - less)
+        kind = F.when(best["score"] > 0, best["kind"]).otherwise("other")
+        return F.when(score >= LINK_LEAST, F.struct(kind.alias("kind"), score.alias("score"), same.alias("same_domain"), direct.alias("direct")))
+
+    return once(F.array_max(F.array(*rules)), scored)
+
+
 def distances(edges: DataFrame, roots: DataFrame, most: int) -> DataFrame:
     """(node, depth) of the nodes that at most `most` steps along edges(a, b) reach from roots(node).
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.deltas import union_all
+
 from ..operators.rank import cap
 
 
@@ -121,3 +123,30 @@ def repeated_errors(df: DataFrame, host: str, code: Column, least: int = 3) -> D
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+#: What a pass adds up, and the digits to which seconds are rounded.
+PASS_COUNTS = ["pages_visited", "documents_discovered", "documents_downloaded", "documents_parsed", "superseded_documents", "failures", "expected_misses", "warnings"]
+PASS_SECONDS = {"duration_seconds": 3, "discovery_seconds": 1, "crawl_seconds": 1, "parse_seconds": 1, "extract_seconds": 1}
+
+
+def pass_metrics(results: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Sums of a pass over results, a row for each fund: funds, counts, rounded seconds; real failures are those not expected."""
+    counts_ = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in PASS_COUNTS if c in results.columns]
+    seconds = [F.round(F.coalesce(F.sum(c), F.lit(0.0)), n).alias(c) for c, n in PASS_SECONDS.items() if c in results.columns]
+    got = results.groupBy(*by).agg(F.count("*").alias("funds"), *counts_, *seconds)
+    return got.withColumn("real_failures", F.col("failures") - F.col("expected_misses")) if {"failures", "expected_misses"} <= set(got.columns) else got
+
+
+def totals(documents: DataFrame, counters: dict[str, str], sums: list[str], by: list[str] = ()) -> DataFrame:
+    """(by, metric, level, n): how often each level of the counters stands (each element of arrays), and the sums, as rows."""
+    parts = []
+    for metric, column in counters.items():
+        listed = documents.schema[column].dataType.typeName() == "array"
+        rows = documents.select(*by, (F.explode(column) if listed else F.col(column)).alias("level")).withColumn("level", F.col("level").cast("string"))
+        parts.append(rows.groupBy(*by, "level").agg(F.count("*").cast("double").alias("n")).select(*by, F.lit(metric).alias("metric"), "level", "n"))
+    if sums:
+        added = documents.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in sums])
+        rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.lit(None).cast("string").alias("level"), F.col(c).alias("n")) for c in sums])
+        parts.append(added.select(*by, F.explode(rows).alias("r")).select(*by, "r.*"))
+    return union_all(parts)

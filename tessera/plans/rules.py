@@ -8,8 +8,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classify import STATUTORY, capital_metric
-from ..functions.text import company_key, fold, has_any
+from ..functions.classify import capital_metric
+from ..functions.evidence import written_forms
+from ..functions.labels import AMOUNT_UNITS, ANNUAL_REPORT_ADDRESSES, CAPITAL_SUBJECTS, STATUTORY
+from ..functions.text import canonical_domain, company_key, distinctive_tokens, fold, has_any, once, words
 from ..functions.values import supports
 
 # The bounds of the rules.
@@ -230,3 +232,55 @@ def same_company_other_number(df: DataFrame, fund: str) -> DataFrame:
     m, a = df.where("role = 'manager'"), df.where("role = 'administrator'")
     both = m.select(fund, company_key("name").alias("k"), F.col("ico").alias("i")).join(a.select(fund, company_key("name").alias("k"), F.col("ico").alias("j")), [fund, "k"])
     return both.where(F.col("i") != F.col("j")).select(fund).distinct()
+
+
+#: Fixed value: how a company's name ends.
+COMPANY = r"[^\n:;()•\[\]]{2,70}?(?:a\.\s?s\.|s\.\s?r\.\s?o\.|spol\.\s*s\s*r\.\s*o\.|SE)(?![\w.])"
+
+
+def capital_attribution(amount: Column, quote: Column, fund_name: Column) -> Column:
+    """A finding where another company stands before the amount in the quote, and neither the fund nor a word for it stands closer."""
+    plain = F.regexp_replace(F.coalesce(quote, F.lit("")), "[\u00a0\u202f]", " ")
+    fund = distinctive_tokens(fund_name)
+    places = F.filter(F.transform(written_forms(amount), lambda f: F.position(f, plain)), lambda p: p > 0)
+    foreign = lambda n: (F.size(distinctive_tokens(n)) > 0) & (F.size(F.array_intersect(distinctive_tokens(n), fund)) == 0)
+
+    def judged(lead: Column) -> Column:
+        names, rest = F.regexp_extract_all(lead, F.lit(COMPANY), F.lit(0)), F.split(lead, COMPANY, -1)
+        # the last company that isn't the fund, and what stands between it and the amount
+        last = F.array_max(F.transform(names, lambda n, k: F.when(foreign(n), k)))
+        between = F.array_join(F.concat(F.slice(rest, last + 2, F.size(rest)), F.slice(names, last + 2, F.size(names) + 1)), " ")
+        closer = F.arrays_overlap(F.split(fold(between), r"[^a-z0-9]+"), F.array_union(fund, F.array(*map(F.lit, CAPITAL_SUBJECTS))))
+        return rule("capital_of_another_company", "reject", last.isNotNull() & ~closer)
+
+    return once(F.when(F.size(places) > 0, F.substr(plain, F.lit(1), F.array_min(places) - 1)), judged)
+
+
+def explained_small_amount(code: Column, quote: Column, url: Column) -> Column:
+    """The code of a finding, more exact for amounts that are too small.
+
+    If a unit stands in the quote, a wrong amount was taken; else, in an annual report, the unit of the
+    table's head is missing.
+    """
+    small = code == "implausibly_small_aum"
+    unit = has_any(fold(F.coalesce(quote, F.lit(""))), AMOUNT_UNITS)
+    report = has_any(fold(F.coalesce(url, F.lit(""))), ANNUAL_REPORT_ADDRESSES)
+    return F.when(small & unit, "aum_value_not_tied_to_label").when(small & report, "thousands_unit_not_applied").otherwise(code)
+
+
+def news_items(items: DataFrame, funds: DataFrame, fund: str) -> DataFrame:
+    """(fund, url, code, severity) of items(fund, url, title, published_at, third_party) against funds(fund, name, web).
+
+    An item of the fund's own host is fine; a third party's is to be reviewed; one of a shared site must
+    name the fund by one of its distinctive words. url is null in the finding that a fund has undated items.
+    """
+    known = items.join(funds.select(fund, "name", "web"), fund)
+    host = canonical_domain("web")
+    foreign = ~F.coalesce((host != "") & (canonical_domain("url") == host), F.lit(False))
+    tokens = distinctive_tokens("name")
+    mentioned = F.size(F.array_intersect(tokens, words(F.concat_ws(" ", "title", F.regexp_replace("url", "[^A-Za-z0-9]+", " "))))) > 0
+    other = rule("news_from_unofficial_source", "review", foreign & F.col("third_party"))
+    shared = rule("news_of_another_fund", "reject", foreign & ~F.col("third_party") & (F.size(tokens) > 0) & ~mentioned)
+    found = exploded(known, [fund, "url"], findings(other, shared))
+    undated = items.where("published_at is null").select(fund).distinct()
+    return found.union(undated.select(fund, F.lit(None).cast("string"), F.lit("news_without_date"), F.lit("review")))
