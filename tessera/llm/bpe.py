@@ -55,6 +55,8 @@ class Parts:
     """
 
     special: dict[str, int]
+    #: Bytes of the memory's arrays beyond which it starts afresh.
+    remembered_bytes = REMEMBERED_BYTES
 
     def __init__(self) -> None:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -74,7 +76,7 @@ class Parts:
 
         Ids and their numbers are those of the memory, then those of long parts, which it doesn't hold.
         """
-        if len(self.known) > REMEMBERED or self.known.nbytes + self.flat.nbytes + self.lengths.nbytes > REMEMBERED_BYTES:
+        if len(self.known) > REMEMBERED or self.known.nbytes + self.flat.nbytes + self.lengths.nbytes > self.remembered_bytes:
             self.forget()
         long = pc.greater(pc.binary_length(parts), LONGEST)
         at = pc.index_in(parts, value_set=self.known)

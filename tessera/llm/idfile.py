@@ -28,6 +28,8 @@ from .common import documents, drop_path, new_path, save, settled, trim
 LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
 #: Ids of a block, about.
 BLOCK = 1 << 18
+#: Bytes of text that one step encodes: each looks its parts up in the whole memory, so large steps are cheap ones.
+STEP = 12_000_000
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -57,6 +59,8 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 class Library(bpe.Parts):
     """Ids by the tokenizers library; it gets each distinct part of a text once."""
 
+    remembered_bytes = 112_000_000
+
     def __init__(self, text: str) -> None:
         import os
 
@@ -101,7 +105,7 @@ def _tokenise(vocabulary, end: int | None, kind: str):
         total = np.zeros(own.tokenizer.get_vocab_size() + 1, np.int64)
         for batch in batches:
             ids, at = [], 0
-            for part in bpe.in_chunks(batch.column(1), bpe.ENCODED):
+            for part in bpe.in_chunks(batch.column(1), STEP):
                 rows = own.encode(part)
                 flat, ends = rows.values.to_numpy(), rows.offsets.to_numpy()
                 seen = np.bincount(flat, minlength=len(total))
