@@ -102,3 +102,15 @@ def resolve(claims: DataFrame, key: list[str], value: list[str]) -> DataFrame:
     lost = many.join(won, same("w", "v"), "left").select(*[F.col(f"w.{k}").alias(k) for k in key], *[F.col(f"v.{x}").alias(x) for x in value], "v.decided_by", "n_values", "n_claims")
     named = F.when(F.col("decided_by").isNotNull(), "auto_resolved").otherwise("unresolved").alias("outcome")
     return alone.union(lost.select(*key, *value, named, "decided_by", "n_values", "n_claims"))
+
+
+def contest_leading(claims: DataFrame, key: list[str], conflict: list[str], value: list[str]) -> DataFrame:
+    """`resolve` of each key's leading claim and of those that claim the same thing, that is, agree with it in `conflict`.
+
+    A claim of another date, class or metric is no rival but a different statement. Claims of equal strength
+    are led by the one with the largest conflict columns. Keys of one claim in that group have n_claims 1.
+    """
+    lead = claims.groupBy(*key).agg(F.max_by(F.struct(*conflict), F.struct(strength(), *conflict)).alias("lead")).alias("w")
+    shared = [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in key]
+    shared += [F.col(f"c.{x}").eqNullSafe(F.col(f"w.lead.{x}")) for x in conflict]
+    return resolve(claims.alias("c").join(lead, shared, "left_semi"), [*key, *conflict], value)
