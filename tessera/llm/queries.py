@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embeddings, idfile, lines, mixing, quality, rules, secrets, simhash, warc
+from . import bpe, embeddings, idfile, lines, manifest, mixing, quality, rules, secrets, simhash, warc
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8,
     "op9_quality_classifier": quality.op9,
     "op10_quality_rules": rules.op10,
+    "op13_merkle_manifest": manifest.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -22,4 +23,5 @@ ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.OP3_SQL,
     "op6_warc_fixity_audit": warc.OP6_SQL,
     "op8_line_dedup": lines.OP8_SQL,
+    "op13_merkle_manifest": manifest.OP13_SQL,
 }
