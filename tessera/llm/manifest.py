@@ -77,11 +77,11 @@ def written_path(path: list[tuple[list[str], list[str]]]) -> str:
 def numbered(rows: DataFrame) -> tuple[DataFrame, list[tuple[str, int]]]:
     """(rows of (tree, id, leaf, altered) with pos, their place in their tree from 0; (tree, number of its rows)).
 
-    One range shuffle of narrow rows by (tree, id, digests), so that a tree with most rows is dealt to
-    many tasks; one row for each part and tree comes to the driver for the prefix sum.
+    Leaves are written once, so that texts are digested once, then dealt by range of (tree, id, leaf), so
+    that a tree with most rows goes to many tasks; one row for each part and tree comes to the driver for the prefix sum.
     """
-    order = ["tree", "id", "leaf", "altered"]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows, _ = save(rows, "manifest-digests")
+    dealt = rows.repartitionByRange("tree", "id", "leaf").sortWithinPartitions("tree", "id", "leaf", "altered")
     at = F.monotonically_increasing_id()
     held, _ = save(dealt.withColumns({"part": F.spark_partition_id(), "at": at.bitwiseAND(F.lit((1 << 33) - 1))}), "manifest-leaves")
     counts = sorted(tuple(r) for r in held.groupBy("tree", "part").agg(F.min("at"), F.count("*")).collect())
