@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embeddings, idfile, lines, manifest, mixing, quality, rules, runs, secrets, simhash, warc
+from . import bpe, embeddings, idfile, lines, manifest, mixing, personal, quality, rules, runs, secrets, simhash, warc
 
 QUERIES = {
     "op1_bpe_roundtrip": bpe.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8,
     "op9_quality_classifier": quality.op9,
     "op10_quality_rules": rules.op10,
+    "op11_personal_data": personal.op11,
     "op12_periodic_runs": runs.op12,
     "op13_merkle_manifest": manifest.op13,
 }
