@@ -59,7 +59,7 @@ def extract_fees(spark, d):
 
 @query("extract_assets", "SELECT c_custkey AS fund, (c_custkey % 700 + 100) * 1e6 AS amount, 'fund_capital' AS metric, DATE '2024-12-31' AS as_of FROM customer")
 def extract_assets(spark, d):
-    a = x.assets(memoranda(spark, d))
+    a = x.assets(memoranda(spark, d), 2026)
     return a.groupBy("fund").agg(F.max("value.amount").alias("amount"), F.max("value.metric").alias("metric"), F.max("value.as_of").alias("as_of"))
 
 

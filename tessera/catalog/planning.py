@@ -59,8 +59,15 @@ f AS (SELECT *, least(n, greatest(1, floor(exact)))::INT AS base FROM t),
 r AS (SELECT *, row_number() OVER (ORDER BY exact - floor(exact) DESC, field) AS k, 22 - sum(base) OVER () AS rest FROM f)
 SELECT field, (base + (k <= rest)::INT)::INT AS quota FROM r""")
 def field_quotas(spark, d):
-    counts = {r.c_mktsegment: r["count"] for r in table(spark, d, "customer").groupBy("c_mktsegment").count().collect()}
-    return spark.createDataFrame(sorted(planning.quotas(counts, 22).items()), "field string, quota int")
+    return planning.field_quotas(table(spark, d, "customer").groupBy("c_mktsegment").count(), "c_mktsegment", "count", 22)
+
+
+@query("review_sample")
+def review_sample(spark, d):
+    """A sample of 200 orders for review: fields are priorities, types states, funds customers, the doubtful are dear, recent and of the first of a month."""
+    hard = planning.difficulty([(F.col("o_totalprice") > 400_000, 3), (F.col("o_orderdate") >= "1998-01-01", 2), (F.dayofmonth("o_orderdate") == 1, 2)])
+    rows = table(spark, d, "orders").withColumn("difficulty", hard)
+    return planning.sample(rows, "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "difficulty", 200, "7")
 
 
 @query("stratified_sample", "SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY h, o_orderkey) n FROM (SELECT o_orderpriority, o_orderkey, h FROM (SELECT *, md5('7/' || o_orderkey) h, row_number() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY md5('7/' || o_orderkey), o_orderkey) g FROM orders) WHERE g <= 3)) WHERE n <= 40")

@@ -179,7 +179,7 @@ def store_counts(spark, d):
 
 @query("store_candidates", "SELECT min(o_orderkey) AS source_id FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderkey % 50")
 def store_candidates(spark, d):
-    return whole_store(spark, d).candidates(1_000_000).select("source_id")
+    return whole_store(spark, d).candidates().select("source_id")
 
 
 @query("store_unstructured", "SELECT o_orderkey AS source_id FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 4 > 0")

@@ -101,3 +101,53 @@ def joined_urls(spark, d):
 @query("resolved_urls", r"SELECT page_id, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || '/b' AS url FROM pages")
 def resolved_urls(spark, d):
     return table(spark, d, "pages").select("page_id", text.resolved_url("url", F.lit("/a/../b#c")).alias("url"))
+
+
+def _crawl_sql(rounds: int) -> str:
+    """The crawl below with each round written out."""
+    group = lambda kinds: " OR ".join(f"list_contains(kinds, '{k}')" for k in kinds)
+    enough = " AND ".join(f"({group(v)})" for v in graph.REQUIRED.values())
+    parts = [
+        "k AS (SELECT l_orderkey AS a, l_partkey * 7 % 15000 AS b, min(struct_pack(seq := l_linenumber, score := l_quantity::INT, kind := CASE l_suppkey % 7 WHEN 0 THEN 'priips_kid' WHEN 1 THEN 'statute' WHEN 2 THEN 'annual_report' ELSE 'other' END, document := l_returnflag = 'R')) AS l FROM lineitem GROUP BY 1, 2)",
+        "s0 AS (SELECT o_custkey AS fund, o_orderkey % 15000 AS node, 100 AS score, 0 AS born, min(o_orderkey)::INT AS seq, NULL::INT AS round FROM orders GROUP BY 1, 2)",
+        "b AS (SELECT c_custkey AS fund, 1 + c_custkey % 4 AS budget FROM customer)", "d0 AS (SELECT fund, node, NULL::VARCHAR AS kind, 0 AS round FROM s0 WHERE false)",
+    ]
+    for n in range(1, rounds + 1):
+        parts += [
+            f"h{n} AS (SELECT fund, node, score FROM (SELECT *, row_number() OVER (PARTITION BY fund ORDER BY score DESC, born, seq, node) AS r FROM s{n - 1} WHERE round IS NULL) WHERE r = 1 AND fund IN (SELECT fund FROM b WHERE budget >= {n}) AND fund NOT IN (SELECT fund FROM (SELECT fund, list(DISTINCT kind) AS kinds FROM d{n - 1} GROUP BY fund) WHERE {enough}))",
+            f"x{n} AS (SELECT fund, b AS node, k.l.score AS score, k.l.seq AS seq, k.l.kind AS kind, k.l.document AS document FROM h{n} JOIN k ON k.a = h{n}.node)",
+            f"d{n} AS (SELECT fund, node, arg_min(kind, round) AS kind, min(round) AS round FROM (SELECT * FROM d{n - 1} UNION ALL SELECT fund, node, kind, {n} FROM x{n} WHERE document) GROUP BY fund, node)",
+            f"s{n} AS (SELECT fund, node, arg_min(score, (born, seq)) AS score, arg_min(born, (born, seq)) AS born, arg_min(seq, (born, seq)) AS seq, max(round) AS round FROM (SELECT * FROM s{n - 1} UNION ALL SELECT fund, node, score, {n}, seq, NULL FROM x{n} WHERE NOT document UNION ALL SELECT fund, node, score, 999, 0, {n} FROM h{n}) GROUP BY fund, node)",
+        ]
+    return "WITH " + ", ".join(parts)
+
+
+def crawled(spark, d, rounds: int = 4):
+    """Each customer's crawl from its orders over the links of line items, 1 to 4 pages each."""
+    li = table(spark, d, "lineitem")
+    of = F.col("l_suppkey") % 7
+    kind = F.when(of == 0, "priips_kid").when(of == 1, "statute").when(of == 2, "annual_report").otherwise("other")
+    edges = li.select(F.col("l_orderkey").alias("a"), (F.col("l_partkey") * 7 % 15000).alias("b"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").cast("int").alias("score"), kind.alias("kind"), (F.col("l_returnflag") == "R").alias("document"))
+    seeds = table(spark, d, "orders").select(F.col("o_custkey").alias("fund"), (F.col("o_orderkey") % 15000).alias("node"), F.lit(100).alias("score"), F.col("o_orderkey").alias("seq"))
+    budgets = table(spark, d, "customer").select(F.col("c_custkey").alias("fund"), (1 + F.col("c_custkey") % 4).alias("budget"))
+    return graph.crawl(edges, seeds, budgets, rounds, graph.REQUIRED)
+
+
+@query("crawl_pages", _crawl_sql(4) + " SELECT fund, node, score, round FROM s4 WHERE round IS NOT NULL")
+def crawl_pages(spark, d):
+    return crawled(spark, d)[0]
+
+
+@query("crawl_documents", _crawl_sql(4) + " SELECT fund, node, kind, round FROM d4")
+def crawl_documents(spark, d):
+    return crawled(spark, d)[1]
+
+
+@query("sitemap_seeds", r"""WITH e AS (SELECT page_id % 20 AS fund, url AS node, regexp_extract(url, '://([^/?#:]+)', 1) AS host, length(url)::INT % 60 AS score, DATE '2024-01-01' + (page_id % 7)::INT AS modified FROM pages),
+o AS (SELECT fund, node, max(score) AS score, min(modified) AS modified FROM e WHERE host LIKE '%e%' AND score >= 20 GROUP BY 1, 2)
+SELECT fund, node, score, seq::INT AS seq FROM (SELECT *, row_number() OVER (PARTITION BY fund ORDER BY score DESC, modified, node) AS seq FROM o) WHERE seq <= 5""")
+def sitemap_seeds(spark, d):
+    p = table(spark, d, "pages")
+    host = F.regexp_extract("url", r"://([^/?#:]+)", 1)
+    entries = p.select((F.col("page_id") % 20).alias("fund"), F.col("url").alias("node"), host.alias("host"), F.when(F.contains(host, F.lit("e")), host).otherwise("another").alias("fund_host"), (F.length("url") % 60).alias("score"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 7).cast("int")).alias("modified"))
+    return graph.sitemap_seeds(entries, 20, 5)

@@ -172,3 +172,32 @@ CATALOGUE_GENERIC = [
     "a", "as", "fond", "fund", "fonds", "investicni", "investment", "kapital", "kapitalem", "podfond", "promenneho", "promennym", "promenny", "s", "sicav",
     "spolecnost", "zakladniho", "zakladnim",
 ]
+
+# Forms before which a fund's name stands, how many words of it, and words that are no name.
+FORM_WORDS = ["sicav", "investicni fond", "podfond"]
+NAME_REACH = 8
+NAME_NOISE = [
+    "a", "as", "s", "sicav", "fond", "fund", "fonds", "investicni", "investment", "spolecnost", "podfond", "subfund", "otevreny", "uzavreny", "promennym", "zakladnim",
+    "kapitalem",
+]
+# Words by which a link speaks of a fund, and words of documents in such links.
+OTHER_FUND_MARKERS = ["sicav", "podfond", "subfund", "investicni fond", "otevreny podilovy fond", "uzavreny investicni fond"]
+DOCUMENT_VOCABULARY = [
+    "statut", "statute", "stanovy", "vyrocni", "pololetni", "zprava", "zpravy", "zpravu", "report", "annual", "kid", "kiid", "priips", "klicove", "klicovych", "informace",
+    "informaci", "sdeleni", "memorandum", "prospekt", "prospectus", "factsheet", "list", "ucetni", "zaverka", "cenik", "dokument", "dokumenty", "dokumentu", "archiv",
+    "trida", "tridy", "tride", "class", "pdf", "download", "soubor", "verze", "aktualni", "platny", "cze", "eng",
+]
+
+# How a horizon, a minimum investment and a target return are worded, as pieces of patterns.
+HORIZON_WORDS = [
+    r"doporucen[ay]?\s+(?:investicni\s+)?(?:horizont|doba\s+drzeni)", r"investicni\s+horizont", r"minimalni\s+doba\s+investice",
+    r"recommended\s+holding\s+period", r"investment\s+horizon",
+]
+HORIZON_UNITS = ["let", "roku", "roky", "years?", "yrs?"]
+MINIMUM_STARTS = ["minimalni", "nejnizsi", "minimum", "pocatecni", "initial"]
+MINIMUM_SUBJECTS = ["investice", "vklad", "upis", "subscription", "investment"]
+RETURN_STARTS = [
+    "cilov[ay]", "cilen[ay]", "ocekavan[ay]", "predpokladan[ay]", "prednostn[ei]", "prioritn[ei]", "preferencn[ei]", "garantovan[ay]", "zarucen[ay]", "minimaln[ei]",
+    "target", "expected", "anticipated", "preferred", "priority", "guaranteed", "minimum",
+]
+RETURN_SUBJECTS = ["vynos", "zhodnoceni", "return"]

@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .labels import DOCUMENT_VOCABULARY, OTHER_FUND_MARKERS
+
 #: Letters with marks of European languages. Both strings have one letter for one.
 MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿĀāĂăĄąĆćĈĉĊċČčĎďĒēĔĕĖėĘęĚěĜĝĞğĠġĢģĤĥĨĩĪīĬĭĮįİĴĵĶķĹĺĻļĽľŃńŅņŇňŌōŎŏŐőŔŕŖŗŘřŚśŜŝŞşŠšŢţŤťŨũŪūŬŭŮůŰűŲųŴŵŶŷŸŹźŻżŽž"
 PLAIN = "".join(unicodedata.normalize("NFKD", c)[0] for c in MARKED)
@@ -251,10 +253,18 @@ def tokens_match(a: Column, b: Column) -> Column:
     return (a == b) | inside(a, b) | inside(b, a)
 
 
-def names_another(own: Column, named: Column) -> Column:
-    """Whether some named token matches none of our own, with none matching at all."""
-    none = ~F.exists(named, lambda n: F.exists(own, lambda o: tokens_match(n, o)))
-    return (F.size(named) > 0) & none
+def link_names_another(name: Column | str, anchor: Column | str, url: Column | str) -> Column:
+    """Whether a link speaks of a fund, and of none that shares a word or a fragment with `name`.
+
+    Only links with a word for funds are judged; what isn't vocabulary of documents is the name. A name or a
+    link without such words decides nothing.
+    """
+    own = distinctive_tokens(name)
+    words = F.trim(F.concat_ws(" ", fold(anchor), url_words(url)))
+    named = F.array_distinct(F.regexp_extract_all(words, F.lit("[a-z]{3,}"), 0))
+    named = F.array_except(named, F.array(*map(F.lit, GENERIC_WORDS + DOCUMENT_VOCABULARY)))
+    some = F.exists(named, lambda n: F.exists(own, lambda o: tokens_match(n, o)))
+    return has_any(words, OTHER_FUND_MARKERS) & (F.size(own) > 0) & (F.size(named) > 0) & ~some
 
 
 # --- quality of a text

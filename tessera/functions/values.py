@@ -221,14 +221,19 @@ def fee(folded: Column | str) -> Column:
     n = r"(\d{1,2}(?:[.,]\d+)?)"
     rate = lambda p, k=1: F.nullif(F.replace(F.regexp_extract(x, p, k), F.lit(","), F.lit(".")), F.lit("")).try_cast("double")
     upper = F.coalesce(rate(rf"{n}\s*%\s*(?:-|az|do)\s*{n}\s*%", 2), rate(rf"{n}\s*(?:-|az)\s*{n}\s*%", 2))
-    one = rate(rf"{n}\s*%")
-    free = x.rlike("zdarma|bez poplatku|neuctuje|free of charge")
-    paid = money(x)
-    top = upper.isNotNull() | x.rlike(r"max\.|maximaln|nejvyse|az do|up to|\bdo \d")
-    return F.struct(
-        F.coalesce(upper, one, F.when(free, F.lit(0.0))).alias("rate"),
-        (top & F.coalesce(upper, one).isNotNull()).alias("maximum"),
-        F.when(upper.isNull() & one.isNull() & ~free, paid["amount"]).alias("amount"),
-        F.when(upper.isNull() & one.isNull() & ~free, paid["currency"]).alias("currency"),
-        (upper.isNull() & one.isNull() & ~free & paid.isNull() & x.rlike("dohod|individualn|negotiat")).alias("negotiated"),
-    )
+    facts = F.struct(upper.alias("upper"), rate(rf"{n}\s*%").alias("one"), x.rlike("zdarma|bez poplatku|neuctuje|free of charge").alias("free"))
+
+    def read(f: Column) -> Column:
+        stated = F.coalesce(f["upper"], f["one"])
+        top = f["upper"].isNotNull() | x.rlike(r"max\.|maximaln|nejvyse|az do|up to|\bdo \d")
+
+        def priced(paid: Column) -> Column:
+            other = stated.isNull() & ~f["free"]
+            return F.struct(
+                F.coalesce(stated, F.when(f["free"], F.lit(0.0))).alias("rate"), (top & stated.isNotNull()).alias("maximum"), F.when(other, paid["amount"]).alias("amount"),
+                F.when(other, paid["currency"]).alias("currency"), (other & paid.isNull() & x.rlike("dohod|individualn|negotiat")).alias("negotiated"),
+            )
+
+        return once(F.when(stated.isNull(), money(x)), priced)
+
+    return once(facts, read)

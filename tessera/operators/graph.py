@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import LINK_DOWNLOAD, LINK_LEAST, LINK_NEGATIVE, LINK_RULES
@@ -74,6 +76,7 @@ def distances(edges: DataFrame, roots: DataFrame, most: int) -> DataFrame:
     One join a step against what is new; a node is met again only by the anti join. Steps are bounded
     by `most`, so the plan is; each step's frontier is cut off by a checkpoint.
     """
+    edges = edges.select("a", "b").checkpoint()  # steps read them again and again
     seen = roots.select("node").distinct().withColumn("depth", F.lit(0))
     frontier = seen
     for depth in range(1, most + 1):
@@ -102,6 +105,78 @@ def best_first(edges: DataFrame, roots: DataFrame, score: str, budget: int, roun
     return taken
 
 
+#: What a pass needs before it may stop, by groups any member of which will do.
+REQUIRED = {
+    "key_information": ["priips_kid"],
+    "governing_document": ["statute", "subfund_statute", "memorandum"],
+    "reporting_document": ["annual_report", "financial_statements", "half_year_report", "factsheet"],
+}
+
+
+def permitted(links: DataFrame, robots: DataFrame, host: str, path: str) -> DataFrame:
+    """links without those that the robots rules (host, disallowed) of their own host forbid; hosts without rules forbid nothing."""
+    rules = robots.select(F.col("host").alias("__host"), F.col("disallowed").alias("__no"))
+    own = links.join(rules, links[host] == F.col("__host"), "left")
+    return own.where(F.col("__no").isNull() | allowed(F.col(path), F.col("__no"))).drop("__host", "__no")
+
+
+def sitemap_seeds(entries: DataFrame, least: int, most: int = 40) -> DataFrame:
+    """(fund, node, score, seq): the best `most` sitemap addresses of each fund, of its own host and of at least `least` points.
+
+    entries: fund, node, host, fund_host, score, modified. Highest points first, then the oldest, then by address;
+    an address counts once, as the first of its listings. The cap is the feature's.
+    """
+    own = entries.where((F.col("host") == F.col("fund_host")) & (F.col("score") >= least))
+    order = [F.desc("score"), F.coalesce("modified", F.lit("0001-01-01").cast("date")), "node"]
+    once = own.groupBy("fund", "node").agg(F.max("score").alias("score"), F.min("modified").alias("modified"))
+    ranked = once.withColumn("seq", F.row_number().over(Window.partitionBy("fund").orderBy(*order)))
+    return ranked.where(F.col("seq") <= most).select("fund", "node", "score", "seq")
+
+
+def crawl(links: DataFrame, seeds: DataFrame, budgets: DataFrame, rounds: int, required: dict[str, list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages (fund, node, score, round), documents (fund, node, kind, round)): a best-first crawl of each fund over stored links.
+
+    links: a, b, seq, score, kind, document. seeds: fund, node, score, seq. budgets: fund, budget, the pages
+    that a fund may fetch. Each round every fund takes the best page of its own frontier (most points, then
+    found earliest, then in the order of its page's links, then by name); links of it that the fund has not met
+    before enter its frontier with the points of their first sight, documents are noted and not fetched. A fund
+    stops when its budget is spent, its frontier empty, or, with `required`, when its documents have a kind of
+    each group. Rounds are bounded by `rounds`, the largest budget that counts.
+
+    What a fund has met is a table of narrow rows, written each round; a round joins links only with the
+    pages just taken, one a fund, and settles what is new by one aggregation, so no seen set is gathered and no
+    frontier is sorted.
+    """
+    links = links.where("b is not null").groupBy("a", "b").agg(F.min(F.struct("seq", "score", "kind", "document")).alias("l")).select("a", "b", "l.*")
+    links = links.repartition("a").checkpoint()  # dealt by page once; rounds bring their few pages to it
+    first = F.struct(F.lit(0).alias("born"), F.col("seq").cast("int").alias("seq"))
+    seen = seeds.groupBy("fund", "node").agg(F.min_by(F.struct("score", "seq"), "seq").alias("s")).select("fund", "node", "s.*")
+    seen = seen.select("fund", "node", F.col("score").cast("int").alias("score"), first.alias("at"), F.lit(None).cast("int").alias("round")).checkpoint()
+    documents = None
+    for n in range(1, rounds + 1):
+        open_ = seen.where("round is null")
+        heads = open_.groupBy("fund").agg(F.min_by(F.struct("node", "score"), F.struct((-F.col("score")).alias("s"), "at.born", "at.seq", "node")).alias("h"))
+        heads = heads.join(budgets.where(F.col("budget") >= n), "fund", "left_semi").select("fund", "h.node", "h.score")
+        if required is not None and documents is not None:
+            kinds = documents.groupBy("fund").agg(F.collect_set("kind").alias("kinds"))  # kinds are few
+            enough = reduce(lambda x, y: x & y, (F.arrays_overlap("kinds", F.array(*map(F.lit, group))) for group in required.values()))
+            heads = heads.join(kinds.where(enough), "fund", "left_anti")
+        heads = heads.checkpoint()
+        if heads.isEmpty():
+            break
+        near = links.join(heads.select("fund", F.col("node").alias("a")), "a")
+        found = near.where("document").select("fund", F.col("b").alias("node"), "kind", F.lit(n).alias("round"))
+        documents = found if documents is None else documents.union(found)
+        documents = documents.groupBy("fund", "node").agg(F.min_by(F.struct("kind", "round"), "round").alias("d")).select("fund", "node", "d.*").checkpoint()
+        new = near.where("not document").select("fund", F.col("b").alias("node"), F.col("score").cast("int").alias("score"), F.struct(F.lit(n).alias("born"), F.col("seq").cast("int").alias("seq")).alias("at"), F.lit(None).cast("int").alias("round"))
+        taken = heads.select("fund", "node", F.col("score").cast("int").alias("score"), F.lit(None).cast("struct<born:int,seq:int>").alias("at"), F.lit(n).alias("round"))
+        every = seen.union(new).union(taken)
+        met = every.groupBy("fund", "node").agg(F.min_by(F.struct("score", "at"), "at").alias("f"), F.max("round").alias("round"))
+        seen = met.select("fund", "node", "f.score", "f.at", "round").checkpoint()
+    none = seeds.select("fund", "node", F.lit(None).cast("string").alias("kind"), F.lit(None).cast("int").alias("round")).limit(0)
+    return seen.where("round is not null").select("fund", "node", "score", "round"), documents if documents is not None else none
+
+
 def sitemap_urls(xml: Column) -> Column:
     """Addresses of a sitemap or an index of them."""
     return F.transform(F.regexp_extract_all(xml, F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), 1), canonical_url)

@@ -40,8 +40,8 @@ def strength() -> Column:
 def leaders(claims: DataFrame, key: list[str], value: list[str]) -> DataFrame:
     """The strongest claim of each value of a key, and how many claims it leads (map-side aggregation)."""
     facts = F.struct(strength().alias("strength"), *FACTS)
-    got = claims.groupBy(*key, *value).agg(F.max_by(facts, strength()).alias("f"), F.count("*").alias("n_claims"), F.min("source_id").alias("low"), F.max("source_id").alias("high"))
-    return got.select(*key, *value, "n_claims", "low", "high", "f.*")
+    got = claims.groupBy(*key, *value).agg(F.max_by(facts, strength()).alias("f"), F.count("*").alias("n_claims"), F.min("source_id").alias("first_source"), F.max("source_id").alias("last_source"))
+    return got.select(*key, *value, "n_claims", "first_source", "last_source", "f.*")
 
 
 def _sign(a: Column, b: Column) -> Column:
@@ -84,9 +84,9 @@ def resolve(claims: DataFrame, key: list[str], value: list[str]) -> DataFrame:
 
     Null parts of keys and values are values like others.
     """
-    led = leaders(claims, key, value)
+    led = leaders(claims, key, value).checkpoint()  # read by each branch below
     whole = led.groupBy(*key).agg(
-        F.count("*").alias("n_values"), F.sum("n_claims").alias("n_claims"), (F.min("low") == F.max("high")).alias("one_document"), F.max_by(F.struct(*value), "strength").alias("only")
+        F.count("*").alias("n_values"), F.sum("n_claims").alias("n_claims"), (F.min("first_source") == F.max("last_source")).alias("one_document"), F.max_by(F.struct(*value), "strength").alias("only")
     )
     alone = whole.where("n_values = 1").select(*key, *[F.col(f"only.{v}") for v in value], F.lit("equivalent_after_normalization").alias("outcome"), F.lit(None).cast("string").alias("decided_by"), "n_values", "n_claims")
     same = lambda left, right: [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in key]

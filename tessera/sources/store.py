@@ -170,12 +170,12 @@ class Store:
         """Parsed documents with their sources."""
         return self.of_fund("parsed_documents", fund_id).join(self.table("sources").drop("fund_id", "updated_at"), "source_id").orderBy("source_id")
 
-    def candidates(self, limit: int) -> DataFrame:
-        """Parsed sources with a body, one of each digest (all of those without), the newest `limit`."""
+    def candidates(self, limit: int | None = None) -> DataFrame:
+        """Parsed sources with a body, one of each digest (all of those without); with a limit the first so many by id."""
         rows = self.table("sources").join(self.table("parsed_documents").drop("fund_id", "updated_at"), "source_id").where("local_path is not null")
         key = F.coalesce(F.nullif(F.col("sha256"), F.lit("")), F.concat(F.lit("source "), F.col("source_id").cast("string")))
         first = rows.withColumn("__k", key).groupBy("__k").agg(F.min_by(F.struct(*rows.columns), "source_id").alias("r")).select("r.*")
-        return first.orderBy("source_id").limit(limit)
+        return first if limit is None else first.orderBy("source_id").limit(limit)
 
     def unstructured(self, structured: DataFrame) -> DataFrame:
         """Parsed sources that have no structured file yet."""

@@ -289,7 +289,7 @@ def test_resolution_of_null_keys_and_many_values(spark):
         if len(own) == 1:
             assert (v, outcome) == (own[0]["v"], "equivalent_after_normalization")
             continue
-        margin = 1 if min(x["low"] for x in own) == max(x["high"] for x in own) else 25
+        margin = 1 if min(x["first_source"] for x in own) == max(x["last_source"] for x in own) else 25
         winners = [a for a in own if all(beats(a, b, margin)[0] == 1 for b in own if b is not a)]
         assert (outcome == "auto_resolved") == bool(winners) and v == (winners[0]["v"] if winners else None)
         if winners:

@@ -141,7 +141,7 @@ def test_extraction(page_lines):
     assert {r.value.exact for r in x.target_returns(page_lines).collect()} == {8.0}
     f = {r.kind: (r.value.rate, r.value.maximum) for r in x.fee_schedule(x.fees(page_lines)).collect()}
     assert f == {"entry": (3.0, True), "management": (1.5, False), "performance": (20.0, False)}
-    a = {(r.value.amount, r.value.as_of.isoformat(), r.value.metric) for r in x.assets(page_lines).collect()}
+    a = {(r.value.amount, r.value.as_of.isoformat(), r.value.metric) for r in x.assets(page_lines, 2026).collect()}
     assert a == {(2.5e9, "2025-12-31", "fund_capital")}
     p = {(r.name, r.ico) for r in x.parties(page_lines, "manager").collect()}
     assert p == {("Modrá investiční společnost, a.s.", "12345678")}
