@@ -31,6 +31,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Characters that are scored at once: a longer candidate is cut into pieces that overlap by a window less one.
 PIECE = 2048
+#: Beyond any place of a text.
+FAR = (1 << 31) - 1
 HEX_ALPHABET = "0123456789abcdef"
 TOKEN_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Bits a character that a window must reach.
@@ -47,14 +49,13 @@ ALLOWED = [
 ]
 
 
-def running(lengths: Column) -> Column:
-    """Sums of an array's first 1, 2, ... values, in blocks of 256 so that long arrays stay cheap."""
-    last = lambda a: F.element_at(a, -1)
-    add = lambda a, x: F.concat(a, F.array(last(a) + x))
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(lengths) / 256).cast("int") - 1), lambda c: F.slice(lengths, c * 256 + 1, 256))
-    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x))
-    bases = F.aggregate(sums, F.array(F.lit(0)), add)
-    inner = F.transform(F.arrays_zip(blocks.alias("b"), F.slice(bases, 1, F.size(sums)).alias("s")), lambda z: F.slice(F.aggregate(z["b"], F.array(z["s"]), add), 2, 256))
+def running(values: Column, add: Callable[[Column, Column], Column] = lambda a, x: a + x, zero: int = 0) -> Column:
+    """What an array's first 1, 2, ... values add up to, in blocks of 256 so that long arrays stay cheap."""
+    append = lambda a, x: F.concat(a, F.array(add(F.element_at(a, -1), x)))
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / 256).cast("int") - 1), lambda c: F.slice(values, c * 256 + 1, 256))
+    sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), add))
+    bases = F.aggregate(sums, F.array(F.lit(zero)), append)
+    inner = F.transform(F.arrays_zip(blocks.alias("b"), F.slice(bases, 1, F.size(sums)).alias("s")), lambda z: F.slice(F.aggregate(z["b"], F.array(z["s"]), append), 2, 256))
     return F.flatten(inner)
 
 
@@ -149,8 +150,17 @@ def scan(df: DataFrame, text: str = "text", allowed: list[str] = ALLOWED, limits
     base = F.concat(F.transform(assign, span(0)), F.transform(access, span(1)), F.transform(hexes, span(2)))
     df = df.withColumn("base_spans", F.array_sort(base))
     hit_allowed = lambda m: reduce(or_, (m["hit"].rlike(p) for p in allowed), F.lit(False))
-    apart = lambda m: ~F.exists("base_spans", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    df = df.withColumn(candidates, F.filter(candidates, lambda m: apart(m) & ~hit_allowed(m)))
+    # both in one order: a candidate touches a base span if one before it ends behind its start, or one after it starts before its end
+    tagged = lambda a, tag, hit: F.transform(a, lambda m: F.struct(m["start"].alias("start"), F.lit(tag).alias("tag"), m["end"].alias("end"), hit(m).alias("hit")))
+    merged = F.array_sort(F.concat(tagged("base_spans", 0, lambda m: F.lit("")), tagged(candidates, 1, lambda m: m["hit"])))
+    is_base = lambda m, there, value: F.when(m["tag"] == 0, there).otherwise(F.lit(value))
+    before = lambda b: running(F.transform(b, lambda m: is_base(m, m["end"], 0)), lambda a, x: F.greatest(a, x))
+    after = lambda b: F.reverse(running(F.reverse(F.transform(b, lambda m: is_base(m, m["start"], FAR))), lambda a, x: F.least(a, x), FAR))
+    apart = lambda b, last, first: F.filter(b, lambda m, k: (m["tag"] == 1) & (F.get(last, k) <= m["start"]) & (F.get(first, k) >= m["end"]))
+    free = let(merged, lambda b: let(before(b), lambda last: let(after(b), lambda first: apart(b, last, first))))  # each evaluated once
+    plain = F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit")))
+    some = (F.size(candidates) > 0) & (F.size("base_spans") > 0)
+    df = df.withColumn(candidates, F.filter(F.when(some, plain).otherwise(F.col(candidates)), lambda m: ~hit_allowed(m)))
     is_hex = lambda m: m["hit"].rlike("^[0-9A-Fa-f]+$")
     as_hex = lambda m: highest_entropy(F.lower(m["hit"]), HEX_ALPHABET)
     bits = F.transform(candidates, lambda m: F.when(is_hex(m), as_hex(m)).otherwise(highest_entropy(m["hit"], TOKEN_ALPHABET)))
