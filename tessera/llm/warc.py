@@ -3,11 +3,13 @@
 `write_files` writes pages as WARC records, one gzip member each, and `read_members` reads such files back,
 member by member, whatever damage they have: what doesn't decode becomes one member of its own and reading
 goes on at the next that does. A replica's tree is made of what lies on disk: a leaf is the SHA-256 of a
-member's offset, length and bytes; a node covers an ordered range of offsets of a file and is the hash of the
-range and of its children's hashes; the files' roots, in order, make the root of the replica. Every level
-is a partition of a written table. `audit` compares the two roots; only where they differ it goes on to the
-files, and from level to level to the children of nodes that differ, down to the records. Where a file
-has lost or gained records places have moved, so all its leaves are aligned by their bytes instead.
+member's length and bytes; a node covers an ordered range of offsets of a file and is the hash of the range's
+length and of its children's hashes, and stands beside the range; the files' roots, in order, make the root of the
+replica. Where a node ends its last child's hash says, so lost and added records, which move all that follows,
+change only the nodes above them. Every level is a partition of a written table. `audit` compares the two
+roots; only where they differ it goes on to the files, and from level to level to the children of nodes that
+the other replica's file doesn't have, down to the stretches of records between those that both have. Only
+these are aligned by their bytes.
 """
 
 from __future__ import annotations
@@ -21,12 +23,12 @@ from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, save, settled, trim
 
-#: Children of a node.
+#: Children of a node, on average.
 FAN = 32
 DATE = "2024-01-01T00:00:00Z"
 #: A gzip member of nothing: the text writer puts it after each record, and readers pass over it.
@@ -171,7 +173,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(parse, "file string, offset long, length long, headers map<string,string>, body binary, whole boolean")
 
 
-NODES = "level int, part long, node long, first long, end long, hash binary, own binary, page_id long, size long"
+NODES = "level int, part long, node long, parent long, first long, end long, hash binary, own binary, before binary, page_id long, size long"
 
 
 def _part(name: str) -> int:
@@ -180,35 +182,49 @@ def _part(name: str) -> int:
     return int(found[1]) if found else zlib.crc32(name.rsplit("/", 1)[-1].encode())
 
 
+def _groups(nodes: list[tuple], fan: int) -> Iterator[list[tuple]]:
+    """Nodes in groups of two or more that end where a node's hash says so, some `fan` of them, at most eight times as many.
+
+    What ends a group is in its last node alone, so a lost or added node moves the groups around it and no others.
+    """
+    group: list[tuple] = []
+    for node in nodes:
+        group.append(node)
+        if len(group) >= 2 and int.from_bytes(node[6][-4:], "big") % fan == 0 or len(group) >= 8 * fan:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def _trees(fan: int):
-    """(file, content) -> the nodes of each file's tree, leaves at level 0."""
+    """(file, content) -> the nodes of each file's tree, leaves at level 0, and the leaf before each node of level 1."""
 
     def run(batches):
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part, content, rows = _part(name), data.as_buffer().to_pybytes(), []
+                part, content, leaves = _part(name), data.as_buffer().to_pybytes(), []
                 for k, (at, length, record) in enumerate(split_members(content)):
                     own = hashlib.sha256(content[at : at + length]).digest()
                     page = dict(fields(record)[0]).get("Page-ID", "") if record is not None else ""
-                    leaf = hashlib.sha256(b"%d:%d:" % (at, length) + own).digest()
                     number = int(page) if re.fullmatch(r"-?\d{1,18}", page) else None
-                    rows.append((0, part, k, at, at + length, leaf, own, number, len(record) if record is not None else None))
-                level, below = 0, rows
-                while len(below) > 1:
+                    leaves.append((0, part, k, None, at, at + length, hashlib.sha256(b"%d:" % length + own).digest(), own, None, number, len(record) if record is not None else None))
+                rows, level, below = [], 0, leaves
+                while below and (level == 0 or len(below) > 1):
                     level += 1
-                    groups = [below[k : k + fan] for k in range(0, len(below), fan)]
-                    below = [
-                        (level, part, k, g[0][3], g[-1][4], hashlib.sha256(b"%d:%d:" % (g[0][3], g[-1][4]) + b"".join(x[5] for x in g)).digest(), None, None, None)
-                        for k, g in enumerate(groups)
-                    ]
-                    rows += below
+                    above, at = [], 0
+                    for k, g in enumerate(_groups(below, fan)):
+                        digest = hashlib.sha256(b"%d:" % (g[-1][5] - g[0][4]) + b"".join(x[6] for x in g)).digest()
+                        rows += [(*x[:3], k, *x[4:]) for x in g]
+                        above.append((level, part, k, None, g[0][4], g[-1][5], digest, None, (below[at - 1][7] if at else b"") if level == 1 else None, None, None))
+                        at += len(g)
+                    below = above
                 # the file's root stands once more, at level -1, with the number of its leaves as `size` and its height as `first`
-                leaves = sum(r[0] == 0 for r in rows)
-                if rows:
-                    rows.append((-1, part, 0, level, rows[-1][4], rows[-1][5], None, None, leaves))
-                kinds = [pa.int32()] + [pa.int64()] * 4 + [pa.binary()] * 2 + [pa.int64()] * 2
-                names = ["level", "part", "node", "first", "end", "hash", "own", "page_id", "size"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9, kinds)], names=names)
+                if leaves:
+                    rows += [below[0], (-1, part, 0, None, level, leaves[-1][5], below[0][6], None, None, None, len(leaves))]
+                kinds = [pa.int32()] + [pa.int64()] * 5 + [pa.binary()] * 3 + [pa.int64()] * 2
+                names = ["level", "part", "node", "parent", "first", "end", "hash", "own", "before", "page_id", "size"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 11, kinds)], names=names)
             trim()
 
     return run
@@ -232,9 +248,22 @@ class Tree:
 
 
 def _unlike(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(part, node) of nodes whose hashes differ or that one of a and b lacks."""
-    both = a.select("part", "node", F.col("hash").alias("x")).join(b.select("part", "node", F.col("hash").alias("y")), ["part", "node"], "full")
-    return both.where(~F.col("x").eqNullSafe(F.col("y"))).select("part", "node")
+    """Nodes of a that b has no equal of in the same file: of equal ones as many stay as a has more."""
+    nth = F.row_number().over(Window.partitionBy("part", "hash").orderBy("node"))
+    return a.withColumn("nth", nth).join(b.withColumn("nth", nth).select("part", "hash", "nth"), ["part", "hash", "nth"], "left_anti").drop("nth")
+
+
+def _stretches(groups: DataFrame) -> DataFrame:
+    """(part, parent, anchor, nth): groups of level 1 with what their stretch stands behind; consecutive groups are one stretch.
+
+    The leaf before a stretch is the last of a group that both replicas have, so it names the stretch in either.
+    """
+    w = Window.partitionBy("part").orderBy("node")
+    begins = F.coalesce(F.lag("node").over(w) + 1 != F.col("node"), F.lit(True))
+    rows = groups.select("part", "node", "before", begins.alias("begins"))
+    rows = rows.withColumn("stretch", F.sum(F.col("begins").cast("int")).over(w)).withColumn("anchor", F.last(F.when(F.col("begins"), F.col("before")), True).over(w))
+    heads = rows.where("begins").withColumn("nth", F.row_number().over(Window.partitionBy("part", "anchor").orderBy("stretch"))).select("part", "stretch", "nth")
+    return rows.join(heads, ["part", "stretch"]).select("part", F.col("node").alias("parent"), "anchor", "nth")
 
 
 def _apart(ours: list[dict], theirs: list[dict]) -> list[tuple[dict, str]]:
@@ -267,8 +296,8 @@ def _apart(ours: list[dict], theirs: list[dict]) -> list[tuple[dict, str]]:
     return rows + [(r, "missing") for r in left]
 
 
-def _align(part, ours: pa.Table, theirs: pa.Table) -> pa.Table:
-    """The leaves that differ of a file in which records have moved.
+def _align(key, ours: pa.Table, theirs: pa.Table) -> pa.Table:
+    """The leaves that differ of a stretch.
 
     Records that stand once in both are fixed points, in order; what lies between them is compared apart.
     """
@@ -293,6 +322,36 @@ def _align(part, ours: pa.Table, theirs: pa.Table) -> pa.Table:
 FOUND = "page_id long, part long, offset long, length long, size long, state string"
 
 
+STRETCH = ["part", "anchor", "nth"]
+
+
+def unlike_leaves(own: Tree, other: Tree) -> list[DataFrame]:
+    """(part, anchor, nth, and the leaf) of either tree: the leaves below nodes that the other tree's file doesn't have.
+
+    From the files' roots down, a level at a time, the children of such nodes alone are read. (anchor, nth) names the
+    stretch in which a leaf stands, between nodes that both have.
+    """
+    a, b = own.level(-1).alias("a"), other.level(-1).alias("b")
+    unlike = a.join(b, "part", "full").where(~F.col("a.hash").eqNullSafe(F.col("b.hash")))
+    files, _ = save(unlike.select("part", F.col("a.first").alias("a"), F.col("b.first").alias("b")), "files")
+    sides = [(own, "a"), (other, "b")]
+    found: list[DataFrame | None] = [None, None]
+    for k in range(files.agg(F.max(F.greatest("a", "b"))).first()[0], 0, -1):
+        near = []
+        for (tree, side), last in zip(sides, found):
+            nodes = tree.level(k).select("part", "node", "parent", "hash", "before")
+            wanted = nodes.where("parent is null").join(files.where(F.col(side) == k).select("part"), "part", "left_semi")
+            if last is not None:
+                wanted = wanted.union(nodes.join(last.select("part", F.col("node").alias("parent")), ["part", "parent"], "left_semi").select(*nodes.columns))
+            near.append(wanted)
+        found = [save(_unlike(x, y), "differing")[0] for x, y in (near, near[::-1])]
+    leaves = []
+    for (tree, _), groups in zip(sides, found):
+        rows = tree.level(0).select("part", "parent", "node", "first", "end", "own", "page_id", "size").join(_stretches(groups), ["part", "parent"])
+        leaves.append(save(rows.select(*STRETCH, "node", "first", "end", "own", "page_id", "size"), "leaves")[0])
+    return leaves
+
+
 def differences(own: Tree, other: Tree) -> DataFrame:
     """(page_id, part, offset, length, size, state) of the records that are not the same in both replicas.
 
@@ -301,40 +360,10 @@ def differences(own: Tree, other: Tree) -> DataFrame:
     file that the other lacks. page_id and size (bytes of the record) are null where it can't be read.
     Equal roots end it at once.
     """
-    spark = own.nodes.sparkSession
     if own.root == other.root:
-        return spark.createDataFrame([], FOUND)
-    a, b = own.level(-1), other.level(-1)
-    files = a.alias("a").join(b.alias("b"), "part", "full").where(~F.col("a.hash").eqNullSafe(F.col("b.hash")))
-    even = F.col("a.size").eqNullSafe(F.col("b.size")) & F.col("a.end").eqNullSafe(F.col("b.end"))
-    files = files.select("part", even.alias("even"), F.greatest("a.first", "b.first").alias("height"))
-    files, _ = save(files, "files")
-    places = [F.col("part"), F.col("first").alias("offset"), (F.col("end") - F.col("first")).alias("length"), "size"]
-    # files of as many records and bytes: from their roots down to the leaves that differ
-    found = None
-    top = files.where("even").agg(F.max("height")).first()[0]
-    for k in range(top if top is not None else -1, -1, -1):
-        begun = files.where(f"even and height = {k}").select("part", F.lit(0).cast("long").alias("node"))
-        if found is None:
-            wanted = begun
-        else:
-            child = F.explode(F.sequence(F.col("node") * own.fan, F.col("node") * own.fan + own.fan - 1))
-            wanted = begun.union(found.select("part", child.alias("node")))
-        pair = [t.level(k).join(wanted, ["part", "node"], "left_semi") for t in (own, other)]
-        found, _ = save(_unlike(*pair), "differing")
-    uneven = files.where("not even").select("part")
-    if found is not None:
-        # leaves that cover other bytes than their counterparts have moved
-        ends = [t.level(0).join(found, ["part", "node"], "left_semi").select("part", "node", "first", "end") for t in (own, other)]
-        moved = ends[0].join(ends[1], ["part", "node", "first", "end"], "left_anti").select("part").distinct()
-        moved, _ = save(moved, "moved")
-        uneven, found = uneven.union(moved), found.join(moved, "part", "left_anti")
-    leaves = [t.level(0).join(uneven, "part", "left_semi").select("part", "node", "first", "end", "own", "page_id", "size") for t in (own, other)]
-    aligned = leaves[0].groupBy("part").cogroup(leaves[1].groupBy("part")).applyInArrow(_align, FOUND)
-    if found is None:
-        return aligned
-    damaged = own.level(0).join(found, ["part", "node"], "left_semi").select("page_id", *places, F.lit("damaged").alias("state"))
-    return damaged.union(aligned)
+        return own.nodes.sparkSession.createDataFrame([], FOUND)
+    a, b = unlike_leaves(own, other)
+    return a.groupBy(*STRETCH).cogroup(b.groupBy(*STRETCH)).applyInArrow(_align, FOUND)
 
 
 def audit(spark: SparkSession, path: str, other: str, fan: int = FAN) -> DataFrame:

@@ -264,6 +264,20 @@ def test_audit_against_what_lies_on_disk(spark, warc_files):
     assert {r.state for r in warc.audit(spark, empty, warc_files).collect()} == {"extra"}
 
 
+def test_the_descent_reads_what_differs(spark):
+    """Lost, added and turned records of one file: few leaves are read, though all places behind them have moved."""
+    path, other = new_path(spark, "warc-big"), new_path(spark, "warc-worn")
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.cz/"), "id").alias("url"), F.sha2(F.col("id").cast("string"), 256).alias("html"))
+    warc.write_files(pages.repartition(1), path)
+    turned = lambda m: m[:30] + bytes([m[30] ^ 1]) + m[31:]
+    warc.copy_files(spark, path, other, lambda page, m: [] if page == 20 else [m, m] if page == 1500 else [turned(m)] if page == 2900 else [m])
+    trees = warc.Tree(spark, path, 8), warc.Tree(spark, other, 8)
+    assert trees[0].level(0).count() == 3000 and trees[0].root != trees[1].root
+    read = [x.count() for x in warc.unlike_leaves(*trees)]
+    assert 0 < min(read) and max(read) < 200, read
+    assert collections.Counter((r.page_id, r.state) for r in warc.differences(*trees).collect()) == {(20, "missing"): 1, (1500, "extra"): 1, (2900, "damaged"): 1}
+
+
 def test_many_copies_align_fast():
     own = [bytes([k % 7]) for k in range(30_000)]
     row = lambda k, h: {"node": k, "own": h, "size": 5, "first": 5 * k, "end": 5 * k + 5, "page_id": None, "part": 0}
