@@ -10,8 +10,10 @@ from pyspark.sql import SparkSession
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the executors, once for each Spark context."""
+    """Send the package to the executors, once for each Spark context; a local master gets a checkpoint folder if it has none."""
     context = spark.sparkContext
+    if context.master.split("[")[0] == "local":
+        shared_folder(spark)
     if not getattr(context, "_tessera_shipped", False):
         folder = tempfile.mkdtemp(prefix="tessera-code-")
         package = Path(__file__).parent

@@ -89,3 +89,54 @@ def years_and_rates(line: Column, reach: int = 25) -> Column:
         return F.when(pick.isNull(), a).otherwise(taken)
 
     return F.aggregate(years, F.struct(rates.alias("left"), none.alias("out")), step, lambda a: a["out"])
+
+
+def greedy_pairs(periods: Column, rates: Column) -> Column:
+    """array of struct(period, rate): to each period in turn the first rate not taken that stands behind it, else the last before it.
+
+    periods and rates: arrays of struct(at, ...) in order of `at`. Periods for which no rate is left are dropped.
+    """
+    ahead = lambda left, p: F.filter(left, lambda r: r["at"] >= p["at"])
+
+    def step(a: Column, p: Column) -> Column:
+        def taken(pick: Column) -> Column:
+            rest = F.filter(a["left"], lambda r: r["at"] != pick["at"])
+            return F.when(pick.isNull(), a).otherwise(F.struct(rest.alias("left"), F.concat(a["out"], F.array(F.struct(p.alias("period"), pick.alias("rate")))).alias("out")))
+
+        chosen = once(ahead(a["left"], p), lambda after: F.coalesce(F.get(after, 0), F.try_element_at(a["left"], F.lit(-1))))
+        return once(chosen, taken)
+
+    pair = F.struct(F.get(periods, 0).alias("period"), F.get(rates, 0).alias("rate"))
+    return F.aggregate(periods, F.struct(rates.alias("left"), F.filter(F.array(pair), lambda x: F.lit(False)).alias("out")), step, lambda a: a["out"])
+
+
+def places(line: Column, pattern: str) -> Column:
+    """array of struct(at, end, hit): the matches of a pattern in a line, places from 0."""
+    found, gaps = F.regexp_extract_all(line, F.lit(pattern), 0), F.split(line, pattern, -1)
+    ends = lambda f: running_sums(F.transform(f, lambda h, k: F.length(h) + F.length(F.get(gaps, k))))
+    return once(found, lambda f: once(ends(f), lambda e: F.transform(f, lambda h, k: F.struct((F.get(e, k) - F.length(h)).cast("int").alias("at"), F.get(e, k).cast("int").alias("end"), h.alias("hit")))))
+
+
+#: A holding period in folded text: from, up to, after, or from one to another.
+PERIOD = r"od \d{1,2} do \d{1,2} (?:let|roku|mesicu)|(?:do|po|nad|od) \d{1,2} (?:letech|let|roku|rocich|roce|mesicich|mesicu|mesici)"
+PERCENT = r"\d{1,2}(?:[.,]\d+)?\s*%"
+
+
+def clause_tiers(folded: Column) -> Column:
+    """array of struct(from_month, to_month, rate): fees by holding period, period and rate of one clause, each rate once.
+
+    Clauses end at a comma, a semicolon or the word for and; in each, periods take rates by `greedy_pairs`.
+    """
+    number = lambda x, p, k=1: F.regexp_extract(x, p, k).try_cast("int")
+
+    def tier(pair: Column) -> Column:
+        hit, rate = pair["period"]["hit"], F.replace(F.regexp_replace(pair["rate"]["hit"], r"[\s%]", ""), F.lit(","), F.lit(".")).try_cast("double")
+        unit = F.when(hit.rlike("mesic"), 1).otherwise(12)
+        both = hit.rlike(r"^od \d+ do ")
+        low = F.when(both, number(hit, r"^od (\d+)")).when(hit.rlike("^(po|nad|od) "), number(hit, r"^\w+ (\d+)")).otherwise(0) * unit
+        high = F.when(both, number(hit, r"do (\d+)")).when(hit.rlike("^do "), number(hit, r"^do (\d+)")) * unit
+        return F.struct(low.cast("int").alias("from_month"), high.cast("int").alias("to_month"), rate.alias("rate"))
+
+    clauses = F.split(folded, r",(?!\d)|;| a (?=\d|od |do |po |nad )")
+    pairs = F.flatten(F.transform(clauses, lambda c: greedy_pairs(places(c, PERIOD), places(c, PERCENT))))
+    return F.array_sort(F.transform(pairs, tier))

@@ -6,7 +6,7 @@ key. The reduction is an aggregation (max_by), so groups shrink before the shuff
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,32 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n) of keys that more than one row has."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "id", after: int = 0) -> DataFrame:
+    """df with dense numbers after + 1, after + 2, ... by `order`, which must tell rows apart.
+
+    No task sees all rows: they are dealt by range and sorted in their parts, which are written so that a repeated
+    task finds them as they were; counts of the parts, one row each, are added up, and each row's number is its
+    part's offset and its place in it.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    held = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": F.spark_partition_id(), "__at": place}).checkpoint()
+    counts = held.groupBy("__part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a part
+    offsets = counts.select("__part", before.alias("__before"))
+    return held.join(offsets, "__part").withColumn(name, F.lit(after) + F.col("__before") + F.col("__at") + 1).drop("__part", "__at", "__before")
+
+
+def appended(log: DataFrame, events: DataFrame, key: list[str], order: list[str], name: str = "id") -> DataFrame:
+    """Rows to append to log (which has key and name): those of events whose key it lacks, once each, numbered on from its last.
+
+    Appending the same events again gives nothing, and a retry before the append gives the same numbers, so ids stay
+    dense and unique. Of events with one key the first by `order` counts. Null parts of keys are equal.
+    """
+    last = log.agg(F.coalesce(F.max(name), F.lit(0)).alias("last")).first()["last"]
+    once = events.groupBy(*key).agg(F.min(F.struct(*order, *[c for c in events.columns if c not in order + key])).alias("__e"))
+    once = once.select(*key, *[F.col(f"__e.{c}") for c in events.columns if c not in key])
+    known = log.select(*[F.col(k).alias(f"__{k}") for k in key]).distinct()
+    same = [once[k].eqNullSafe(known[f"__{k}"]) for k in key]
+    return numbered(once.join(known, same, "left_anti"), [*order, *[k for k in key if k not in order]], name, last)
