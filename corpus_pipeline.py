@@ -50,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
+    """Token ids of each document, and whether they decode to its text; docs must have doc_id, lang, source and text."""
     ship(spark)
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), vocabulary)
@@ -75,8 +75,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def last() -> DataFrame:
         docs = documents(spark, sf_dir)
-        for name, stage in STAGES:
+        for name, stage in STAGES[:-1]:
             docs = settled(spark, f"stage-{name}", lambda: stage(spark, docs, sf_dir))
-        return docs
+        return STAGES[-1][1](spark, docs, sf_dir)  # written once, as the pipeline's result
 
     return settled(spark, "pipeline", last)
