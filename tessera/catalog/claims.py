@@ -118,3 +118,11 @@ def authority_case(spark, d):
 def severity_worst(spark, d):
     sev = F.when(F.col("o_orderstatus") == "F", "reject").when(F.col("o_orderstatus") == "O", "conflict").otherwise("review")
     return rules.worst(table(spark, d, "orders").select("o_custkey", sev.alias("severity")), ["o_custkey"])
+
+
+@query("conflict_report", "WITH " + PAIRS + """, r AS (SELECT w.k, n_claims, CASE WHEN n_values = 1 THEN 'equivalent_after_normalization' WHEN won.v IS NOT NULL THEN 'auto_resolved' ELSE 'unresolved' END AS outcome, won.decided_by FROM w LEFT JOIN won ON won.k = w.k WHERE n_claims > 1)
+SELECT 'outcome' AS section, outcome AS name, outcome, count(*) AS n FROM r GROUP BY outcome UNION ALL SELECT 'field', 'field ' || k % 5, outcome, count(*) FROM r GROUP BY k % 5, outcome
+UNION ALL SELECT 'decided_by', coalesce(decided_by, 'undecided'), outcome, count(*) FROM r WHERE outcome <> 'equivalent_after_normalization' GROUP BY decided_by, outcome""")
+def conflict_report(spark, d):
+    rows = clear_winner(spark, d).withColumn("field", F.concat(F.lit("field "), F.col("k") % 5))
+    return audit.conflict_report(rows, "field")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import grids
+from ..operators import grids, layout
 from ..queries import query, table
 
 
@@ -61,3 +61,31 @@ def repeated_headers(spark, d):
 def multi_column_pages(spark, d):
     b = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_quantity").alias("x0"), (F.col("l_quantity") + 10).alias("x1"))
     return grids.multi_column_pages(b, ["page"])
+
+
+PLACED = """b AS (SELECT l_partkey AS page, l_orderkey * 10 + l_linenumber AS n, CASE WHEN l_quantity = 50 THEN 0 ELSE l_linenumber % 2 * 300 + l_quantity END::DOUBLE AS x0, CASE WHEN l_quantity = 50 THEN 600 ELSE l_linenumber % 2 * 300 + l_quantity + 100 + l_discount * 1000 END::DOUBLE AS x1, l_orderkey::DOUBLE AS y0 FROM lineitem),
+e AS (SELECT page, x, sum(begun) AS begun, sum(ended) AS ended FROM (SELECT page, x0 AS x, 1 AS begun, 0 AS ended FROM b UNION ALL SELECT page, x1, 0, 1 FROM b) GROUP BY page, x),
+s AS (SELECT page, x, sum(begun) OVER w AS begun, sum(ended) OVER w AS ended, lead(x) OVER (PARTITION BY page ORDER BY x) AS next, sum(begun) OVER (PARTITION BY page) AS n FROM e WINDOW w AS (PARTITION BY page ORDER BY x)),
+l AS (SELECT *, next IS NOT NULL AND begun - ended <= floor(0.1 * n) AS low FROM s),
+m AS (SELECT *, sum((NOT low)::INT) OVER (PARTITION BY page ORDER BY x) AS stripe FROM l),
+g AS (SELECT page, min(x) AS start, max(next) AS "end", min(ended) AS "left", max(n) - max(begun) AS "right" FROM m WHERE low GROUP BY page, stripe HAVING min(ended) >= 4 AND max(n) - max(begun) >= 4)"""
+
+
+def placed_blocks(spark, d):
+    """Line items as blocks of two columns on their part's page, some across both."""
+    wide, low = F.col("l_quantity") == 50, F.col("l_linenumber") % 2 * 300 + F.col("l_quantity")
+    li = table(spark, d, "lineitem")
+    return li.select(F.col("l_partkey").alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("n"), F.when(wide, 0.0).otherwise(low.cast("double")).alias("x0"), F.when(wide, 600.0).otherwise(low + 100 + F.col("l_discount") * 1000).alias("x1"), F.col("l_orderkey").cast("double").alias("y0"))
+
+
+@query("page_gutters", f'WITH {PLACED} SELECT page, start, "end", "left"::BIGINT AS "left", "right"::BIGINT AS "right" FROM g')
+def page_gutters(spark, d):
+    return layout.gutters(placed_blocks(spark, d), ["page"])
+
+
+@query("page_columns", f"""WITH {PLACED}, a AS (SELECT page, list(struct_pack(s := start, e := "end")) AS g FROM g GROUP BY page),
+c AS (SELECT b.page, x0, x1, coalesce(len(list_filter(g, lambda k: x0 < k.s AND x1 > k.e)), 0) AS across, coalesce(len(list_filter(g, lambda k: (k.s + k.e) / 2 <= (x0 + x1) / 2)), 0) AS col FROM b LEFT JOIN a USING (page))
+SELECT page, count(*) FILTER (WHERE across > 0) AS across, count(*) FILTER (WHERE across = 0 AND col = 0) AS first_column, count(*) FILTER (WHERE across = 0 AND col > 0) AS other_columns FROM c GROUP BY page""")
+def page_columns(spark, d):
+    read = layout.reading_order(placed_blocks(spark, d), ["page"], "n")
+    return read.groupBy("page").agg(F.count_if(F.col("column").isNull()).alias("across"), F.count_if(F.col("column") == 0).alias("first_column"), F.count_if(F.col("column") > 0).alias("other_columns"))

@@ -18,14 +18,14 @@ def line_offsets(spark, d):
 
 @query("context_window3", f"WITH {LINES} SELECT doc_id, line_no, concat_ws(' ', lag(line) OVER w, line, lead(line) OVER w) AS context FROM n WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)")
 def context_window3(spark, d):
-    rows = lines.lines(table(spark, d, "documents"), "doc_id", "text")
-    return lines.context(rows, "doc_id", "line_no", "line", 1, 1).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "context")
+    rows = lines.lines(table(spark, d, "documents"), "doc_id", "text", around=(1, 1))
+    return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "context")
 
 
 @query("heading_carry12", f"WITH {LINES} SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 60 THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS heading FROM n")
 def heading_carry12(spark, d):
-    rows = lines.lines(table(spark, d, "documents"), "doc_id", "text")
-    return lines.carried(rows, "doc_id", "line_no", F.when(F.length("line") < 60, F.col("line"))).select("doc_id", F.col("line_no").cast("long").alias("line_no"), "heading")
+    rows = lines.lines(table(spark, d, "documents"), "doc_id", "text", heading=lambda x: F.when(F.length(x) < 60, x))
+    return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "heading")
 
 
 @query("asof_in_group", "SELECT c.event_id, (SELECT arg_max(p.value, (p.ts, p.event_id)) FROM events p WHERE p.user_id = c.user_id AND p.event_type = 'view' AND p.ts <= c.ts) AS value FROM events c WHERE c.event_type = 'purchase'")

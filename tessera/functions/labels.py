@@ -201,3 +201,7 @@ RETURN_STARTS = [
     "target", "expected", "anticipated", "preferred", "priority", "guaranteed", "minimum",
 ]
 RETURN_SUBJECTS = ["vynos", "zhodnoceni", "return"]
+# Words of rows that state a fee.
+FEE_ROW_WORDS = [
+    "poplatek", "poplatky", "uplata", "manazersk", "obhospodarov", "vstupni", "vystupni", "vykonnostni", "naklady na vstup", "naklady na vystup", "prubezne naklady",
+]

@@ -2,25 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import once, running_sums
 
 
-def lines(df: DataFrame, doc: str, text: str) -> DataFrame:
+def lines(df: DataFrame, doc: str, text: str, around: tuple[int, int] | None = None, heading: Callable[[Column], Column] | None = None, memory: int = 12, sep: str = " ") -> DataFrame:
     """(doc, line_no, line, start): non-empty trimmed lines and their places in the text of them joined by line ends.
 
-    The running sum is taken inside each document's own array: no window, no shuffle.
+    around adds `context`, the line with so many before and after it; heading, a function of a line, adds `heading`, its
+    last value in the line or the `memory` lines before. All are taken inside each document's own array: no window, no shuffle.
     """
     kept = F.filter(F.transform(F.split(F.col(text), "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
     def placed(own: Column) -> Column:
         ends = running_sums(F.transform(own, lambda x: F.length(x) + 1))
-        return once(ends, lambda e: F.transform(own, lambda x, k: F.struct(x.alias("line"), (F.get(e, k) - F.length(x) - 1).cast("long").alias("start"))))
+        near = lambda a, k, before, after: F.slice(a, F.greatest(k - before, F.lit(0)) + 1, k + after + 1 - F.greatest(k - before, F.lit(0)))
+
+        def rows(e: Column, heads: Column | None = None) -> Column:
+            def row(x: Column, k: Column) -> Column:
+                parts = [x.alias("line"), (F.get(e, k) - F.length(x) - 1).cast("long").alias("start")]
+                if around:
+                    parts.append(F.array_join(near(own, k, *around), sep).alias("context"))
+                if heads is not None:
+                    parts.append(F.try_element_at(F.filter(near(heads, k, memory, 0), lambda h: h.isNotNull()), F.lit(-1)).alias("heading"))
+                return F.struct(*parts)
+
+            return F.transform(own, row)
+
+        if heading is None:
+            return once(ends, lambda e: rows(e))
+        return once(ends, lambda e: once(F.transform(own, lambda x: heading(x)), lambda h: rows(e, h)))
 
-    rows = df.select(F.col(doc), F.posexplode(F.when(F.size(kept) > 0, once(kept, placed))).alias("line_no", "l"))
-    return rows.select(doc, "line_no", "l.line", "l.start")
+    more = ["l.context"] * bool(around) + ["l.heading"] * (heading is not None)
+    return df.select(F.col(doc), F.posexplode(F.when(F.size(kept) > 0, once(kept, placed))).alias("line_no", "l")).select(doc, "line_no", "l.line", "l.start", *more)
 
 
 def context(df: DataFrame, doc: str, order: str, line: str, before: int, after: int, sep: str = " ") -> DataFrame:

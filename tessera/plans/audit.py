@@ -150,3 +150,18 @@ def totals(documents: DataFrame, counters: dict[str, str], sums: list[str], by:
         rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.lit(None).cast("string").alias("level"), F.col(c).alias("n")) for c in sums])
         parts.append(added.select(*by, F.explode(rows).alias("r")).select(*by, "r.*"))
     return union_all(parts)
+
+
+def conflict_report(resolved: DataFrame, field: str, reasons: int = 40) -> DataFrame:
+    """(section, name, outcome, n): how the disagreements of resolved(field, outcome, decided_by, n_claims) ended.
+
+    Keys of one claim were never in conflict and don't count. Sections: all outcomes; outcomes of each field; what decided,
+    where anything had to be decided (undecided where nothing could); of the last the `reasons` most frequent. One pass:
+    every key gives a row to each section it belongs to, which are added up before the shuffle.
+    """
+    decided = F.when(F.col("outcome") != "equivalent_after_normalization", F.coalesce("decided_by", F.lit("undecided")))
+    row = lambda section, name: F.struct(F.lit(section).alias("section"), name.cast("string").alias("name"), F.col("outcome").alias("outcome"))
+    sections = F.array(row("outcome", F.col("outcome")), row("field", F.col(field)), F.when(decided.isNotNull(), row("decided_by", decided)))
+    counts = resolved.where("n_claims > 1").select(F.explode(F.filter(sections, lambda s: s.isNotNull())).alias("s")).groupBy("s").agg(F.count("*").alias("n")).select("s.*", "n")
+    w = Window.partitionBy("section").orderBy(F.desc("n"), "name", "outcome")
+    return counts.withColumn("__k", F.row_number().over(w)).where((F.col("section") != "decided_by") | (F.col("__k") <= reasons)).drop("__k")

@@ -44,8 +44,7 @@ NUMBER = r"\d[\d  .,]*\d|\d"
 def lines_of(pages: DataFrame, fund: str = "fund", source: str = "source_id", text: str = "text", others: tuple[str, ...] = ("document_type", "page")) -> DataFrame:
     """Lines of pages with three-line context, both folded too."""
     rows = pages.withColumn("__key", F.struct(fund, source, *others))
-    own = lines.lines(rows, "__key", text)
-    own = lines.context(own, "__key", "line_no", "line", 1, 1)
+    own = lines.lines(rows, "__key", text, around=(1, 1))
     return own.select("__key.*", "line_no", "line", "context", "start", fold("line").alias("folded"), fold("context").alias("near"))
 
 
