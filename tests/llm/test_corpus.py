@@ -384,3 +384,34 @@ def test_secrets_and_candidates_in_one_text(spark):
         assert secrets.scan(df).select(F.size("spans").alias("n")).first().n > 2 * n
         took.append(time.time() - begun)
     assert took[1] < 9 * took[0] + 3, took
+
+
+def test_training_is_ftrl_proximal():
+    """The weights that a plain loop over single coordinates gives: z and n of each, the proximal step in closed form."""
+    import random
+    import struct
+
+    r = random.Random(4)
+    rows = []
+    for _ in range(120):
+        places = sorted(r.sample(range(40), r.randint(0, 8)))
+        shares = [r.random() for _ in places]
+        data = b"".join(struct.pack("<H", p) for p in places) + b"".join(struct.pack("<f", s) for s in shares)
+        rows.append((data, int(sum(p < 20 for p in places) * 2 > len(places)), places, [struct.unpack("<f", struct.pack("<f", s))[0] for s in shares]))
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.02
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    weight = lambda k: 0.0 if abs(z[k]) <= l1 else -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+    for _ in range(3):
+        for _, label, places, shares in rows:
+            x = dict(zip([*places, quality.WIDTH], [*shares, 1.0]))
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - label) * v
+                step = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha
+                z[k] += g - step * w[k]
+                n[k] += g * g
+    got = quality.train([(d, y) for d, y, _, _ in rows], rounds=3)
+    for k in [*range(40), quality.WIDTH]:
+        assert got[k] == pytest.approx(weight(k), abs=1e-9)
+    assert not got[41:100].any()
