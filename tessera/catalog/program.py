@@ -32,7 +32,7 @@ def order_documents(spark, d):
     other = F.when(k % 4 == 0, F.concat(text("\nBeta SICAV\n"), filler, text("\nInvestiční horizont 99 let"))).otherwise(text(""))
     body = F.concat(F.concat_ws("\n", F.concat(text("Alfa"), s(c), text(" SICAV")), filler, horizon, filler, minimum, filler, target, filler, fee, filler, capital, filler), other)
     kind = F.element_at(F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv]), F.trim("o_orderpriority"))
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").repartition("o_orderkey")  # one small file, before it becomes text
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").repartition(4 * spark.sparkContext.defaultParallelism, "o_orderkey")  # narrow rows, before they become text
     return orders.select(c.alias("fund"), F.concat(text("Alfa"), s(c), text(" SICAV")).alias("fund_name"), k.alias("source_id"), kind.alias("document_type"), F.lit(1).alias("page"), F.lit("").alias("title"), body.alias("text"))
 
 
