@@ -175,31 +175,39 @@ def row_of(text: str, spans: list[Span]) -> tuple[np.ndarray, np.ndarray]:
     return x, y
 
 
+def uncut(spans: list[Span], low: int, high: int) -> tuple[int, int]:
+    """The stretch from low to high without the parts of spans that it would cut: what is left of those would be labelled as none."""
+    for start, _, end in spans:
+        low = end if start < low < end else low
+    for start, _, end in reversed(spans):
+        high = start if start < high < end else high
+    return low, max(low, high)
+
+
 def labelled_rows(pieces: list[str], copies: int = COPIES, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Rows to learn from: each piece as it is, and copies with an entity or a likeness put between two words of it."""
     r = np.random.default_rng(seed)
     rows = []
     for piece in pieces:
-        rows.append(row_of(piece, [s for s in base_spans(piece) if s[0] > 0 and s[2] < len(piece)]))
+        known = base_spans(piece)
+        rows.append(row_of(piece, known))
         for _ in range(copies):
-            words = piece.split(" ")
-            place = int(r.integers(0, len(words) + 1))
-            before, after = " ".join(words[:place]), " ".join(words[place:])
+            gaps = [k for k, c in enumerate(piece) if c == " " and not any(a <= k < b for a, _, b in known)] + [len(piece)]
+            place = gaps[int(r.integers(0, len(gaps)))]
+            before, after = piece[:place], piece[place + 1 :]
             if r.random() < 0.6:
                 kind, entity = made_entity(r)
             else:
                 kind, entity = None, made_likeness(r)
             room = max(0, ROW - len(entity) - 4)
             keep = int(r.integers(0, room + 1))
-            before = before[-keep:] if keep else ""
+            before = before[uncut(base_spans(before), len(before) - min(keep, len(before)), len(before))[0] :]
             lead = before + (["\n", " ", ": ", ", "][r.integers(0, 4)] if before else "")
             text = lead + entity + ([" ", ". ", ", ", "\n", ""][r.integers(0, 5)] + after if after else "")
-            text = text[:ROW]
             spans = [(len(lead), kind, len(lead) + len(entity))] if kind is not None else []
-            own = [s for s in base_spans(lead) if s[2] < len(lead)]
-            if kind is None:
-                own += [s for s in base_spans(text) if s[0] >= len(lead) and s[2] < len(text)]
-            rows.append(row_of(text, spans + own))
+            own = [s for s in base_spans(text) if not any(s[0] < b and a < s[2] for a, _, b in spans)]
+            spans = sorted(spans + own)
+            rows.append(row_of(text[: uncut(spans, 0, ROW)[1]], spans))
     return np.stack([x for x, _ in rows]), np.stack([y for _, y in rows])
 
 
@@ -211,10 +219,11 @@ def _pieces():
         out = []
         for k, text in zip(ids.to_pylist(), texts.to_pylist()):
             r = np.random.default_rng(zlib.crc32(str(k).encode()))
-            found = base_spans(text)[: PIECES // 2]
-            starts = [max(0, s - int(r.integers(0, ROW - min(e - s, ROW - 1)))) for s, _, e in found]
+            spans = base_spans(text)
+            starts = [max(0, s - int(r.integers(0, ROW - min(e - s, ROW - 1)))) for s, _, e in spans[: PIECES // 2]]
             starts += [int(r.integers(0, max(1, len(text) - ROW))) for _ in range(PIECES - len(starts))]
-            out.append([text[s : s + ROW] for s in starts])
+            cuts = [uncut([x for x in spans if x[2] > s and x[0] < s + ROW], s, min(s + ROW, len(text))) for s in starts]
+            out.append([text[a:b] for a, b in cuts])
         return pa.array(out, pa.list_(pa.string()))
 
     return own
