@@ -135,15 +135,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def labelled(df: DataFrame, given: DataFrame, sample: int, doc_id: str, text: str) -> DataFrame:
-    """(id, label, text) of at most `sample` labels given(id, label) that have a document in df: those of the smallest hashes.
+def labelled(df: DataFrame, given: DataFrame, sample: int | None, doc_id: str, text: str) -> DataFrame:
+    """(id, label, text) of the labels given(id, label) that have a document in df: all, or the `sample` of the smallest hashes.
 
     Of several documents of an id the smallest text is taken.
     """
-    ids = df.select(F.col(doc_id).alias("id"))
-    some = given.join(ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    if sample is not None:
+        ids = df.select(F.col(doc_id).alias("id"))
+        given = F.broadcast(given.join(ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample))  # `sample` rows are broadcast
     texts = df.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min("text").alias("text"))  # `sample` rows are broadcast
+    return texts.join(given, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
 def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> np.ndarray:

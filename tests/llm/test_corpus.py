@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import gzip
 import math
+import random
 import re
 import zlib
 from pathlib import Path
@@ -415,3 +416,43 @@ def test_training_is_ftrl_proximal():
     for k in [*range(40), quality.WIDTH]:
         assert got[k] == pytest.approx(weight(k), abs=1e-9)
     assert not got[41:100].any()
+
+
+def test_rules_learn_from_all_labelled_rows(spark):
+    """Trees and threshold equal those of all labelled rows at once, and each tree's leaves count every one of them."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["plain", "Words", "of", "2024", "a", "$5", "LOUD", "text\nline"]) for _ in range(r.randint(5, 30))) for _ in range(4500)]
+    good = [r.random() < 0.8 for _ in texts]
+    docs = spark.createDataFrame([*enumerate(texts), (9000, "no label")], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([*((k, int(g)) for k, g in enumerate(good)), (9001, 1)], "doc_id long, quality int")
+    forest, threshold = rules.fit(docs, labels)
+
+    counts = rules.measure(pa.array(texts))
+    x = rules.features(counts)
+    for got, want in zip(forest.trees, rules.Forest(x).trees, strict=True):
+        assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    for feature, split, child, length in forest.trees[:3]:
+        todo, ends = [(0, np.arange(len(x)), 0)], 0
+        while todo:
+            at, own, depth = todo.pop()
+            if feature[at] < 0:
+                ends += len(own)
+                assert length[at] == pytest.approx(depth + rules.Forest.expected(len(own)))
+                assert depth == rules.DEPTH or (x[own].min(0) == x[own].max(0)).all()
+                continue
+            v = x[own, feature[at]]
+            assert v.min() <= split[at] < v.max()
+            todo += [(child[at], own[v <= split[at]], depth + 1), (child[at] + 1, own[v > split[at]], depth + 1)]
+        assert ends == len(x)
+    passed = [k for k, t in enumerate(texts) if good[k] and (c := brute_counts(t))[0] >= 10 and 100 * c[4] <= 20 * c[0]]
+    anomalies = sorted(forest.scores(x[passed]))
+    assert threshold == anomalies[math.ceil((len(passed) - 1) * (1 - rules.SPARE))]
+
+
+def test_ranked_is_the_sorted_value(spark):
+    r = random.Random(9)
+    for values in ([], [0.25], [0.5] * 9, [0.1, np.nextafter(0.1, 1), 0.1, 1.0], [r.choice([r.random(), 1e-12 * r.random(), 0.3]) for _ in range(3000)]):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double")
+        for share in (0.0, 0.002, 0.5, 0.998, 1.0):
+            want = sorted(values)[math.ceil((len(values) - 1) * share)] if values else None
+            assert rules.ranked(df, "v", share) == want
