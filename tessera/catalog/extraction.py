@@ -32,7 +32,8 @@ def memoranda(spark, d):
         F.lit("Hodnota investiční akcie"),
         F.concat(F.lit("31. 1. 2024 1,"), F.lpad((k % 10000).cast("string"), 4, "0"), F.lit(" Kč")),
     )
-    pages = table(spark, d, "customer").select(k.alias("fund"), k.alias("source_id"), F.lit("memorandum").alias("document_type"), F.lit(4).alias("page"), text.alias("text"))
+    customers = table(spark, d, "customer").select("c_custkey", "c_name").repartition(4 * spark.sparkContext.defaultParallelism, "c_custkey")  # narrow rows, before they become text
+    pages = customers.select(k.alias("fund"), k.alias("source_id"), F.lit("memorandum").alias("document_type"), F.lit(4).alias("page"), text.alias("text"))
     return x.lines_of(pages)
 
 

@@ -7,18 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import once, running_sums
+from ..functions.text import SPACES, fold_keeping_space, once, running_sums
 
 
-def lines(df: DataFrame, doc: str, text: str, around: tuple[int, int] | None = None, heading: Callable[[Column], Column] | None = None, memory: int = 12, sep: str = " ") -> DataFrame:
+def lines(df: DataFrame, doc: str | list[str], text: str, around: tuple[int, int] | None = None, heading: Callable[[Column], Column] | None = None, memory: int = 12, sep: str = " ", folded: bool = False) -> DataFrame:
     """(doc, line_no, line, start): non-empty trimmed lines and their places in the text of them joined by line ends.
 
     around adds `context`, the line with so many before and after it; heading, a function of a line, adds `heading`, its
     last value in the line or the `memory` lines before. All are taken inside each document's own array: no window, no shuffle.
+    folded adds `folded`, the folded line, and with around `near`, the folded context (sep is a blank then); each text is folded once.
     """
+    docs = [doc] if isinstance(doc, str) else doc
     kept = F.filter(F.transform(F.split(F.col(text), "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
-    def placed(own: Column) -> Column:
+    def flat(raw: Column) -> Column:
+        both = once(F.split(fold_keeping_space(text), "\n", -1), lambda f: F.filter(F.transform(raw, lambda x, k: F.struct(x.alias("x"), F.get(f, k).alias("f"))), lambda z: F.trim(z["x"]) != ""))
+        return F.transform(both, lambda z: F.trim(F.regexp_replace(z["f"], SPACES, " ")))
+
+    def placed(own: Column, flats: Column | None = None) -> Column:
         ends = running_sums(F.transform(own, lambda x: F.length(x) + 1))
         near = lambda a, k, before, after: F.slice(a, F.greatest(k - before, F.lit(0)) + 1, k + after + 1 - F.greatest(k - before, F.lit(0)))
 
@@ -27,6 +33,10 @@ def lines(df: DataFrame, doc: str, text: str, around: tuple[int, int] | None = N
                 parts = [x.alias("line"), (F.get(e, k) - F.length(x) - 1).cast("long").alias("start")]
                 if around:
                     parts.append(F.array_join(near(own, k, *around), sep).alias("context"))
+                if flats is not None:
+                    parts.append(F.get(flats, k).alias("folded"))
+                    if around:
+                        parts.append(F.array_join(F.filter(near(flats, k, *around), lambda f: f != ""), " ").alias("near"))
                 if heads is not None:
                     parts.append(F.try_element_at(F.filter(near(heads, k, memory, 0), lambda h: h.isNotNull()), F.lit(-1)).alias("heading"))
                 return F.struct(*parts)
@@ -37,8 +47,10 @@ def lines(df: DataFrame, doc: str, text: str, around: tuple[int, int] | None = N
             return once(ends, lambda e: rows(e))
         return once(ends, lambda e: once(F.transform(own, lambda x: heading(x)), lambda h: rows(e, h)))
 
-    more = ["l.context"] * bool(around) + ["l.heading"] * (heading is not None)
-    return df.select(F.col(doc), F.posexplode(F.when(F.size(kept) > 0, once(kept, placed))).alias("line_no", "l")).select(doc, "line_no", "l.line", "l.start", *more)
+    more = ["l.context"] * bool(around) + ["l.folded"] * folded + ["l.near"] * (folded and bool(around)) + ["l.heading"] * (heading is not None)
+    both = (lambda own: once(flat(F.split(F.col(text), "\n", -1)), lambda flats: placed(own, flats))) if folded else placed
+    rows = F.posexplode_outer(F.when(F.size(kept) > 0, once(kept, both)))  # outer: for the other, Spark evaluates the array once more, to filter by its size
+    return df.select(*docs, rows.alias("line_no", "l")).where("line_no IS NOT NULL").select(*docs, "line_no", "l.line", "l.start", *more)
 
 
 def context(df: DataFrame, doc: str, order: str, line: str, before: int, after: int, sep: str = " ") -> DataFrame:

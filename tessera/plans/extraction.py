@@ -43,9 +43,18 @@ NUMBER = r"\d[\d  .,]*\d|\d"
 
 def lines_of(pages: DataFrame, fund: str = "fund", source: str = "source_id", text: str = "text", others: tuple[str, ...] = ("document_type", "page")) -> DataFrame:
     """Lines of pages with three-line context, both folded too."""
-    rows = pages.withColumn("__key", F.struct(fund, source, *others))
-    own = lines.lines(rows, "__key", text, around=(1, 1))
-    return own.select("__key.*", "line_no", "line", "context", "start", fold("line").alias("folded"), fold("context").alias("near"))
+    own = lines.lines(pages, [fund, source, *others], text, around=(1, 1), folded=True)
+    return own.select(fund, source, *others, "line_no", "line", "context", "start", "folded", "near")
+
+
+def found_in(df: DataFrame, found: Column, *needs: Column, name: str = "found") -> DataFrame:
+    """df's rows that hold what is needed, with `found`, where that isn't null: it is evaluated once for each of them.
+
+    The outer explode keeps Spark from evaluating it again in a filter and in each column that is made of it.
+    """
+    for need in needs:
+        df = df.where(need)
+    return df.withColumn(name, F.explode_outer(F.array(found))).where(F.col(name).isNotNull())
 
 
 def priority(field: str, kind: Column) -> Column:
@@ -53,11 +62,10 @@ def priority(field: str, kind: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), kind), F.lit(10))
 
 
-def _got(df: DataFrame, field: str, value: Column, keep: Column, bonus: Column) -> DataFrame:
-    """Candidates of a field: (fund, field, value, score, priority, confidence, source_id, page, line_no, quote)."""
+def _got(rows: DataFrame, field: str, value: Column, bonus: Column) -> DataFrame:
+    """Candidates of a field from rows of `found_in`: (fund, field, value, score, priority, confidence, source_id, page, line_no, quote)."""
     worth = priority(field, F.col("document_type"))
-    rows = df.where(keep).withColumn("value", value).where("value is not null")
-    out = rows.select("fund", F.lit(field).alias("field"), "value", (worth + bonus).cast("int").alias("score"), worth.alias("priority"), "source_id", "page", "line_no", F.col("context").alias("quote"))
+    out = rows.withColumn("value", value).select("fund", F.lit(field).alias("field"), "value", (worth + bonus).cast("int").alias("score"), worth.alias("priority"), "source_id", "page", "line_no", F.col("context").alias("quote"))
     return out.withColumn("confidence", confidence(F.col("score")))
 
 
@@ -66,6 +74,9 @@ MINIMUM = rf"(?:{'|'.join(MINIMUM_STARTS)}).{{0,40}}?(?:{'|'.join(MINIMUM_SUBJEC
 RATE = r"(?<![\d.,])(\d{1,3}(?:[.,]\d+)?)"
 RETURN_WORDS = rf"(?:{'|'.join(RETURN_STARTS)}).{{0,50}}?(?:{'|'.join(RETURN_SUBJECTS)}).{{0,80}}?"
 RETURN_RANGE, RETURN_ONE = rf"{RETURN_WORDS}{RATE}\s*%?\s*(?:-|az|to)\s*{RATE}\s*%", rf"{RETURN_WORDS}{RATE}\s*%"
+#: Words one of which a pattern needs: lines without are passed over.
+HORIZON_NEEDS = ["doporucen", "investicni horizont", "minimalni doba investice", "recommended holding period", "investment horizon"]
+CURRENCIES = ["kc", "czk", "eur", "usd"]
 HURDLE = rf"hurdle(?:\s+rate)?\D{{0,40}}?{RATE}\s*%"
 
 
@@ -75,15 +86,15 @@ def horizon_in(near: Column) -> Column:
     def found(raw: Column) -> Column:
         around = F.regexp_extract(near, rf"(.{{0,40}}{HORIZON}.{{0,20}})", 1)
         bonus = 70 + F.when(F.contains(near, F.lit("doporucen")), 15).otherwise(0)
-        build = lambda years: F.when((years > 0) & (years <= 100), F.struct(years.alias("years"), horizon_kind(F.substring_index(around, "horizont", -1)).alias("kind"), bonus.alias("bonus")))
+        build = lambda years: F.when((years > 0) & (years <= 100), F.struct(years.alias("years"), once(F.substring_index(around, "horizont", -1), horizon_kind).alias("kind"), bonus.alias("bonus")))
         return F.when(raw != "", once(number(raw), build))
 
     return once(F.regexp_extract(near, HORIZON, 1), found)
 
 
 def horizons(df: DataFrame) -> DataFrame:
-    h = horizon_in(F.col("near"))
-    return _got(df, "investment_horizon", F.struct(h["years"].alias("years"), h["kind"].alias("kind")), h.isNotNull(), h["bonus"])
+    rows = found_in(df, horizon_in(F.col("near")), has_any("near", HORIZON_NEEDS))
+    return _got(rows, "investment_horizon", F.col("found").dropFields("bonus"), F.col("found.bonus"))
 
 
 def minimum_in(near: Column) -> Column:
@@ -99,8 +110,8 @@ def minimum_in(near: Column) -> Column:
 
 
 def minimum_investments(df: DataFrame) -> DataFrame:
-    m = minimum_in(F.col("near"))
-    return _got(df, "minimum_investment", m, m.isNotNull(), F.lit(70))
+    rows = found_in(df, minimum_in(F.col("near")), has_any("near", CURRENCIES), has_any("near", MINIMUM_SUBJECTS), has_any("near", MINIMUM_STARTS))
+    return _got(rows, "minimum_investment", F.col("found"), F.lit(70))
 
 
 def target_in(near: Column) -> Column:
@@ -134,15 +145,15 @@ def target_in(near: Column) -> Column:
 
 
 def target_returns(df: DataFrame) -> DataFrame:
-    t = target_in(F.col("near"))
-    return _got(df, "target_return", t.dropFields("bonus"), t.isNotNull(), t["bonus"])
+    rows = found_in(df, target_in(F.col("near")), F.contains("near", F.lit("%")), has_any("near", [*RETURN_SUBJECTS, "hurdle"]))
+    return _got(rows, "target_return", F.col("found").dropFields("bonus"), F.col("found.bonus"))
 
 
 def fees(df: DataFrame) -> DataFrame:
-    kind = first_match("folded", FEES)
-    own = fee("folded")
-    value = F.struct(kind.alias("type"), own["rate"].alias("rate"), own["maximum"].alias("maximum"), own["amount"].alias("amount"), own["currency"].alias("currency"), fee_tiers("folded").alias("tiers"))
-    return _got(df, "fees", value, kind.isNotNull() & (own["rate"].isNotNull() | own["amount"].isNotNull() | own["negotiated"]), F.lit(60))
+    of_kind = found_in(df, first_match("folded", FEES), name="kind")
+    rows = found_in(of_kind, fee("folded")).where("found.rate IS NOT NULL OR found.amount IS NOT NULL OR found.negotiated")
+    own = [F.col(f"found.{c}").alias(c) for c in ("rate", "maximum", "amount", "currency")]
+    return _got(rows, "fees", F.struct(F.col("kind").alias("type"), *own, fee_tiers("folded").alias("tiers")), F.lit(60))
 
 
 def fee_schedule(candidates: DataFrame, from_tables: DataFrame | None = None) -> DataFrame:
@@ -159,10 +170,11 @@ FUND_LABELS = [w for m in ("fund_capital", "nav", "net_assets", "assets_under_ma
 
 def assets(df: DataFrame, newest: int) -> DataFrame:
     """An amount close after a label of the fund's capital, with the date of its words; those close to the year `newest` are worth more, to 50."""
-    m, day = money_after("near", FUND_LABELS), first_date("near")
-    value = F.struct(m["amount"].alias("amount"), m["currency"].alias("currency"), aum_metric("near").alias("metric"), day.alias("as_of"))
-    fresh = F.greatest(F.lit(0), F.least(F.lit(50), 50 - 10 * (newest - F.year(day))))
-    return _got(df, "assets_under_management", value, m.isNotNull() & day.isNotNull() & ~has_any("near", PER_SHARE), 60 + fresh)
+    dated = found_in(df, first_date("near"), has_any("near", CURRENCIES), has_any("near", FUND_LABELS), ~has_any("near", PER_SHARE), name="day")
+    rows = found_in(dated, money_after("near", FUND_LABELS))
+    value = F.struct(F.col("found.amount").alias("amount"), F.col("found.currency").alias("currency"), aum_metric("near").alias("metric"), F.col("day").alias("as_of"))
+    fresh = F.greatest(F.lit(0), F.least(F.lit(50), 50 - 10 * (newest - F.year("day"))))
+    return _got(rows, "assets_under_management", value, 60 + fresh)
 
 
 COMPANY = r"([\p{Lu}][\p{L}\p{N}&.\- ]{2,60}?,?\s*(?:a\.\s?s\.|s\.\s?r\.\s?o\.|SICAV|SE))"
@@ -181,9 +193,9 @@ def capital_history(df: DataFrame, most: int = 400) -> DataFrame:
 
     A fund's history is reported with its `most` earliest points at most; the cap is the feature's.
     """
-    m, day = money("folded"), first_date(F.concat_ws(" ", "folded", "near"))
-    metric = refined_capital_metric(capital_metric("folded"), F.col("folded"), F.col("near"))
-    rows = df.withColumn("metric", metric).withColumn("m", m).withColumn("as_of", day).where("metric is not null and m is not null and as_of is not null").where(~has_any("folded", PER_SHARE))
+    priced = found_in(df, money("folded"), has_any("folded", CURRENCIES), ~has_any("folded", PER_SHARE), name="m")
+    dated = found_in(priced, first_date(F.concat_ws(" ", "folded", "near")), name="as_of")
+    rows = found_in(dated, refined_capital_metric(capital_metric("folded"), F.col("folded"), F.col("near")), name="metric")
     own = cap(rows.withColumn("score", priority("assets_under_management", F.col("document_type"))), ["fund", "metric", "as_of", F.col("m.currency")], [F.desc("score"), "source_id", "line_no"], 1)
     return cap(own.select("fund", "metric", "as_of", F.col("m.currency").alias("currency"), F.col("m.amount").alias("amount")), ["fund"], ["as_of", "metric", "currency"], most)
 
