@@ -38,3 +38,7 @@ def test_assets_are_read_once(some_lines):
 
 def test_customers_are_dealt_before_they_become_text(spark):
     assert memoranda.memoranda(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_fees_are_read_once(some_lines):
+    assert evaluated(x.fees(some_lines), "zdarma|") == 1 and evaluated(x.fees(some_lines), "performance fee") == 1
