@@ -42,3 +42,7 @@ def test_customers_are_dealt_before_they_become_text(spark):
 
 def test_fees_are_read_once(some_lines):
     assert evaluated(x.fees(some_lines), "zdarma|") == 1 and evaluated(x.fees(some_lines), "performance fee") == 1
+
+
+def test_capital_history_is_read_once(some_lines):
+    assert evaluated(x.capital_history(some_lines), "(tisic|tis|milionu") == 3  # number, unit and currency
