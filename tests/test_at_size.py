@@ -44,5 +44,9 @@ def test_fees_are_read_once(some_lines):
     assert evaluated(x.fees(some_lines), "zdarma|") == 1 and evaluated(x.fees(some_lines), "performance fee") == 1
 
 
+def test_horizons_are_read_once(some_lines):
+    assert evaluated(x.horizons(some_lines), r"recommended\s") == 2  # the number, and the words around it
+
+
 def test_capital_history_is_read_once(some_lines):
     assert evaluated(x.capital_history(some_lines), "(tisic|tis|milionu") == 3  # number, unit and currency
