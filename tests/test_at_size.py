@@ -50,3 +50,8 @@ def test_horizons_are_read_once(some_lines):
 
 def test_capital_history_is_read_once(some_lines):
     assert evaluated(x.capital_history(some_lines), "(tisic|tis|milionu") == 3  # number, unit and currency
+
+
+def test_target_returns_are_read_once(some_lines):
+    found = x.target_returns(some_lines)
+    assert evaluated(found, "hurdle(?:") == 1 and evaluated(found, "anticipated|") == 3  # a range's ends and one value
