@@ -48,6 +48,10 @@ def test_horizons_are_read_once(some_lines):
     assert evaluated(x.horizons(some_lines), r"recommended\s") == 2  # the number, and the words around it
 
 
+def test_minimum_investments_are_read_once(some_lines):
+    assert evaluated(x.minimum_investments(some_lines), "nejnizsi|") == 3  # number, unit and currency
+
+
 def test_capital_history_is_read_once(some_lines):
     assert evaluated(x.capital_history(some_lines), "(tisic|tis|milionu") == 3  # number, unit and currency
 
