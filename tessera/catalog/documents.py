@@ -120,7 +120,7 @@ def text_metrics(spark, d):
 @query("token_retention", r"WITH t AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[^\s]+')) a, regexp_extract_all(regexp_replace(text, '[^\n]*[0-9][^\n]*', '', 'g'), '[^\s]+') b FROM documents) SELECT doc_id, CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE round(len(list_intersect(a, b)) / len(a), 9) END AS retention FROM t")
 def token_retention(spark, d):
     w = lambda x: F.regexp_extract_all(x, F.lit(r"[^\s]+"), 0)
-    second = F.regexp_replace("text", r"[^\n]*[0-9][^\n]*", "")  # a second reading that has lost the lines with digits
+    second = text.without_figures("text")  # a second reading that has lost the lines with digits
     return table(spark, d, "documents").select("doc_id", F.round(text.retention(w(F.col("text")), w(second)), 9).alias("retention"))
 
 

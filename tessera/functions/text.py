@@ -283,6 +283,11 @@ def evidence(x: Column | str) -> Column:
     return F.concat(every(r"\b(?:19[89]\d|20[0-4]\d)\b"), every(r"\b\d{1,2}\s*\.\s*\d{1,2}\s*\.\s*(?:19|20)\d{2}\b"), every(r"-?\d{1,3}(?:[\u00a0 ]?\d{3})*(?:[.,]\d+)?\s*%"), every(r"\b[A-Z]{2}[A-Z0-9]{9}\d\b"))
 
 
+def without_figures(x: Column | str) -> Column:
+    """Text whose lines with a digit are empty; each line is searched from its start only, so work grows with its length."""
+    return F.regexp_replace(text(x), r"(?md)^[^\n0-9]*+[0-9][^\n]*+", "")
+
+
 def retention(a: Column, b: Column) -> Column:
     """The share of a's values that b holds; 1 if a has none."""
     return F.when(F.size(a) == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_distinct(a)))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.catalog import extraction as memoranda
-from tessera.functions.text import fold
+from tessera.functions.text import fold, without_figures
 from tessera.operators import lines
 from tessera.plans import extraction as x
 
@@ -59,3 +61,10 @@ def test_capital_history_is_read_once(some_lines):
 def test_target_returns_are_read_once(some_lines):
     found = x.target_returns(some_lines)
     assert evaluated(found, "hurdle(?:") == 1 and evaluated(found, "anticipated|") == 3  # a range's ends and one value
+
+
+def test_lines_without_figures_in_linear_time(spark):
+    begun = time.time()
+    df = spark.range(1).select(F.expr("repeat('word ', 80000)").alias("w")).select(F.concat("w", F.lit("\n1 a\r b\n"), "w", F.lit("\n\n2")).alias("t"), "w").repartition(2, "w")
+    row = df.select(without_figures("t").alias("v"), "w").first()
+    assert row.v == f"{row.w}\n\n{row.w}\n\n" and time.time() - begun < 30
