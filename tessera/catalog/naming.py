@@ -38,8 +38,9 @@ def opening_mentions(spark, d):
     """Where turns of conversations hold the two words with which a turn of any conversation opens."""
     turns = table(spark, d, "conversations")
     names = turns.select(F.col("conv_id").alias("named"), first_words("text", 2).alias("name"))
-    found = mentions.mentions(turns, ["conv_id", "turn"], "text", names, "name", "named", most=500)
-    return found.groupBy("conv_id", "turn").agg(F.count("*").alias("n"), F.countDistinct("named").alias("conversations"), F.min("word").alias("first_word"))
+    found = mentions.named(turns, ["conv_id", "turn"], "text", names, "name", "named", most=500)
+    turns = found.groupBy("conv_id", "turn").agg(F.sum(F.size("ids")).alias("n"), F.collect_list("ids").alias("named"), F.min("word").alias("first_word"))
+    return turns.select("conv_id", "turn", "n", F.size(F.array_distinct(F.flatten("named"))).cast("long").alias("conversations"), "first_word")
 
 
 FORMED = rf"""t AS (SELECT doc_id, regexp_extract_all(regexp_replace(lower(strip_accents(text)), '\bthe\b', 'sicav', 'g'), '[a-z0-9]+') AS list FROM documents),

@@ -2,15 +2,15 @@
 
 Names and texts are compared word by word, in folded letters, so marks, case, punctuation and line ends
 between words don't matter. All names stand in one automaton with failure links, so a text is read once,
-however many names there are; more names than one automaton should hold are dealt to several, one
-reading each.
+however many names there are; more names than one automaton should hold are met by a join with the
+texts' runs of words, in one reading too.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from functools import reduce
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,8 @@ from ..functions.text import fold_aligned, tokens_match
 
 #: Names of one automaton (about 1 kB each); it is built by the driver and broadcast.
 MOST = 200_000
+#: Bits by which runs of words are passed over that are no name.
+BITS = 1 << 24
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -57,38 +59,73 @@ def mentions(df: DataFrame, keys: list[str], text: str, names: DataFrame, name:
     """(keys, name_id, start, end, word, n_words): every mention of a name in a text, places in letters and in words.
 
     A mention is a run of whole words equal to the name's words. Names without words are never found; names of
-    the same words are all found; null texts hold none. Each automaton takes at most about `most` names, those
-    of one hash class, and costs one reading of df; the names of one class at a time are on the driver.
+    the same words are all found; null texts hold none. Texts are read once: up to `most` different names stand in one
+    automaton, more are met by a join (see `named`).
     """
-    spark = df.sparkSession
-    listed = names.select(name_words(name).alias("words"), F.col(name_id).alias("id")).where("words <> ''").groupBy("words").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    parts = max(1, -(-listed.count() // most))
+    found = named(df, keys, text, names, name, name_id, most)
+    return found.select(*keys, F.explode("ids").alias(name_id), "start", "end", "word", "n_words")
+
+
+def named(df: DataFrame, keys: list[str], text: str, names: DataFrame, name: str, name_id: str, most: int = MOST) -> DataFrame:
+    """(keys, ids, start, end, word, n_words): `mentions` with the ids of all names of the same words in one row, in order."""
+    listed = names.select(name_words(name).alias("words"), F.col(name_id).alias("id")).where("words <> ''").groupBy("words").agg(F.sort_array(F.collect_set("id")).alias("ids")).checkpoint()
     rows = df.select(*keys, fold_aligned(text).alias("__text"))
-    schema = df.select(*keys).schema.add(name_id, names.schema[name_id].dataType, True).add("start", "integer").add("end", "integer").add("word", "integer").add("n_words", "integer")
+    return _by_automaton(rows, keys, listed) if listed.count() <= most else _by_windows(rows, keys, listed)
+
+
+def _scanned(rows: DataFrame, keys: list[str], column: str, kind: T.DataType, search) -> DataFrame:
+    """(keys, column, start, end, word, n_words): what search finds in each text that isn't null."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    schema = rows.select(*keys).schema.add(column, kind).add("start", "integer").add("end", "integer").add("word", "integer").add("n_words", "integer")
     arrow = to_arrow_schema(schema)
 
-    def scan(part: int) -> DataFrame:
-        own = listed if parts == 1 else listed.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)
-        machine = spark.sparkContext.broadcast(_automaton(sorted((r.words, list(r.ids)) for r in own.collect())))  # about `most` names
-
-        def search(batches):
-            for batch in batches:
-                at, columns = [], ([], [], [], [], [])
-                for k, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                    for ids, *place in _found(machine.value, t) if t and len(machine.value) else ():
-                        for own_id in ids:
-                            at.append(k)
-                            for c, v in zip(columns, (own_id, *place)):
-                                c.append(v)
-                took = batch.take(pa.array(at, pa.int64()))
-                own_keys = [took.column(k) for k in range(len(keys))]
-                yield pa.RecordBatch.from_arrays([*own_keys, *[pa.array(c, arrow.field(len(keys) + k).type) for k, c in enumerate(columns)]], schema=arrow)
-
-        return rows.mapInArrow(search, schema)
-
-    return reduce(DataFrame.union, map(scan, range(parts)))
+    def scan(batches):
+        for batch in batches:
+            at, columns = [], ([], [], [], [], [])
+            for k, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                for found in search(t) if t else ():
+                    at.append(k)
+                    for c, v in zip(columns, found):
+                        c.append(v)
+            took = batch.take(pa.array(at, pa.int64()))
+            own_keys = [took.column(k) for k in range(len(keys))]
+            yield pa.RecordBatch.from_arrays([*own_keys, *[pa.array(c, arrow.field(len(keys) + k).type) for k, c in enumerate(columns)]], schema=arrow)
+
+    return rows.mapInArrow(scan, schema)
+
+
+def _by_automaton(rows: DataFrame, keys: list[str], listed: DataFrame) -> DataFrame:
+    """All names in one automaton, built by the driver."""
+    machine = rows.sparkSession.sparkContext.broadcast(_automaton(sorted((r.words, list(r.ids)) for r in listed.collect())))
+    return _scanned(rows, keys, "ids", listed.schema["ids"].dataType, lambda t: _found(machine.value, t) if len(machine.value) else ())
+
+
+def _by_windows(rows: DataFrame, keys: list[str], listed: DataFrame) -> DataFrame:
+    """All runs of words as long as some name meet the names in a join; runs whose bit no name has set are passed over before.
+
+    The bits, 2 MB however many names there are, and the names' lengths are all that the driver gets.
+    """
+    n_words = F.size(F.split("words", " "))
+    lengths = sorted(r[0] for r in listed.select(n_words).distinct().collect())
+    place = F.crc32(F.encode("words", "UTF-8")) % BITS + 1
+    parts = listed.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    filled = bytearray(BITS // 8)
+    for part, own in parts.collect():  # BITS / 32,768 at most
+        filled[(part - 1) * 4096 : part * 4096] = own
+    bits = rows.sparkSession.sparkContext.broadcast(bytes(filled))
+
+    def search(t: str):
+        places, own = [(m.start(), m.end(), m[0]) for m in WORD.finditer(t)], bits.value
+        for n in lengths:
+            for k in range(len(places) - n + 1):
+                run = " ".join([w for _, _, w in places[k : k + n]])
+                h = crc32(run.encode()) % BITS
+                if own[h >> 3] >> (h & 7) & 1:
+                    yield run, places[k][0], places[k + n - 1][1], k, n
+
+    found = _scanned(rows, keys, "__words", T.StringType(), search)
+    return found.join(listed, F.col("__words") == F.col("words")).select(*keys, "ids", "start", "end", "word", "n_words")
 
 
 def names_before_forms(text: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.catalog import extraction as memoranda
 from tessera.functions.text import fold, without_figures
-from tessera.operators import lines
+from tessera.operators import lines, mentions
 from tessera.plans import extraction as x
 
 PAGE = "Žluťoučký\tkůň \x0b ß\n \n\t\n Σίσυφος ΟΔΟΣ  \nRecommended  holding period:\r 5 years\nİstanbul ΟΔΟΣ\n\nStraße"
@@ -68,3 +68,12 @@ def test_lines_without_figures_in_linear_time(spark):
     df = spark.range(1).select(F.expr("repeat('word ', 80000)").alias("w")).select(F.concat("w", F.lit("\n1 a\r b\n"), "w", F.lit("\n\n2")).alias("t"), "w").repartition(2, "w")
     row = df.select(without_figures("t").alias("v"), "w").first()
     assert row.v == f"{row.w}\n\n{row.w}\n\n" and time.time() - begun < 30
+
+
+def test_many_names_meet_texts_in_one_reading(spark):
+    names = spark.range(900).select("id", F.concat(F.lit("Name "), F.col("id") % 600, F.when(F.col("id") % 3 == 0, " x").otherwise("")).alias("name"))
+    texts = spark.range(50).select("id", F.concat(F.lit("a name, "), F.col("id"), F.lit(" X name "), F.col("id") + 300).alias("t"))
+    got = mentions.mentions(texts.withColumnRenamed("id", "k"), ["k"], "t", names, "name", "id", 100)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    one = mentions.mentions(texts.withColumnRenamed("id", "k"), ["k"], "t", names, "name", "id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, one.collect())) and got.count() > 100
