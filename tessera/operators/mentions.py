@@ -142,21 +142,26 @@ _NAMED = T.ArrayType(T.StructType([T.StructField("tokens", T.ArrayType(T.StringT
 
 @F.arrow_udf(_NAMED)
 def _before_forms(texts: pa.Array) -> pa.Array:
-    form = re.compile(r"\b(?:" + "|".join(r"\s+".join(map(re.escape, f.split())) for f in FORM_WORDS) + r")\b")
-    noise, out = set(NAME_NOISE), []
-    for t in texts.to_pylist():
-        own = []
-        heads = list(form.finditer(t)) if t else []
-        if heads:
-            places = [(m.start(), m[0]) for m in re.finditer(r"[a-z0-9]+", t)]
-            starts = [s for s, _ in places]
-            for m in heads:
-                last = bisect_right(starts, m.start() - 1)
-                named = [(s, w) for s, w in places[max(0, last - NAME_REACH) : last] if w not in noise and len(w) >= 2]
-                if named:
-                    own.append({"tokens": [w for _, w in named], "start": named[0][0], "end": m.end()})
-        out.append(own)
-    return pa.array(out, pa.list_(pa.struct([("tokens", pa.list_(pa.string())), ("start", pa.int32()), ("end", pa.int32())])))
+    own = [[{"tokens": tokens, "start": start, "end": end} for tokens, start, end in named_before_forms(t)] for t in texts.to_pylist()]
+    return pa.array(own, pa.list_(pa.struct([("tokens", pa.list_(pa.string())), ("start", pa.int32()), ("end", pa.int32())])))
+
+
+WORD_END = re.compile(r"\w")
+FORM = re.compile(r"(?:" + "|".join(r"\s+".join(map(re.escape, f.split())) for f in FORM_WORDS) + r")\b")
+
+
+def named_before_forms(folded: str | None) -> list[tuple[list[str], int, int]]:
+    """(tokens, start, end) of the names in one folded text, as `names_before_forms` gives them."""
+    own, heads = [], [m for m in FORM.finditer(folded) if not WORD_END.match(folded, max(0, m.start() - 1), m.start())] if folded else []
+    if heads:
+        places = [(m.start(), m[0]) for m in re.finditer(r"[a-z0-9]+", folded[: heads[-1].start()])]
+        starts = [s for s, _ in places]
+        for m in heads:
+            last = bisect_right(starts, m.start() - 1)
+            named = [(s, w) for s, w in places[max(0, last - NAME_REACH) : last] if w not in NAME_NOISE and len(w) >= 2]
+            if named:
+                own.append(([w for _, w in named], named[0][0], m.end()))
+    return own
 
 
 def is_named(tokens: Column, own: Column) -> Column:

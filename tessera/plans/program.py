@@ -1,8 +1,8 @@
 """All fields of all funds from their documents in one reading.
 
 One pass over pages finds, by one automaton over the words of all fields, the lines worth reading, and
-hands them out with their context, the headings they stand under, and whose section they are in.
-Extractors run on these lines only, each on those that hold its own words; candidates of all
+hands them out with their context, the headings they stand under, and whose section they are in, equal
+ones of a batch of pages once. Extractors run on these lines only, each on those that hold its own words; candidates of all
 fields make one long table, and one contest settles every key of every field: a field's single
 value, each kind of fee, each point of a series.
 """
@@ -10,14 +10,16 @@ value, each kind of fee, each point of a series.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.classify import CAPITAL_METRICS, HISTORICAL_VALUES, PER_SHARE, RETURN_SERIES, RETURN_TYPES, aum_metric, capital_metric, first_match, no_published_return, refined_capital_metric
 from ..functions.labels import NAME_NOISE, NOT_PUBLISHED, PAST_RETURN
-from ..functions.text import company_key, cut_party_name, fold_aligned, has_any, registration_number, share_class, words
+from ..functions.text import company_key, cut_party_name, fold_aligned, has_any, once, registration_number, share_class, words
 from ..functions.values import dated_amounts, fee, first_date, money, money_after
 from ..operators import mentions, resolve
 from ..operators.lines import years_and_rates
@@ -128,52 +130,65 @@ def _lines_of(machine, text: str, folded: str, named: list[tuple[int, bool]], ti
             yield k, raw[k], " ".join(raw[around]), flat[k], " ".join(flat[around]), near_bits[k], line_bits[k], heads[0], heads[1], scope_at(starts[k], named, title)
 
 
-LINE = "line_no integer, line string, context string, folded string, near string, near_bits long, line_bits long, return_heading integer, value_heading integer, page_scope string"
+WINDOW = "line string, context string, folded string, near string, near_bits long, line_bits long, return_heading integer, value_heading integer, page_scope string"
 
 
-def lines_worth_reading(pages: DataFrame, memory: int = MEMORY) -> DataFrame:
-    """Lines of pages (fund, fund_name, source_id, document_type, page, title, text, and whatever else) in which some field's words stand.
+def windows_worth_reading(pages: DataFrame, memory: int = MEMORY) -> DataFrame:
+    """Different windows of `lines_worth_reading`, each with `places`: where it stands, (line_no and what pages have beside their texts).
 
-    One reading, and work in proportion to it: each line's context are the lines beside it, headings are
-    remembered for `memory` lines, page_scope is whose line it is. Null texts have no lines.
+    Windows that are the same in all that extractors see are one row for each batch of pages, so that what documents
+    have in common is read once for all of them.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     kept = [c for c in pages.columns if c not in ("text", "title", "fund_name")]
     own = F.filter(words("fund_name"), lambda w: ~w.isin(NAME_NOISE) & (F.length(w) >= 2))
-    folded = fold_aligned("text")
-    rows = pages.withColumn("__own", own).withColumn("__named", mentions.names_before_forms("text")).select(
-        *kept, F.col("text").alias("__text"), folded.alias("__folded"),
-        F.transform("__named", lambda m: F.struct(m["start"].alias("start"), mentions.is_named(m["tokens"], F.col("__own")).alias("own"))).alias("__named"),
+    rows = pages.withColumn("__own", own).select(
+        *kept, F.col("text").alias("__text"), fold_aligned("text").alias("__folded"), "__own",
         F.coalesce((F.size("__own") > 0) & F.contains(F.array_join(words("title"), " "), F.array_join("__own", " ")), F.lit(False)).alias("__title"),
     )
-    schema = pages.select(*kept).schema
-    for part in LINE.split(", "):
+    place = pages.select(*kept).schema.add("line_no", "integer")
+    schema = T.StructType().add("places", T.ArrayType(place))
+    for part in WINDOW.split(", "):
         schema = schema.add(*part.split(" "))
     arrow = to_arrow_schema(schema)
     machine = pages.sparkSession.sparkContext.broadcast(_machine())  # the words of the fields
 
     def read(batches):
         for batch in batches:
-            texts, flats, named, titles = (batch.column(len(kept) + k).to_pylist() for k in range(4))
-            at, found = [], []
+            texts, flats, owns, titles = (batch.column(len(kept) + k).to_pylist() for k in range(4))
+            found: dict[tuple, list[tuple[int, int]]] = {}
             for k, text in enumerate(texts):
                 if text:
-                    for row in _lines_of(machine.value, text, flats[k], [(m["start"], m["own"]) for m in named[k] or []], titles[k], memory):
-                        at.append(k)
-                        found.append(row)
-            took = batch.take(pa.array(at, pa.int64()))
-            columns = [pa.array(c, arrow.field(len(kept) + k).type) for k, c in enumerate(zip(*found))] if found else [pa.array([], arrow.field(len(kept) + k).type) for k in range(10)]
-            yield pa.RecordBatch.from_arrays([*[took.column(k) for k in range(len(kept))], *columns], schema=arrow)
+                    own = owns[k]
+                    named = [(start, bool(own) and tokens[-len(own) :] == own) for tokens, start, _ in mentions.named_before_forms(flats[k])]
+                    for line_no, *window in _lines_of(machine.value, text, flats[k], named, titles[k], memory):
+                        found.setdefault(tuple(window), []).append((k, line_no))
+            at = [p for places in found.values() for p in places]
+            took = batch.take(pa.array([k for k, _ in at], pa.int64()))
+            inner, ends = arrow.field("places").type.value_type, [0, *accumulate(map(len, found.values()))]
+            places = pa.StructArray.from_arrays([*[took.column(k) for k in range(len(kept))], pa.array([n for _, n in at], pa.int32())], fields=list(inner))
+            columns = zip(*found) if found else [[]] * (len(arrow) - 1)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places).cast(arrow.field("places").type), *[pa.array(c, arrow.field(k).type) for k, c in enumerate(columns, 1)]], schema=arrow)
 
     return rows.mapInArrow(read, schema)
 
 
+def lines_worth_reading(pages: DataFrame, memory: int = MEMORY) -> DataFrame:
+    """Lines of pages (fund, fund_name, source_id, document_type, page, title, text, and whatever else) in which some field's words stand.
+
+    One reading, and work in proportion to it: each line's context are the lines beside it, headings are
+    remembered for `memory` lines, page_scope is whose line it is. Null texts have no lines.
+    """
+    found = windows_worth_reading(pages, memory)
+    return found.select(F.explode("places").alias("p"), *found.columns[1:]).select("p.*", *found.columns[1:])
+
+
 CLAIM = "struct<field:string,point:string,low:double,high:double,word:string,bonus:int>"
 
 
-def candidates(lines: DataFrame, newest: int) -> DataFrame:
-    """All fields' candidates of lines: one long table (field, point, low, high, word, score, priority, ...), in one projection.
+def candidates(windows: DataFrame, newest: int) -> DataFrame:
+    """All fields' candidates of windows, at each of their places: one long table (field, point, low, high, word, score, priority, ...), in one projection.
 
     point: what must be equal for two candidates to be rivals (a kind, a class, a day, a currency). low, high and
     word: the value. newest: the year at which figures of assets are fresh. A line that says that no return is published gives
@@ -223,20 +238,25 @@ def candidates(lines: DataFrame, newest: int) -> DataFrame:
         some(F.transform(pairs, lambda p: claim("annual_returns", text_of(p["year"].cast("string"), series, klass), p["rate"], bonus=0)), (F.col("return_heading") >= 0) & told),
         some(F.transform(values, lambda v: claim("historical_values", text_of(kind, klass, v["currency"], v["as_of"].cast("string")), v["amount"], word=v["currency"], bonus=0)), F.col("value_heading") >= 0),
     )
-    rows = lines.withColumn("c", F.explode(every))
-    worth = reduce(lambda out, f: out.when(F.col("c.field") == f, priority(f, F.col("document_type"))), [f for f in PRIORITIES if f != "fees"], F.when(F.col("c.field") == "fees", priority("fees", F.col("document_type"))))
-    worth = worth.otherwise(priority("assets_under_management", F.col("document_type")))
-    return rows.select(*[c for c in lines.columns if c not in ("line", "folded", "near", "near_bits", "line_bits", "return_heading", "value_heading", "context")], "c.field", "c.point", "c.low", "c.high", "c.word", (worth + F.col("c.bonus")).cast("int").alias("score"), worth.alias("priority"), F.col("context").alias("quote"))
+    ranked = windows.withColumn("scope", scope_rank(F.col("page_scope"), F.col("context")))  # here, where equal windows are one row
+    claimed = ranked.withColumn("c", F.explode_outer(every)).where("c IS NOT NULL")  # outer: for the other, Spark evaluates the array once more, to filter by its size
+    rows = claimed.withColumn("place", F.explode("places"))
+    worth = reduce(lambda out, f: out.when(F.col("c.field") == f, priority(f, F.col("place.document_type"))), [f for f in PRIORITIES if f != "fees"], F.when(F.col("c.field") == "fees", priority("fees", F.col("place.document_type"))))
+    worth = worth.otherwise(priority("assets_under_management", F.col("place.document_type")))
+    return rows.select("place.*", "page_scope", "scope", "c.field", "c.point", "c.low", "c.high", "c.word", (worth + F.col("c.bonus")).cast("int").alias("score"), worth.alias("priority"), F.col("context").alias("quote"))
+
+
+def scope_rank(page_scope: Column, quote: Column) -> Column:
+    """What a line's scope is worth to the contest, one that names a share class of the fund less than the fund's own; 0: it may not speak for the fund."""
+    scope = F.when((page_scope == "exact_fund") & share_class(quote).isNotNull(), "share_class").otherwise(page_scope)
+    return once(scope, lambda s: reduce(lambda out, kv: out.when(s == kv[0], kv[1]), list(SCOPES.items())[1:], F.when(s == next(iter(SCOPES)), next(iter(SCOPES.values())))).otherwise(0))
 
 
 def as_claims(found: DataFrame) -> DataFrame:
     """Candidates with the facts of `operators.resolve`; those of nobody's or another's section have scope 0. What found has of the facts stays."""
-    scope = F.when((F.col("page_scope") == "exact_fund") & (share_class("quote").isNotNull()), "share_class").otherwise(F.col("page_scope"))
-    rank = reduce(lambda out, kv: out.when(scope == kv[0], kv[1]), list(SCOPES.items())[1:], F.when(scope == next(iter(SCOPES)), next(iter(SCOPES.values())))).otherwise(0)
-    defaults = {"rebuilt": F.lit(False), "authority": F.lit(3), "date_kind": F.lit("unknown"), "date_value": F.lit(None).cast("date")}
-    more = {k: v for k, v in defaults.items() if k not in found.columns}
     evidence = F.when(F.trim("quote") == "", 0).otherwise(2)
-    return found.withColumns({"scope": rank, "evidence": evidence, **more})
+    facts = {"scope": scope_rank(F.col("page_scope"), F.col("quote")), "evidence": evidence, "rebuilt": F.lit(False), "authority": F.lit(3), "date_kind": F.lit("unknown"), "date_value": F.lit(None).cast("date")}
+    return found.withColumns({k: v for k, v in facts.items() if k not in found.columns})
 
 
 def settle(claims: DataFrame) -> DataFrame:
@@ -268,7 +288,7 @@ def all_fields(pages: DataFrame, funds: DataFrame, newest: int, memory: int = ME
     won), scope_unconfirmed (claims stand in others' or nobody's sections only), not_publicly_disclosed (a source says
     that no return is published, and no claim was accepted or refused), or not_found. Text is read once; its candidates are written.
     """
-    held = candidates(lines_worth_reading(pages, memory), newest).checkpoint()
+    held = candidates(windows_worth_reading(pages, memory), newest).checkpoint()
     claims = as_claims(held.where("field <> ''"))
     values = settle(claims)
     told = held.where("field = ''").select("fund").distinct().withColumn("field", F.lit("target_return")).withColumn("told", F.lit(True))

@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.catalog import extraction as memoranda
+from tessera.catalog import program as program_documents
 from tessera.functions.text import fold, without_figures
 from tessera.operators import lines, mentions
 from tessera.plans import extraction as x
+from tessera.plans import program
 
 PAGE = "Žluťoučký\tkůň \x0b ß\n \n\t\n Σίσυφος ΟΔΟΣ  \nRecommended  holding period:\r 5 years\nİstanbul ΟΔΟΣ\n\nStraße"
 
@@ -77,3 +79,11 @@ def test_many_names_meet_texts_in_one_reading(spark):
     assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     one = mentions.mentions(texts.withColumnRenamed("id", "k"), ["k"], "t", names, "name", "id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, one.collect())) and got.count() > 100
+
+
+def test_equal_windows_of_many_documents_are_one_row(spark):
+    pages = program_documents.order_documents(spark, "/root/testdata/sf0.001").coalesce(1)
+    windows, rows = program.windows_worth_reading(pages), program.lines_worth_reading(pages)
+    n, places, same = windows.agg(F.count("*"), F.sum(F.size("places")), F.count_distinct("context", "line", "folded", "near", "near_bits", "line_bits", "return_heading", "value_heading", "page_scope")).first()
+    assert places == rows.count() and n == same < places / 3
+    assert rows.select("source_id", "line_no").distinct().count() == places
