@@ -65,6 +65,16 @@ def test_target_returns_are_read_once(some_lines):
     assert evaluated(found, "hurdle(?:") == 1 and evaluated(found, "anticipated|") == 3  # a range's ends and one value
 
 
+def test_both_fields_of_a_memorandum_are_resolved(spark):
+    from tessera.operators import resolve
+
+    m = memoranda.memoranda(spark, "/root/testdata/sf0.001")
+    claims = x.claims(x.horizons(m), F.col("value.years")).unionByName(x.claims(x.minimum_investments(m), F.col("value.amount")))
+    assert evaluated(claims, r"recommended\s") == 2 and evaluated(claims, "nejnizsi|") == 3
+    got = resolve.resolve(claims, ["fund", "field"], ["value"])
+    assert got.count() == 2 * m.select("fund").distinct().count() and got.where("n_claims <> 3").count() == 0
+
+
 def test_lines_without_figures_in_linear_time(spark):
     begun = time.time()
     df = spark.range(1).select(F.expr("repeat('word ', 80000)").alias("w")).select(F.concat("w", F.lit("\n1 a\r b\n"), "w", F.lit("\n\n2")).alias("t"), "w").repartition(2, "w")
