@@ -97,3 +97,11 @@ def test_equal_windows_of_many_documents_are_one_row(spark):
     n, places, same = windows.agg(F.count("*"), F.sum(F.size("places")), F.count_distinct("context", "line", "folded", "near", "near_bits", "line_bits", "return_heading", "value_heading", "page_scope")).first()
     assert places == rows.count() and n == same < places / 3
     assert rows.select("source_id", "line_no").distinct().count() == places
+
+
+def test_scopes_are_ranked_with_windows(spark):
+    pages = program_documents.order_documents(spark, "/root/testdata/sf0.001").limit(40)
+    found = program.candidates(program.windows_worth_reading(pages), 2026).checkpoint()
+    claims = program.as_claims(found)
+    assert evaluated(claims, "[Tt]") == 0
+    assert claims.where(F.col("scope") != program.scope_rank(F.col("page_scope"), F.col("quote"))).count() == 0 < claims.where("scope > 0").count()
