@@ -48,7 +48,7 @@ def lines(df: DataFrame, doc: str | list[str], text: str, around: tuple[int, int
         return once(ends, lambda e: once(F.transform(own, lambda x: heading(x)), lambda h: rows(e, h)))
 
     more = ["l.context"] * bool(around) + ["l.folded"] * folded + ["l.near"] * (folded and bool(around)) + ["l.heading"] * (heading is not None)
-    both = (lambda own: once(flat(F.split(F.col(text), "\n", -1)), lambda flats: placed(own, flats))) if folded else placed
+    both = (lambda own: once(flat(F.split(F.col(text), "\n", -1)), lambda flats: placed(own, flats))) if folded else (lambda own: placed(own))  # of one argument: a second would be the place
     rows = F.posexplode_outer(F.when(F.size(kept) > 0, once(kept, both)))  # outer: for the other, Spark evaluates the array once more, to filter by its size
     return df.select(*docs, rows.alias("line_no", "l")).where("line_no IS NOT NULL").select(*docs, "line_no", "l.line", "l.start", *more)
 

@@ -25,6 +25,12 @@ def test_folded_lines_are_the_folds_of_lines(spark):
     assert [(r.folded, r.near) for r in rows] == [(r.f, r.n) for r in rows]
 
 
+def test_lines_without_folds(spark):
+    df = spark.createDataFrame([(1, "a\n\n bc \nd"), (2, None)], "k int, t string")
+    assert [tuple(r) for r in lines.lines(df, "k", "t", around=(1, 0), heading=lambda x: F.when(F.length(x) > 1, x)).orderBy("line_no").collect()] == [(1, 0, "a", 0, "a", None), (1, 1, "bc", 2, "a bc", "bc"), (1, 2, "d", 5, "bc d", "bc")]
+    assert lines.lines(df, "k", "t").count() == 3
+
+
 def evaluated(df, what: str) -> int:
     """How often the plan that is run evaluates an expression that holds `what`."""
     return df._jdf.queryExecution().optimizedPlan().toString().count(what)
